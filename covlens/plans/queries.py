@@ -408,3 +408,7 @@ def q_top_key_restrict(spark, sf):
          .groupBy("publisher", "language").agg(F.count(F.lit(1)).alias("n")))
     r = A.restrict_to_top(b, "publisher", 15)
     return r.select("publisher", "language", "n", "key_rank", F.col("key_total").cast("long").alias("key_total"))
+
+
+# Register the remaining query families (import for side effects).
+from . import queries_sources  # noqa: E402,F401
