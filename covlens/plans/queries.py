@@ -412,3 +412,4 @@ def q_top_key_restrict(spark, sf):
 
 # Register the remaining query families (import for side effects).
 from . import queries_sources  # noqa: E402,F401
+from . import queries_enrich  # noqa: E402,F401
