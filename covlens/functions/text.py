@@ -21,8 +21,16 @@ WS_CLASS = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{20
 TAG_RE = r"<[^>]+>"
 URL_RE = r"https?://[^" + WS_CLASS + r"]+"
 WS_RUN_RE = r"[" + WS_CLASS + r"]+"
-# Anything html.unescape could change: a named, decimal or hex reference.
-ENTITY_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)"
+# The character references decoded natively (the common
+# ones in feed and page text), `&amp;` last so one pass is emulated.
+NATIVE_ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
+)
+# Any other reference html.unescape could decode (numeric, hex, other
+# names, legacy forms without ';') sends the row to the Python path.
+_NATIVE_NAMES = "|".join(e[1:-1] for e, _ in NATIVE_ENTITIES)
+EXOTIC_ENTITY_RE = (r"&(?!(?:" + _NATIVE_NAMES + r");)(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)")
 
 
 @pandas_udf(StringType())
@@ -32,14 +40,22 @@ def _unescape_batch(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
 
 
+def _native_unescape(c: Column) -> Column:
+    for ent, ch in NATIVE_ENTITIES:
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
+
+
 def html_unescape(c: Column) -> Column:
     """HTML5 unescape (named incl. no-semicolon forms, numeric, hex).
 
-    Spark has no built-in for the 2000+ entity table, so an Arrow batch UDF
-    does the work, but it is only handed the rows that contain a reference;
-    every other row is passed through natively."""
-    needs = c.rlike(ENTITY_RE)
-    return F.coalesce(_unescape_batch(F.when(needs, c)), c)
+    The common references are decoded natively.  Spark has no built-in for
+    the full 2000+ entry HTML5 table, so a row holding any other reference
+    goes whole to an Arrow batch UDF over the standard library's
+    unescape; every other row crosses the Arrow boundary as a NULL."""
+    exotic = c.rlike(EXOTIC_ENTITY_RE)
+    native = F.when(c.contains("&"), _native_unescape(c)).otherwise(c)
+    return F.coalesce(_unescape_batch(F.when(exotic, c)), native)
 
 
 def strip_ws(c: Column) -> Column:

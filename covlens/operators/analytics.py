@@ -34,10 +34,12 @@ def two_windows(items: DataFrame, p: ReportParams) -> DataFrame:
     """Rows with published_at >= now-2d, tagged current (>= now-d; no
     upper bound, so future-dated rows are current) or previous.  Adds the
     report keys once: publisher, domain, day, valid sentiment."""
+    if "is_current" in items.columns:  # already a window slice
+        return items
     _, since, prev = window_bounds(p)
     w = items.filter(F.col("published_at") >= ts_lit(prev))
     return w.select(
-        "id", "platform", "url", "topics", "actors", "published_at",
+        "id", "platform", "url", "topics", "actors", "published_at", "ingested_at",
         (F.col("published_at") >= ts_lit(since)).alias("is_current"),
         F.coalesce(F.when(F.col("publisher_or_author") != "", F.col("publisher_or_author")),
                    F.lit("unknown")).alias("publisher"),
@@ -53,6 +55,8 @@ def current(items: DataFrame, p: ReportParams) -> DataFrame:
 
 def current_items(items: DataFrame, p: ReportParams) -> DataFrame:
     """The current-window slice with the item columns unchanged."""
+    if "is_current" in items.columns:
+        return items.filter("is_current")
     _, since, _ = window_bounds(p)
     return items.filter(F.col("published_at") >= ts_lit(since))
 
@@ -273,8 +277,9 @@ def key_metrics(items: DataFrame, p: ReportParams) -> DataFrame:
 def summary_tables(items: DataFrame) -> DataFrame:
     """Platform counts (all), top-20 publishers, top-30 topics and the
     total, over any item set, as long rows (table_name, rank, key, n)."""
-    pub = F.coalesce(F.when(F.col("publisher_or_author") != "", F.col("publisher_or_author")),
-                     F.lit("unknown"))
+    pub = (F.col("publisher") if "publisher" in items.columns else
+           F.coalesce(F.when(F.col("publisher_or_author") != "", F.col("publisher_or_author")),
+                      F.lit("unknown")))
     pl = top_k(_count_by(items, F.col("platform"), "key"), "key")
     pb = top_k(_count_by(items, pub, "key"), "key", k=APPENDIX_PUBLISHERS)
     tp = top_k(_count_by(items.select(F.explode(F.coalesce("topics", F.array().cast("array<string>")))

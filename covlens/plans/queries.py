@@ -413,3 +413,47 @@ def q_top_key_restrict(spark, sf):
 # Register the remaining query families (import for side effects).
 from . import queries_sources  # noqa: E402,F401
 from . import queries_enrich  # noqa: E402,F401
+
+
+def _sub(name: str, select: str) -> str:
+    """Wrap a registered oracle as a subquery feeding a long-row select."""
+    return f"SELECT {select} FROM ({ORACLES[name]})"
+
+
+def _report_sql() -> str:
+    d = "CAST({} AS DOUBLE)"
+    parts = [
+        _sub("health_risk", f"'health' AS section, CAST(1 AS BIGINT) AS rank, 'health_score' AS key, 'value' AS metric, {d.format('health_score')} AS value"),
+        _sub("health_risk", "'health', 2, reputation, 'reputation', NULL"),
+        _sub("health_risk", "'health', 3, risk, 'risk', NULL"),
+        _sub("health_risk", f"'health', 4, 'alerts', 'critical_issue_count', {d.format('critical_issue_count')}"),
+        _sub("key_metrics", f"'key_metrics', 1, 'mentions', 'n', {d.format('n_mentions')}"),
+        _sub("key_metrics", f"'key_metrics', 1, 'mentions', 'n_prev', {d.format('n_prev_mentions')}"),
+        _sub("key_metrics", "'key_metrics', 1, 'mentions', 'delta', mention_delta"),
+        _sub("key_metrics", "'key_metrics', 2, top_topic, 'top_topic', NULL"),
+        _sub("key_metrics", "'key_metrics', 3, top_publisher, 'top_publisher', NULL"),
+        _sub("by_publisher", f"'top_publishers', rank, publisher, 'articles', {d.format('n')}"),
+        _sub("by_topic", f"'topic_counts', rank, topic, 'articles', {d.format('n')}"),
+        _sub("by_day", f"'coverage_over_time', 0, day, 'mentions', {d.format('n')}"),
+        _sub("sentiment_totals", f"'sentiment', 0, label, 'count', {d.format('n')}"),
+        _sub("sentiment_totals", "'sentiment', 0, label, 'share', share"),
+    ]
+    for m in ("positive", "neutral", "negative", "n_scored"):
+        parts.append(_sub("sentiment_by_publisher", f"'sentiment_by_publisher', rank, publisher, '{m}', {d.format(m)}"))
+        parts.append(_sub("sentiment_by_day", f"'sentiment_over_time', 0, day, '{m}', {d.format(m)}"))
+    for m in ("positive", "neutral", "negative"):
+        parts.append(_sub("sentiment_by_topic", f"'topic_sentiment', rank, topic, '{m}', {d.format(m)}"))
+    parts += [
+        _sub("by_domain", f"'top_domains', rank, domain, 'articles', {d.format('n')}"),
+        _sub("by_actor", f"'top_actors', rank, actor, 'mentions', {d.format('n')}"),
+        _sub("seed_urls", "'seed_urls', rank, url, 'topic:' || topic, NULL"),
+        _sub("summary_tables", f"'appendix', rank, table_name || ':' || key, 'items', {d.format('n')}"),
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("report_rows", _report_sql())
+def q_report_rows(spark, sf):
+    """The whole report as (section, rank, key, metric, value)."""
+    from .report import report_rows
+    return report_rows(_items(spark, sf), P)
