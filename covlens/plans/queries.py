@@ -457,3 +457,4 @@ def q_report_rows(spark, sf):
     """The whole report as (section, rank, key, metric, value)."""
     from .report import report_rows
     return report_rows(_items(spark, sf), P)
+from . import queries_streaming  # noqa: E402,F401
