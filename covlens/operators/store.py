@@ -19,18 +19,23 @@ from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, PROTECTE
 
 
 def upsert_fold(obs: DataFrame, seq: str = "seq") -> DataFrame:
-    """T1 over an observation log (any number of batches): one row per id."""
+    """T1 over an observation log (any number of batches): one row per id.
+
+    One min_by / max_by per column (seq is unique, so all come from the
+    same observation).  Separate aggregates, rather than one struct, let
+    Catalyst drop the ones a query never reads, and with them the
+    upstream work that feeds them (cleaning, tagging)."""
     later = [c for c in UNPROTECTED if c != "id"]
-    g = obs.groupBy("id").agg(
-        F.min_by(F.struct(*PROTECTED), F.col(seq)).alias("_p"),
-        F.max_by(F.struct(*later), F.col(seq)).alias("_u"),
-        F.count(F.lit(1)).alias("n_observations"),
-        F.min(seq).alias("first_seq"),
-        F.max(seq).alias("last_seq"),
-    )
-    cols = [F.col("id")] + [F.col(f"_u.{c}") if c in later else F.col(f"_p.{c}")
-                            for c in ITEM_COLUMNS if c != "id"]
-    return g.select(*cols, "n_observations", "first_seq", "last_seq")
+    o = F.col(seq)
+    aggs = []
+    for c in ITEM_COLUMNS[1:]:
+        if c in obs.columns:
+            pick = F.max_by(F.col(c), o) if c in later else F.min_by(F.col(c), o)
+            aggs.append(pick.alias(c))
+    g = obs.groupBy("id").agg(*aggs, F.count(F.lit(1)).alias("n_observations"),
+                              F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
+    return g.select("id", *[c for c in ITEM_COLUMNS[1:] if c in obs.columns],
+                    "n_observations", "first_seq", "last_seq")
 
 
 def upsert_batch(snapshot: DataFrame, batch: DataFrame, seq: str = "seq"):

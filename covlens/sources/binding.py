@@ -83,7 +83,10 @@ def observations(spark: SparkSession, sf_dir: str, taxonomy: Taxonomy = TEST_TAX
         .alias("signals_json"),
         compact_json(F.struct("doc_id", "source", "lang")).alias("raw_json"),
     )
-    text = tag_text(F.col("title"), F.col("summary"))
+    # the tagging text is computed once as a column; every keyword test
+    # then reads that column instead of repeating the cleaning chain
+    x = x.select("*", tag_text(F.col("title"), F.col("summary")).alias("_text"))
+    text = F.col("_text")
     x = x.select(
         "*",
         item_id(F.col("platform"), F.col("url")).alias("id"),
