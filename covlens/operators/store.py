@@ -59,7 +59,7 @@ def upsert_batch(snapshot: DataFrame, batch: DataFrame, seq: str = "seq"):
     new_snap = j.select(*cols)
     stats = (b.join(snapshot.select("id").withColumn("_hit", F.lit(1)), "id", "left")
              .agg(F.count_if(F.col("_hit").isNull()).alias("inserted"),
-                  F.sum("n_observations").alias("rows"))
+                  F.coalesce(F.sum("n_observations"), F.lit(0)).alias("rows"))
              .select("inserted", (F.col("rows") - F.col("inserted")).alias("updated")))
     return new_snap, stats
 

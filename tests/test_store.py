@@ -37,12 +37,15 @@ def test_fold_independent_of_partitioning(spark):
 def test_incremental_equals_full(spark):
     obs = observations(spark, SMALL)
     full = ST.upsert_fold(obs).select(*ITEM_SCHEMA.fieldNames())
-    first = ST.upsert_fold(obs.filter(F.col("batch_id") == 0)).select(*ITEM_SCHEMA.fieldNames())
-    inc, stats = ST.upsert_batch(first, obs.filter(F.col("batch_id") > 0))
+    first = ST.upsert_fold(obs.filter(F.col("seq") < 120)).select(*ITEM_SCHEMA.fieldNames())
+    later = obs.filter(F.col("seq") >= 120)
+    inc, stats = ST.upsert_batch(first, later)
     key = ["id", "title", "summary", "content_hash", "sentiment", "published_at"]
     assert sorted(map(tuple, inc.select(*key).collect())) == sorted(map(tuple, full.select(*key).collect()))
     s = stats.first()
-    assert s.inserted + s.updated == obs.filter(F.col("batch_id") > 0).count()
+    assert s.inserted + s.updated == later.count()
+    _, none = ST.upsert_batch(first, later.limit(0))
+    assert tuple(none.first()) == (0, 0)
 
 
 def test_latest_and_apply(spark):
