@@ -38,6 +38,8 @@ def two_windows(items: DataFrame, p: ReportParams) -> DataFrame:
         return items
     _, since, prev = window_bounds(p)
     w = items.filter(F.col("published_at") >= ts_lit(prev))
+    if "published_date" in items.columns:  # a written snapshot: prune date partitions
+        w = w.filter(F.col("published_date") >= F.lit(prev.date()))
     return w.select(
         "id", "platform", "url", "topics", "actors", "published_at", "ingested_at",
         (F.col("published_at") >= ts_lit(since)).alias("is_current"),

@@ -484,3 +484,15 @@ ORACLES["validate_enrichment"] = ORACLE_VALIDATE
 ORACLES["enrich_with_retry"] = ORACLE_RETRY
 ORACLES["enrich_prompt"] = ORACLE_PROMPT
 ORACLES["briefing_prompt"] = _briefing_sql()
+
+
+@register("distinct_preserve", """
+SELECT doc_id, array_to_string(list_filter(w, lambda x, i: x <> '' AND list_position(w, x) = i), ',') AS words
+FROM (SELECT doc_id, string_split(lower(substring(text, 1, 120)), ' ') AS w FROM documents)""")
+def q_distinct_preserve(spark, sf):
+    """the words of each document's opening, empties dropped,
+    de-duplicated in first-seen order."""
+    from ..functions.text import distinct_preserve
+    d = table(spark, sf, "documents")
+    w = F.split(F.lower(F.substring("text", 1, 120)), " ")
+    return d.select("doc_id", F.array_join(distinct_preserve(w), ",").alias("words"))
