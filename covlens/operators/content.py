@@ -39,11 +39,20 @@ def strip_boilerplate(html: Column) -> Column:
 
 
 def extract_main_text(html: Column) -> Column:
-    """HTML -> main text, or NULL when nothing is left."""
+    """E11 as a single expression: HTML -> main text, or NULL."""
     t = clean_text(strip_boilerplate(html))
     return F.when(t != "", t)
 
 
+def with_main_text(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
+    """E11 over a DataFrame: the boilerplate-stripped page is materialised
+    as a column first, so the cleaning steps (and the Arrow hop for rare
+    references) read one attribute instead of re-running the regex chain."""
+    x = df.select("*", strip_boilerplate(F.col(html)).alias("_stripped"))
+    x = x.select(*df.columns, clean_text(F.col("_stripped")).alias("_clean"))
+    return x.select(*df.columns, F.when(F.col("_clean") != "", F.col("_clean")).alias(out))
+
+
 def content_lookup(items: DataFrame, pages: DataFrame, item_key: str, page_key: str,
                    fetched_at: Column) -> DataFrame:
     """Text only for items lacking it.  Items without content_text join
@@ -52,7 +61,7 @@ def content_lookup(items: DataFrame, pages: DataFrame, item_key: str, page_key:
     only pages that yielded text.  Both sides are large, so this is a
     shuffle join on the key, never a broadcast."""
     need = items.filter(F.col("content_text").isNull()).select("id", F.col(item_key).alias("_k"))
-    p = pages.select(F.col(page_key).alias("_k"), extract_main_text(F.col("html")).alias("content_text"))
+    p = with_main_text(pages.select(F.col(page_key).alias("_k"), "html"), "html", "content_text").drop("html")
     j = need.join(p, "_k").filter(F.col("content_text").isNotNull())
     return j.select("id", "content_text", fetched_at.cast("timestamp").alias("content_fetched_at"),
                     F.lit("ok").alias("content_status"))

@@ -91,20 +91,23 @@ b_o2 AS (
     lower(coalesce(title, '') || ' ' || coalesce(summary, '')) AS ttext
   FROM b_o1),
 obs AS (
-  SELECT *, {topics_sql('ttext', tx)} AS topics, {actors_sql('ttext', tx)} AS actors,
-    CASE WHEN {any_sql('ttext', EDITORIAL)} THEN TRUE END AS is_editorial,
-    CASE WHEN platform = 'youtube' THEN 'social' ELSE 'news' END AS source_type
+  SELECT *, CASE WHEN platform = 'youtube' THEN 'social' ELSE 'news' END AS source_type
   FROM b_o2),
 b_last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM obs),
 b_first AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn FROM obs),
 b_cnt AS (SELECT id, count(*) AS n_observations, min(seq) AS first_seq, max(seq) AS last_seq FROM obs GROUP BY id),
-items AS (
+b_snap AS (
   SELECT l.id, l.platform, l.source_type, l.publisher_or_author, l.url, l.title, l.summary,
-    l.published_at, l.ingested_at, f.content_hash, f.topics, f.actors, f.language, f.is_editorial,
-    f.sentiment, c.n_observations, c.first_seq, c.last_seq
+    l.published_at, l.ingested_at, f.content_hash, f.language, f.sentiment,
+    c.n_observations, c.first_seq, c.last_seq,
+    lower(coalesce(l.title, '') || ' ' || coalesce(l.summary, '')) AS stext
   FROM b_last l JOIN b_first f ON f.id = l.id AND f.rn = 1
                 JOIN b_cnt c ON c.id = l.id
   WHERE l.rn = 1),
+items AS (
+  SELECT * EXCLUDE (stext), {topics_sql('stext', tx)} AS topics, {actors_sql('stext', tx)} AS actors,
+    CASE WHEN {any_sql('stext', EDITORIAL)} THEN TRUE END AS is_editorial
+  FROM b_snap),
 win AS (
   SELECT *, published_at >= TIMESTAMP '{SINCE}' AS is_current,
     coalesce(NULLIF(publisher_or_author, ''), 'unknown') AS publisher,

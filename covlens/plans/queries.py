@@ -45,16 +45,14 @@ def _items(spark, sf):
 # ---------------------------------------------------------------------------
 @register("item_binding", W("""
 SELECT seq, id, platform, source_type, publisher_or_author, url, title, summary,
-       strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published, language, sentiment, content_hash,
-       array_to_string(topics, ',') AS topics, array_to_string(actors, ',') AS actors
+       strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published, language, sentiment, content_hash
 FROM obs"""))
 def q_item_binding(spark, sf):
     """N5 + F4/F5/F8/F9: the normalised observation rows."""
     o = observations(spark, sf)
     return o.select("seq", "id", "platform", "source_type", "publisher_or_author", "url", "title",
                     "summary", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"),
-                    "language", "sentiment", "content_hash",
-                    F.array_join("topics", ",").alias("topics"), F.array_join("actors", ",").alias("actors"))
+                    "language", "sentiment", "content_hash")
 
 
 @register("upsert_items", W("""

@@ -189,7 +189,7 @@ _MAIN = f"NULLIF({O.clean_sql(_boiler_sql('html'))}, '')"
 @register("extract_main_text", f"SELECT page_id, {_MAIN} AS text FROM pages")
 def q_extract_main_text(spark, sf):
     """Main text of every landed page."""
-    return table(spark, sf, "pages").select("page_id", C.extract_main_text(F.col("html")).alias("text"))
+    return C.with_main_text(table(spark, sf, "pages").select("page_id", "html")).select("page_id", "text")
 
 
 def _content_log(spark, sf):
@@ -335,8 +335,8 @@ def q_enrich_with_retry(spark, sf):
 def q_enrich_prompt(spark, sf):
     """the tagging prompt of every item (content from its page)."""
     m = media_items(spark, sf)
-    pages = table(spark, sf, "pages").select(F.col("page_id").alias("first_seq"),
-                                             C.extract_main_text(F.col("html")).alias("content"))
+    pages = C.with_main_text(table(spark, sf, "pages").select(F.col("page_id").alias("first_seq"), "html"),
+                             "html", "content").drop("html")
     j = m.join(pages, "first_seq", "left")
     p = EN.enrich_prompt(j, TEST_TAXONOMY, F.col("content"))
     return j.select("id", F.length(p).alias("prompt_chars"), sha256_hex(p).alias("prompt_sha256"))
