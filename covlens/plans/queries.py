@@ -6,6 +6,7 @@ its work grows with the data; none runs on fixed inline input."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,14 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query.  Every query runs with the session zone pinned to
+    UTC: stored instants are UTC and day buckets are UTC days."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
