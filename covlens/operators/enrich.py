@@ -114,6 +114,9 @@ def enrich_with_retry(pending: DataFrame, respond: Callable[[DataFrame], DataFra
     is checkpointed into the shared checkpoint folder."""
     at = (enriched_at if enriched_at is not None else F.current_timestamp()).cast("timestamp")
     todo = pending.select("id", "prompt")
+    if checkpoint:  # prompts are built once, not once per attempt
+        ensure_checkpoint_dir(todo.sparkSession)
+        todo = todo.checkpoint(eager=True)
     done = None
     last = None
     for attempt in range(max_retries + 1):
