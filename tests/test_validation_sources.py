@@ -53,3 +53,27 @@ def test_aggregator_error_payload(spark):
 def test_clean_languages():
     assert L.clean_languages("en, -de, id, ,fr") == ["en", "-de", "fr"]
     assert L.clean_languages("id") is None and L.clean_languages("") is None
+
+
+def test_hostile_items(spark):
+    """Missing url collapses ids per platform; a future-dated item counts
+    as current; topics JSON that is null, scalar, broken or repeated."""
+    from covlens.config import ReportParams
+    from covlens.functions import item_id, parse_json_list
+    from covlens.operators import analytics as A
+    from covlens.schema import conform
+    rows = [("rss", None), ("rss", ""), ("gdelt", None)]
+    ids = spark.createDataFrame(rows, "p string, u string").select(item_id(F.col("p"), F.col("u")).alias("i"))
+    assert ids.distinct().count() == 2
+    js = spark.createDataFrame([("null",), ('"abc"',), ("{",), ('["a","a"]',)], "t string")
+    assert [r.l for r in js.select(parse_json_list(F.col("t")).alias("l")).collect()] == [[], [], [], ["a", "a"]]
+    items = spark.createDataFrame([("x", "2030-01-01 00:00:00", ["a", "a"]), ("y", "2024-01-20 00:00:00", [])],
+                                  "id string, published_at string, topics array<string>")
+    items = conform(items.select("id", F.col("published_at").cast("timestamp").alias("published_at"), "topics",
+                                 F.lit("rss").alias("platform"), F.lit("u").alias("url"),
+                                 F.lit("p").alias("publisher_or_author"),
+                                 F.lit("2024-01-31 00:00:00").cast("timestamp").alias("ingested_at")))
+    p = ReportParams(now="2024-01-31 00:00:00", days=7)
+    m = A.mentions_total(items, p).first()
+    assert (m.n_mentions, m.n_prev_mentions) == (1, 1)
+    assert {r.topic: r.n for r in A.by_topic(items, p).collect()} == {"a": 2}
