@@ -54,9 +54,9 @@ def _run(spark, sf):
     stats = D.video_stats(spark, sf)
     # two arrivals: even blocks, then odd blocks; one availableNow run each
     _land(spark, sf, landing, 2, 0)
-    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats)
+    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats, compact_every=2)
     _land(spark, sf, landing, 2, 1)
-    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats)
+    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats, compact_every=2)
     _RUNS[key] = (base, log, snap)
     return _RUNS[key]
 
@@ -82,9 +82,8 @@ def q_stream_ingest(spark, sf):
 SELECT platform, count(*) AS n_items, count(ts) AS n_dated FROM r WHERE rn = 1 GROUP BY platform""")
 def q_stream_upsert_state(spark, sf):
     """R2: the snapshot the stream leaves behind equals the batch fold."""
-    _, _, snap = _run(spark, sf)
-    v = S.latest_snapshot(spark, snap)
-    s = spark.read.parquet(S.snapshot_path(snap, v))
+    _, log, snap = _run(spark, sf)
+    s = S.read_items(spark, log, snap)
     return s.groupBy("platform").agg(F.count(F.lit(1)).alias("n_items"),
                                      F.count("published_at").alias("n_dated"))
 

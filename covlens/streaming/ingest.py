@@ -83,37 +83,54 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str):
     return best
 
 
+def _snapshot_of(spark: SparkSession, log_dir: str, snapshot_root: str, upto: int):
+    """Latest snapshot folded with every log batch after it, up to `upto`."""
+    from ..schema import ITEM_COLUMNS
+    prev = latest_snapshot(spark, snapshot_root)
+    lg = spark.read.parquet(log_dir)
+    if prev is None:
+        return ST.upsert_fold(lg.filter(F.col("batch_id") <= upto)).select(*ITEM_COLUMNS)
+    delta = lg.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= upto))
+    snap, _ = ST.upsert_batch(spark.read.parquet(snapshot_path(snapshot_root, prev)), delta)
+    return snap
+
+
+def read_items(spark: SparkSession, log_dir: str, snapshot_root: str) -> DataFrame:
+    """The current item table: the latest compacted snapshot plus the log
+    batches written since (a fold over the small delta only)."""
+    return _snapshot_of(spark, log_dir, snapshot_root, 2 ** 62)
+
+
 def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: str, snapshot_root: str,
-                 run_at, stats: DataFrame | None = None) -> None:
-    """R1 + R2 for one micro-batch: normalise, append to the log, fold into
-    snapshot version batch_id (written to a new folder; the previous
-    version stays readable until the new one is complete)."""
+                 run_at, stats: DataFrame | None = None, compact_every: int = 1) -> None:
+    """R1 + R2 for one micro-batch: normalise and append to the log (cost
+    proportional to the batch).  Every `compact_every` batches the log
+    since the last snapshot is folded into a new snapshot version, written
+    to a new folder; readers combine the latest snapshot with the newer log
+    batches (read_items), so compaction can run as rarely as the history
+    size requires."""
     if docs.isEmpty():
         return
     gd, ms, rs, yt = normalise_documents(docs, run_at, stats)
     obs = N.union_sources(batch_id, gdelt=gd, mediastack=ms, rss=rs, youtube=yt)
     ST.write_log(obs, log_dir)
-    batch = spark.read.parquet(log_dir).filter(F.col("batch_id") == batch_id)
     prev = latest_snapshot(spark, snapshot_root)
     if prev is not None and prev >= batch_id:
         return  # replay of a batch whose snapshot is already written
-    if prev is None:
-        snap = ST.upsert_fold(batch)
-        from ..schema import ITEM_COLUMNS
-        snap = snap.select(*ITEM_COLUMNS)
-    else:
-        snap, _ = ST.upsert_batch(spark.read.parquet(snapshot_path(snapshot_root, prev)), batch)
+    if (batch_id + 1) % max(1, compact_every) != 0:
+        return
+    snap = _snapshot_of(spark, log_dir, snapshot_root, batch_id)
     snap.write.mode("overwrite").parquet(snapshot_path(snapshot_root, batch_id))
 
 
 def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snapshot_root: str,
                       checkpoint: str, run_at, stats: DataFrame | None = None,
-                      trigger: dict | None = None, max_files: int | None = None):
+                      trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1):
     """Start (and for availableNow, finish) the ingest stream."""
     docs = landing_stream(spark, landing_dir, max_files)
 
     def each(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats)
+        ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every)
     q = (docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     if (trigger or {"availableNow": True}).get("availableNow"):
