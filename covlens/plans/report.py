@@ -66,13 +66,16 @@ def report_rows(items: DataFrame, p: ReportParams, materialize: bool = True) ->
     """A18."""
     w = window_slice(items, p, materialize)
     cur = w.filter("is_current")
-    # The small aggregates are not materialised: every section that uses
-    # one refers to the same plan, and AQE reuses its shuffle (ReusedExchange).
+    # The four aggregates are small (one row per key); they are cached so the
+    # many sections reading them do not re-run their final aggregation.  A
+    # lost cache block is recomputed from the checkpointed slice.
     tot = w.agg(F.count_if(F.col("is_current")).alias("n_mentions"),
                 F.count_if(~F.col("is_current")).alias("n_prev_mentions"))
     counts = A.rollup_once(w, p)
     tx = A._exploded(cur, "topics", "topic").groupBy("topic", "sent").agg(F.count(F.lit(1)).alias("n"))
     ax = A._exploded(cur, "actors", "actor").groupBy("actor").agg(F.count(F.lit(1)).alias("n"))
+    if materialize:
+        tot, counts, tx, ax = (d.cache() for d in (tot, counts, tx, ax))
 
     n = F.col("n")
     pub = _set(counts, "publisher").select(F.col("key1").alias("publisher"), "n")
