@@ -42,6 +42,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a job over `input_bytes` on a cluster
+    with `total_cores` task slots: about `target_partition_bytes` per
+    shuffle partition (rounded up to whole waves of the cores) so a task's
+    share fits executor memory, scan splits of the same size, and AQE left
+    to coalesce small partitions and split skewed ones at run time.  E.g.
+    100 TB on 8,000 cores -> ~400k partitions of ~256 MB."""
+    parts = max(total_cores, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster in
     `spark.checkpoint.dir`.  Only when it is unset (local tests) do we

@@ -60,8 +60,13 @@ def observations(spark: SparkSession, sf_dir: str, taxonomy: Taxonomy = TEST_TAX
         F.substring("text", 1, 80).alias("t_raw"), F.substring("text", 81, 400).alias("s_raw"))
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    x = (d.join(lab, "doc_id", "left")
-         .join(ev, (F.col("doc_id") * 10) == F.col("event_id"), "left"))
+    # Both joins use the key doc_id * 10 (for labels, doc_id * 10 = l.doc_id * 10
+    # is the same equality on integers), so at scale the documents side is
+    # hash-partitioned once and the second join reuses that partitioning.
+    key = F.col("doc_id") * 10
+    lab = lab.select((F.col("doc_id") * 10).alias("_lk"), "quality", "toxic")
+    x = (d.join(lab, key == F.col("_lk"), "left")
+         .join(ev, key == F.col("event_id"), "left"))
 
     platform = platform_of(F.col("doc_id"))
     url = F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/a/"),

@@ -37,3 +37,11 @@ def test_no_nested_loop_over_data(spark):
     for name in ("upsert_items", "by_topic", "normalize_channel", "content_lookup", "cross_platform_dup"):
         p = _plan(spark, name)
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
+
+
+def test_cluster_conf_sizing():
+    from covlens.session import cluster_conf
+    c = cluster_conf(100 * 2 ** 40, 8000)
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 100 * 2 ** 40 / n <= 256 * 2 ** 20
+    assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 8
