@@ -134,3 +134,22 @@ def q_write_items(spark, sf):
     base = _scratch(spark)
     write_log(observations(spark, sf), f"{base}/log")
     return spark.read.parquet(f"{base}/log").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("snapshot_by_day", None)
+def q_snapshot_by_day(spark, sf):
+    """S7 + A8: the snapshot written partitioned by published date, read
+    back, and the day rollup run on it (the window predicate prunes date
+    partitions)."""
+    from ..config import TEST_REPORT
+    from ..operators import analytics as A
+    from ..operators.store import write_snapshot
+    from ..sources.binding import media_items
+    base = _scratch(spark)
+    write_snapshot(media_items(spark, sf), f"{base}/snapshot")
+    return A.by_day(spark.read.parquet(f"{base}/snapshot"), TEST_REPORT)
+
+
+from .queries import ORACLES  # noqa: E402
+
+ORACLES["snapshot_by_day"] = ORACLES["by_day"]

@@ -45,3 +45,10 @@ def test_cluster_conf_sizing():
     n = int(c["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 100 * 2 ** 40 / n <= 256 * 2 ** 20
     assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_written_snapshot_prunes_dates(spark):
+    df = E.queries()["snapshot_by_day"](spark, SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*published_date", p)
