@@ -67,7 +67,8 @@ def top_k(counts: DataFrame, key: str, n: str = "n", k: int | None = None,
           rank: str = "rank") -> DataFrame:
     """Most common first, ties by key ascending, with a 1-based rank.
     The sort+limit plans a TakeOrderedAndProject; the rank window then runs
-    over at most k rows."""
+    over at most k rows.  k=None (rank every key) is only for key sets that
+    are small by construction (platforms): the rank needs one partition."""
     ordered = counts.orderBy(F.col(n).desc(), F.col(key).asc())
     if k is not None:
         ordered = ordered.limit(k)
