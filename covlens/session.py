@@ -62,15 +62,20 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster in
-    `spark.checkpoint.dir`.  Only when it is unset (local tests) do we
-    create one of our own."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the checkpoint folder: the shared folder the cluster names in
+    `spark.checkpoint.dir` (or one already set on the context).  Only when
+    neither exists (local tests) is a folder of our own created.  The
+    setting is static, so it is applied through the SparkContext, never
+    written into the runtime conf."""
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="covlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,8 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from covlens.session import get_session
     s = get_session("local[4]", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="covlens-test-ckpt-"))
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="covlens-test-ckpt-"))
     yield s
 
 
