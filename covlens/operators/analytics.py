@@ -347,6 +347,18 @@ def seed_urls(items: DataFrame, p: ReportParams, topics=None, max_urls: int | No
     return d.select("topic", F.row_number().over(w2).cast("long").alias("rank"), "url")
 
 
+def dedup_urls(items: DataFrame, p: ReportParams) -> DataFrame:
+    """U2 over every current item: each (topic, url) once, at its newest
+    sighting, newest first within the topic.  The first sighting wins in
+    newest-first order, so one aggregation per pair finds it; the order is
+    then a range-partitioned global sort (no per-topic rank window, so a
+    hot topic is spread over many tasks)."""
+    e = _exploded(current(items, p), "topics", "topic", distinct=True)
+    e = e.filter(F.coalesce(F.col("url"), F.lit("")) != "")
+    g = e.groupBy("topic", "url").agg(F.max("published_at").alias("newest_at"))
+    return g.orderBy("topic", F.col("newest_at").desc_nulls_last(), "url")
+
+
 def restrict_to_top(breakdown: DataFrame, key: str, k: int, weight: str = "n") -> DataFrame:
     """Keep only the rows of a (key, ...) breakdown whose key is among
     the top-k keys by total weight; order by that total.  The top-k side is

@@ -400,6 +400,15 @@ def q_seed_urls(spark, sf):
     return A.seed_urls(_items(spark, sf), P)
 
 
+@register("dedup_urls", W("""
+, e AS (SELECT DISTINCT id, url, published_at, unnest(list_distinct(topics)) AS topic FROM cur WHERE coalesce(url, '') <> '')
+SELECT topic, url, strftime(max(published_at), '%Y-%m-%d %H:%M:%S') AS newest_at FROM e GROUP BY topic, url""".replace("\n, e AS", ", e AS", 1)))
+def q_dedup_urls(spark, sf):
+    """Order-preserving distinct URLs per topic over the window."""
+    d = A.dedup_urls(_items(spark, sf), P)
+    return d.select("topic", "url", F.date_format("newest_at", "yyyy-MM-dd HH:mm:ss").alias("newest_at"))
+
+
 @register("top_key_restrict", W("""
 , b AS (SELECT publisher, language, count(*) AS n FROM (SELECT *, coalesce(NULLIF(publisher_or_author, ''), 'unknown') AS publisher FROM items) GROUP BY publisher, language),
   t AS (SELECT publisher, sum(n) AS key_total FROM b GROUP BY publisher ORDER BY key_total DESC, publisher LIMIT 15),
