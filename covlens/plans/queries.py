@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TEST_REPORT as P
-from ..config import TEST_TAXONOMY
 from ..functions.time import coverage_day
 from ..operators import analytics as A
 from ..operators import filters as PF

@@ -17,7 +17,7 @@ from ..operators import content as C
 from ..operators import enrich as EN
 from ..operators import store as ST
 from ..operators.tagging import keyword_enrich
-from ..sources.binding import INGESTED_AT, media_items, observations, table
+from ..sources.binding import INGESTED_AT, media_items, table
 from . import oracle as O
 from .queries import register
 
