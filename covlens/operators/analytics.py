@@ -231,12 +231,28 @@ def health_from(n_cur: Column, n_prev: Column, n_crit: Column) -> list[Column]:
             reputation.alias("reputation"), risk.alias("risk")]
 
 
+def critical_count(p: ReportParams) -> Column:
+    """Aggregate expression: how many configured critical topics occur in
+    the current window (one conditional max per topic of the small config
+    list, so it rides along in any aggregation over the window slice)."""
+    crit = list(p.critical_topics)
+    if not crit:
+        return F.lit(0).cast("long")
+    hit = [F.max(F.when(F.col("is_current") & F.array_contains(
+        F.coalesce(F.col("topics"), F.array().cast("array<string>")), t), 1).otherwise(0)) for t in crit]
+    total = hit[0]
+    for h in hit[1:]:
+        total = total + h
+    return total.cast("long")
+
+
 def health_risk(items: DataFrame, p: ReportParams) -> DataFrame:
     """Health score, reputation and risk from the mention delta and
-    the number of critical topics present."""
-    m = mentions_total(items, p)
-    c = critical_topics(items, p).agg(F.count(F.lit(1)).alias("critical_issue_count"))
-    j = m.crossJoin(c)  # both sides are single-row aggregates
+    the number of critical topics present, all from one aggregation."""
+    j = two_windows(items, p).agg(
+        F.count_if(F.col("is_current")).alias("n_mentions"),
+        F.count_if(~F.col("is_current")).alias("n_prev_mentions"),
+        critical_count(p).alias("critical_issue_count"))
     return j.select("n_mentions", "n_prev_mentions", "critical_issue_count",
                     *health_from(F.col("n_mentions"), F.col("n_prev_mentions"),
                                  F.col("critical_issue_count")))

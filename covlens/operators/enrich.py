@@ -151,10 +151,13 @@ def enrich_counts(pending: DataFrame, log: DataFrame, keyword_path: bool = False
     if keyword_path:
         return p.select("pending", F.lit(0).cast("long").alias("enriched_ok"),
                         F.lit(0).cast("long").alias("enriched_error"), F.col("pending").alias("skipped"))
-    c = log.agg(F.count_if(F.col("enrich_status") == "ok").alias("enriched_ok"),
-                F.count_if(F.col("enrich_status") == "error").alias("enriched_error"))
-    return p.crossJoin(c).select("pending", "enriched_ok", "enriched_error",
-                                 F.lit(0).cast("long").alias("skipped"))
+    # one aggregation over both inputs tagged by side
+    u = (pending.select(F.lit(True).alias("_pend"), F.lit(None).cast("string").alias("_st"))
+         .unionByName(log.select(F.lit(False).alias("_pend"), F.col("enrich_status").alias("_st"))))
+    return u.agg(F.count_if(F.col("_pend")).alias("pending"),
+                 F.count_if(F.col("_st") == "ok").alias("enriched_ok"),
+                 F.count_if(F.col("_st") == "error").alias("enriched_error"),
+                 F.lit(0).cast("long").alias("skipped"))
 
 
 def enrich_prompt(items: DataFrame, taxonomy: Taxonomy, content: Column | None = None) -> Column:

@@ -13,7 +13,7 @@ sections sharing an aggregate share its shuffle through exchange reuse."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (APPENDIX_PUBLISHERS, APPENDIX_TOPICS, LAST_DAYS, SENTIMENT_LABELS, TOP_ACTORS,
@@ -70,7 +70,8 @@ def report_rows(items: DataFrame, p: ReportParams, materialize: bool = True) ->
     # many sections reading them do not re-run their final aggregation.  A
     # lost cache block is recomputed from the checkpointed slice.
     tot = w.agg(F.count_if(F.col("is_current")).alias("n_mentions"),
-                F.count_if(~F.col("is_current")).alias("n_prev_mentions"))
+                F.count_if(~F.col("is_current")).alias("n_prev_mentions"),
+                A.critical_count(p).alias("critical_issue_count"))
     counts = A.rollup_once(w, p)
     tx = A._exploded(cur, "topics", "topic").groupBy("topic", "sent").agg(F.count(F.lit(1)).alias("n"))
     ax = A._exploded(cur, "actors", "actor").groupBy("actor").agg(F.count(F.lit(1)).alias("n"))
@@ -91,19 +92,17 @@ def report_rows(items: DataFrame, p: ReportParams, materialize: bool = True) ->
     topic_gate = topic_all.agg(F.sum(F.col(POS) + F.col(NEU) + F.col(NEG)).alias("s")).filter(F.col("s") > 0)
 
     # health and key metrics
-    crit = list(p.critical_topics)
-    ncrit = (topic_all.filter(F.col("topic").isin(*crit)) if crit else topic_all.limit(0)) \
-        .agg(F.count(F.lit(1)).alias("critical_issue_count"))
-    hr = tot.crossJoin(ncrit).select("*", *A.health_from(F.col("n_mentions"), F.col("n_prev_mentions"),
-                                                          F.col("critical_issue_count")))
+    hr = tot.select("*", *A.health_from(F.col("n_mentions"), F.col("n_prev_mentions"),
+                                         F.col("critical_issue_count")))
     top_topic = A.top_k(topic_all.select("topic", "n"), "topic", k=1).select(F.col("topic").alias("top_topic"))
     top_pub = A.top_k(pub, "publisher", k=1).select(F.col("publisher").alias("top_publisher"))
     km = (tot.join(top_topic, how="left", on=F.lit(True)).join(top_pub, how="left", on=F.lit(True))
           .select("*", A._delta(F.col("n_mentions"), F.col("n_prev_mentions")).alias("mention_delta")))
 
     # sentiment sections
-    totals = (sent.crossJoin(gate).select("label", "n", (F.col("n").cast("double") / F.col("scored").cast("double"))
-                                           .alias("share")))
+    # at most three label rows: the scored total is a window over them
+    scored_all = F.sum("n").over(Window.partitionBy())
+    totals = sent.select("label", "n", (F.col("n").cast("double") / scored_all.cast("double")).alias("share"))
     pub_top = A.top_k(pub, "publisher", k=TOP_SENTIMENT_KEYS)
     pub_sent = pub_top.join(_pivot_sent(_set(counts, "publisher_sentiment").filter(F.col("key2").isNotNull()),
                                         "publisher"), "publisher", "left").na.fill(0, list(SENTIMENT_LABELS))
