@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from covlens.llm import maglev, url_cascade
+from covlens.llm import bpe, maglev, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_bpe_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded text of every document."""
+    return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
 def op5_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,6 +33,7 @@ def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe_ranks": op3_bpe_ranks,
     "op5_maglev_shards": op5_maglev_shards,
     "op9_url_cascade": op9_url_cascade,
 }
