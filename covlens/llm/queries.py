@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, maglev, url_cascade
+from covlens.llm import bpe, maglev, secret_scan, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -26,6 +26,11 @@ def op5_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, weak candidates where complementary parts meet."""
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; the list names the keys under which some page was reached through a tracked link."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -35,6 +40,7 @@ def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bpe_ranks": op3_bpe_ranks,
     "op5_maglev_shards": op5_maglev_shards,
+    "op7_linked_secrets": op7_linked_secrets,
     "op9_url_cascade": op9_url_cascade,
 }
 
