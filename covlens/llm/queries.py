@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, maglev, secret_scan, url_cascade
+from covlens.llm import bpe, impact_topk, maglev, secret_scan, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -19,6 +19,12 @@ def op3_bpe_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op4_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return impact_topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op5_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,12 +45,24 @@ def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_bpe_ranks": op3_bpe_ranks,
+    "op4_impact_topk": op4_impact_topk,
     "op5_maglev_shards": op5_maglev_shards,
     "op7_linked_secrets": op7_linked_secrets,
     "op9_url_cascade": op9_url_cascade,
 }
 
 ORACLES = {
+    "op4_impact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+""",
     "op5_maglev_shards": f"""
 WITH RECURSIVE pref AS (
   SELECT i AS s,
