@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, impact_topk, maglev, secret_scan, url_cascade
+from covlens.llm import bpe, impact_topk, maglev, secret_scan, toxicity, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -14,6 +14,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold."""
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out(labels["doc_id"]))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted")
+
+
 def op3_bpe_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text of every document."""
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
@@ -44,6 +52,7 @@ def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_subword_toxicity": op1_subword_toxicity,
     "op3_bpe_ranks": op3_bpe_ranks,
     "op4_impact_topk": op4_impact_topk,
     "op5_maglev_shards": op5_maglev_shards,
