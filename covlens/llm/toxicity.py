@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, text: str = "text"
         table, bias = train([texts[i] for i in keep], toxic[keep])
         return pd.DataFrame({"weights": [table.tobytes()], "bias": [bias]})
 
-    model = rows.groupBy(F.lit(1)).applyInPandas(one, "weights binary, bias double").collect()
+    model = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(one, "weights binary, bias double").collect()
     return (bytes(model[0]["weights"]), model[0]["bias"]) if model else None
 
 
