@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, impact_topk, maglev, secret_scan, toxicity, url_cascade
+from covlens.llm import bpe, decontam, impact_topk, maglev, secret_scan, toxicity, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -51,6 +51,11 @@ def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.filter_urls(pages, listed=pages["url"].rlike(r"[?&](utm_source|ref)="))
 
 
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of documents with benchmark items."""
+    return decontam.find_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_subword_toxicity": op1_subword_toxicity,
     "op3_bpe_ranks": op3_bpe_ranks,
@@ -58,6 +63,7 @@ QUERIES = {
     "op5_maglev_shards": op5_maglev_shards,
     "op7_linked_secrets": op7_linked_secrets,
     "op9_url_cascade": op9_url_cascade,
+    "op10_spaced_seeds": op10_spaced_seeds,
 }
 
 ORACLES = {

@@ -18,6 +18,8 @@ _BASE = 0x9E3779B97F4A7C15
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_NO_WORD = np.ones(256, bool)
+_NO_WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -61,11 +63,12 @@ class Buffer:
 
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of a buffer: `start`/`end` byte positions, `hash`, and `row_first[i]`, the
-    number of the first word of row i (one more entry than rows)."""
+    number of the first word of row i (one more entry than rows).  With `plain`, words are runs of letters and digits
+    instead (ASCII ones and all bytes of other characters)."""
 
-    def __init__(self, buffer: Buffer):
+    def __init__(self, buffer: Buffer, plain: bool = False):
         b = buffer.bytes
-        space = _SPACE[b]
+        space = (_NO_WORD if plain else _SPACE)[b]
         edge = np.diff(space.view(np.int8))
         self.start = np.flatnonzero(edge == -1) + 1
         self.end = np.flatnonzero(edge == 1) + 1
