@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, decontam, impact_topk, maglev, secret_scan, toxicity, url_cascade
+from covlens.llm import bpe, decontam, impact_topk, line_templates, maglev, secret_scan, toxicity, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -45,6 +45,12 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs)
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; the list names the keys under which some page was reached through a tracked link."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -62,6 +68,7 @@ QUERIES = {
     "op4_impact_topk": op4_impact_topk,
     "op5_maglev_shards": op5_maglev_shards,
     "op7_linked_secrets": op7_linked_secrets,
+    "op8_line_templates": op8_line_templates,
     "op9_url_cascade": op9_url_cascade,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
