@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, decontam, impact_topk, line_templates, maglev, secret_scan, toxicity, url_cascade
+from covlens.llm import bpe, decontam, impact_topk, line_templates, maglev, minhash, secret_scan, toxicity, url_cascade
 
 SHARDS, SLOTS = 64, 6563
 
@@ -40,6 +40,11 @@ def op5_maglev_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op6_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, weak candidates where complementary parts meet."""
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_bpe_ranks": op3_bpe_ranks,
     "op4_impact_topk": op4_impact_topk,
     "op5_maglev_shards": op5_maglev_shards,
+    "op6_minhash_components": op6_minhash_components,
     "op7_linked_secrets": op7_linked_secrets,
     "op8_line_templates": op8_line_templates,
     "op9_url_cascade": op9_url_cascade,
