@@ -1,20 +1,62 @@
 """A corpus-cleaning pipeline over `documents`: each stage is one operator of `covlens.llm`.
 
-A stage takes (spark, docs, sf_dir) and returns the documents it keeps; `run` writes every stage's result as Parquet
-in the shared checkpoint folder and reads it back as the next stage's documents, so a lost executor costs one stage.
+A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of `docs`; the last returns
+one row per document with its token ids.  `run` writes every stage's result as Parquet in the shared checkpoint folder
+and reads it back as the next stage's documents, so a lost executor costs one stage.
+
+1. toxicity: documents that the classifier rejects go (learned from the labels outside the held-out fold).
+2. line dedup: lines of recurring templates go, the documents stay.
+3. near duplicates: the document with the smallest id of each group stays.
+4. decontamination: documents that overlap with a benchmark item go.
+5. encoding: token count, ids and digests of every text that is left.
+
+Null texts and empty texts pass all filters; rows with a null doc_id are never dropped as duplicates.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from covlens.llm import bpe, decontam, line_templates, minhash, toxicity
 from covlens.session import ensure_checkpoint_dir
 
-STAGES: list = []
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out(labels["doc_id"]))
+    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring(docs).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs, VOCABULARY, with_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_recurring_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("encoding", encode),
+]
 
-#: No SQL: a trained classifier and a learned tokenizer table are among the stages.
+#: No SQL: a trained classifier and a merge loop are among the stages.
 ORACLE_SQL = None
 
 
@@ -23,6 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        path = f"{folder}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

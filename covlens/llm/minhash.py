@@ -258,6 +258,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, of each group's smallest doc_id; rows with a null key stay."""
-    gone = (near_duplicates(docs, key, text).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("__gone")).distinct())
+    gone = written(near_duplicates(docs, key, text).where(~F.col("kept"))
+                   .select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    if gone.count() <= MAX_BROADCAST_NODES:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs[key].cast("bigint") == F.col("__gone"), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from covlens.llm import bpe, decontam, impact_topk, line_templates, maglev, minhash, secret_scan, toxicity, url_cascade
+from covlens.llm import bpe, decontam, impact_topk, line_templates, maglev, minhash, secret_scan, toxicity, url_cascade, warc
 
 SHARDS, SLOTS = 64, 6563
 
@@ -22,6 +22,11 @@ def op1_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(scored["doc_id"]).alias("held_out"), "score", "predicted")
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.build(_table(spark, sf_dir, "pages"), date="2024-01-31T00:00:00Z").drop("record")
+
+
 def op3_bpe_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text of every document."""
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
@@ -69,6 +74,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_subword_toxicity": op1_subword_toxicity,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op3_bpe_ranks": op3_bpe_ranks,
     "op4_impact_topk": op4_impact_topk,
     "op5_maglev_shards": op5_maglev_shards,
