@@ -5,7 +5,7 @@ one row per document with its token ids.  `run` writes every stage's result as P
 and reads it back as the next stage's documents, so a lost executor costs one stage.
 
 1. toxicity: documents that the classifier rejects go (learned from the labels outside the held-out fold).
-2. line dedup: lines of recurring templates go, the documents stay.
+2. line dedup: lines of recurring templates go, the documents stay (`n_chars` follows the text).
 3. near duplicates: the document with the smallest id of each group stays.
 4. decontamination: documents that overlap with a benchmark item go.
 5. encoding: token count, ids and digests of every text that is left.
@@ -19,6 +19,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from covlens.llm import bpe, decontam, line_templates, minhash, toxicity
 from covlens.session import ensure_checkpoint_dir
@@ -33,7 +34,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_templates.drop_recurring(docs).select(docs.columns)
+    kept = line_templates.drop_recurring(docs)
+    length = F.when(F.size("dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", length).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
