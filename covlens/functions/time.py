@@ -9,19 +9,15 @@ from pyspark.sql import functions as F
 # a parse pattern raises even inside try_to_timestamp.
 _WEEKDAY_RE = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
 
-# Feed date forms tried in order after ISO-8601 (RFC 822/1123 and kin).
-# `Z` reads +0700, `z` reads GMT/UTC/zone names, `XXX` reads +07:00.
-RFC_PATTERNS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm:ss XXX",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm z",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy",
-    "yyyy-MM-dd HH:mm:ss Z",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
+# A month name's letters beyond the third are dropped, so `January`, `Jan.` and
+# `Sept` all read as MMM.
+_MONTH_RE = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?(?=\s)"
+
+# Feed date forms tried in order after ISO-8601 (RFC 822/1123 and kin, day or
+# month first).  `Z` reads +0700, `z` reads GMT/UTC/zone names, `XXX` reads +07:00.
+RFC_PATTERNS = tuple(f"{day}[ H:mm[:ss]]{zone}" for day in ("d MMM yyyy", "MMM d yyyy") for zone in ("[ Z]", " z", " XXX")) + (
+    "yyyy-MM-dd H:mm:ss Z",
+    "yyyy/MM/dd[ H:mm[:ss]]",
 )
 
 
@@ -31,15 +27,20 @@ def parse_timestamp(s: Column) -> Column:
     t = F.trim(s)
     t = F.when(t != "", t)
     iso = t.try_cast("timestamp")
-    rest = F.regexp_replace(t, _WEEKDAY_RE, "")
-    tries = [iso] + [F.try_to_timestamp(rest, F.lit(p)) for p in RFC_PATTERNS]
-    return F.coalesce(*tries)
+    rest = F.regexp_replace(F.regexp_replace(t, _WEEKDAY_RE, ""), _MONTH_RE, "$1")
+    rest = F.regexp_replace(F.regexp_replace(rest, ",", " "), r"\s+", " ")
+    # The lambda binds the prepared text once for all patterns; written out per
+    # pattern, the expression outgrows a compiled method.
+    tried = F.transform(F.array(rest), lambda r: F.coalesce(*[F.try_to_timestamp(r, F.lit(p)) for p in RFC_PATTERNS]))
+    return F.coalesce(iso, F.get(tried, F.lit(0)))
 
 
 def parse_compact_ts(s: Column) -> Column:
-    """`yyyyMMddTHHmmssZ` (discovery API seen-date) or anything F2
-    reads."""
-    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyyMMdd'T'HHmmssX")), parse_timestamp(s))
+    """`yyyyMMddTHHmmss`, with or without `Z` (discovery API seen-date),
+    or anything F2 reads."""
+    compact = F.regexp_extract(s, r"^\s*([0-9]{8}T[0-9]{6})", 1)
+    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyyMMdd'T'HHmmssX")),
+                      F.try_to_timestamp(F.nullif(compact, F.lit("")), F.lit("yyyyMMdd'T'HHmmss")), parse_timestamp(s))
 
 
 def coverage_day(published_at: Column, ingested_at: Column) -> Column:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, PROTECTED, UNPROTECTED
 
 
+FILES_PER_DATE = 8
+
+
 def upsert_fold(obs: DataFrame, seq: str = "seq") -> DataFrame:
     """T1 over an observation log (any number of batches): one row per id.
 
@@ -46,17 +49,20 @@ def upsert_batch(snapshot: DataFrame, batch: DataFrame, seq: str = "seq"):
     id counts, as in the reference).  The result is a new snapshot; write it
     to a new directory, never over the one being read."""
     b = upsert_fold(batch, seq)
-    s = snapshot.select(*ITEM_COLUMNS).withColumn("_in_snap", F.lit(True))
-    j = s.alias("s").join(b.alias("b"), "id", "full_outer")
-    in_snap = F.col("s._in_snap").isNotNull()
-    in_batch = F.col("b.n_observations").isNotNull()
-    cols = [F.col("id")]
-    for c in ITEM_COLUMNS[1:]:
-        if c in PROTECTED:
-            cols.append(F.when(in_snap, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}")).alias(c))
-        else:
-            cols.append(F.when(in_batch, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    new_snap = j.select(*cols)
+    dated = "published_date" in snapshot.columns
+    columns = [*ITEM_COLUMNS, *(["published_date"] if dated else [])]
+    # Untouched rows pass as they stand, so a predicate on the published
+    # date still prunes the snapshot's partitions below the anti join.
+    untouched = snapshot.select(*columns).join(batch.select("id").distinct(), "id", "left_anti")
+    held = snapshot.select("id", *[F.col(c).alias(f"_s_{c}") for c in ITEM_COLUMNS if c in PROTECTED],
+                           F.lit(True).alias("_in_snap"))
+    j = b.join(held, "id", "left")
+    known = F.col("_in_snap").isNotNull()
+    touched = j.select("id", *[F.when(known, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in PROTECTED
+                               else F.col(c) for c in ITEM_COLUMNS[1:]])
+    if dated:
+        touched = touched.withColumn("published_date", F.to_date("published_at"))
+    new_snap = untouched.select(*columns).unionByName(touched.select(*columns))
     stats = (b.join(snapshot.select("id").withColumn("_hit", F.lit(1)), "id", "left")
              .agg(F.count_if(F.col("_hit").isNull()).alias("inserted"),
                   F.coalesce(F.sum("n_observations"), F.lit(0)).alias("rows"))
@@ -158,12 +164,16 @@ def ingest_stats(batch: DataFrame, snapshot_ids: DataFrame | None, source_col: s
 def write_log(df: DataFrame, path: str, partition_by: str = "batch_id") -> None:
     """Append observations to the log, partitioned by batch.  Dynamic
     partition overwrite makes a replayed batch idempotent."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.repartition(F.col(partition_by), F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Write a snapshot partitioned by published date (date predicates
-    of the report then prune partitions)."""
+    of the report then prune partitions): at most FILES_PER_DATE files a
+    date, however many tasks the fold has, and no date in one task."""
     (df.withColumn("published_date", F.to_date("published_at"))
+     .withColumn("_file", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
+     .repartition("published_date", "_file").drop("_file")
      .write.mode("overwrite").partitionBy("published_date").parquet(path))

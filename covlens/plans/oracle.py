@@ -4,7 +4,7 @@ tables.  Used by the driver's correctness check and by tests."""
 
 from __future__ import annotations
 
-from ..config import TEST_REPORT, TEST_TAXONOMY, Taxonomy
+from ..config import EDITORIAL_WORDS, TEST_REPORT, TEST_TAXONOMY, Taxonomy
 from ..functions.text import WS_CLASS
 
 NOW = "2024-01-31 00:00:00"
@@ -59,31 +59,42 @@ def actors_sql(text: str, tx: Taxonomy) -> str:
     return f"list_filter([{', '.join(elems)}]::VARCHAR[], lambda x: x IS NOT NULL)"
 
 
-EDITORIAL = ("opini", "menurut saya", "seharusnya", "kritik")
+def article_url_sql(a: str) -> str:
+    return (f"'https://www.src' || CAST(CASE WHEN {a} % 3 = 0 THEN 0 ELSE {a} % 20 END AS VARCHAR)"
+            f" || '.example.com/a/' || CAST({a} AS VARCHAR)")
+
+
+def url_sql(doc_id: str) -> str:
+    a = f"(CASE WHEN {doc_id} % 40 >= 36 THEN {doc_id} - 20 WHEN {doc_id} % 40 = 35 THEN {doc_id} - 18 ELSE {doc_id} END)"
+    return f"CASE WHEN {doc_id} % 97 = 5 THEN '' ELSE {article_url_sql(a)} END"
+
+
+EVENT_TIMES = """(SELECT event_id // 10 AS doc_id, ts FROM events QUALIFY row_number() OVER (
+    PARTITION BY event_id // 10 ORDER BY value DESC NULLS LAST, event_id DESC) = 1)"""
 
 
 def binding_ctes(tx: Taxonomy = TEST_TAXONOMY) -> str:
     """CTEs: obs (one row per document), items (upsert fold)."""
     return f"""
 b_doc AS (
-  SELECT doc_id, source, lang, substring(text, 1, 80) AS t_raw, substring(text, 81, 400) AS s_raw
+  SELECT doc_id, source, lang, substring(text, 1, 80) AS t_raw, substring(text, 81) AS s_raw
   FROM documents),
 b_x AS (
   SELECT b.*, l.quality, l.toxic, e.ts
   FROM b_doc b LEFT JOIN labels l ON l.doc_id = b.doc_id
-               LEFT JOIN events e ON e.event_id = b.doc_id * 10),
+               LEFT JOIN {EVENT_TIMES} e ON e.doc_id = b.doc_id),
 b_o1 AS (
   SELECT doc_id AS seq,
     CASE doc_id % 4 WHEN 0 THEN 'rss' WHEN 1 THEN 'gdelt' WHEN 2 THEN 'mediastack' ELSE 'youtube' END AS platform,
     source AS publisher_or_author,
-    'https://www.' || source || '.example.com/a/' || CAST(doc_id % 900 AS VARCHAR) AS url,
+    {url_sql('doc_id')} AS url,
     NULLIF({clean_sql('t_raw')}, '') AS title,
     NULLIF({clean_sql('s_raw')}, '') AS summary,
     CASE WHEN doc_id % 17 <> 0 THEN ts END AS published_at,
     TIMESTAMP '{NOW}' AS ingested_at,
     lang AS language,
     CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' WHEN quality = 0 THEN 'neutral' END AS sentiment,
-    CAST(doc_id // 250 AS BIGINT) AS batch_id
+    CAST((doc_id % 40) // 10 AS BIGINT) AS batch_id
   FROM b_x),
 b_o2 AS (
   SELECT *, sha256(platform || '|' || url) AS id,
@@ -106,7 +117,7 @@ b_snap AS (
   WHERE l.rn = 1),
 items AS (
   SELECT * EXCLUDE (stext), {topics_sql('stext', tx)} AS topics, {actors_sql('stext', tx)} AS actors,
-    CASE WHEN {any_sql('stext', EDITORIAL)} THEN TRUE END AS is_editorial
+    CASE WHEN {any_sql('stext', EDITORIAL_WORDS)} THEN TRUE END AS is_editorial
   FROM b_snap),
 win AS (
   SELECT *, published_at >= TIMESTAMP '{SINCE}' AS is_current,

@@ -90,6 +90,31 @@ def q_upsert_batch(spark, sf):
     return stats
 
 
+@register("upsert_batch_snapshot", W("""
+, s AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS f,
+               row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS l FROM obs WHERE batch_id < 2),
+  b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS f,
+               row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS l FROM obs WHERE batch_id >= 2),
+  ids AS (SELECT id FROM s UNION SELECT id FROM b)
+SELECT ids.id,
+  CASE WHEN bl.id IS NOT NULL THEN bl.title ELSE sl.title END AS title,
+  CASE WHEN bl.id IS NOT NULL THEN bl.summary ELSE sl.summary END AS summary,
+  CASE WHEN bl.id IS NOT NULL THEN bl.publisher_or_author ELSE sl.publisher_or_author END AS publisher,
+  strftime(CASE WHEN bl.id IS NOT NULL THEN bl.published_at ELSE sl.published_at END, '%Y-%m-%d %H:%M:%S') AS published,
+  CASE WHEN sf.id IS NOT NULL THEN sf.content_hash ELSE bf.content_hash END AS content_hash,
+  CASE WHEN sf.id IS NOT NULL THEN sf.sentiment ELSE bf.sentiment END AS sentiment,
+  CASE WHEN sf.id IS NOT NULL THEN sf.language ELSE bf.language END AS language
+FROM ids LEFT JOIN s sf ON sf.id = ids.id AND sf.f = 1 LEFT JOIN s sl ON sl.id = ids.id AND sl.l = 1
+  LEFT JOIN b bf ON bf.id = ids.id AND bf.f = 1 LEFT JOIN b bl ON bl.id = ids.id AND bl.l = 1""".replace("\n, s AS", ", s AS", 1)))
+def q_upsert_batch_snapshot(spark, sf):
+    """T1 incremental: the merged snapshot's rows."""
+    o = observations(spark, sf)
+    snap, _ = ST.upsert_batch(ST.upsert_fold(o.filter(F.col("batch_id") < 2)), o.filter(F.col("batch_id") >= 2))
+    return snap.select("id", "title", "summary", F.col("publisher_or_author").alias("publisher"),
+                       F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"),
+                       "content_hash", "sentiment", "language")
+
+
 @register("ingest_stats", W("""
 , per AS (
   SELECT platform AS source, count(*) AS raw, count(DISTINCT id) AS inserted FROM obs GROUP BY platform)

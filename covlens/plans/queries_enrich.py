@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_TAXONOMY, TEST_REPORT as P, TEST_TAXONOMY
+from ..config import (DEFAULT_TAXONOMY, EDITORIAL_WORDS, LANGUAGE_ID_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS,
+                      PUBLISHER_DOMAINS, TEST_REPORT as P, TEST_TAXONOMY)
 from ..functions.ids import sha256_hex
 from ..functions.jsonf import compact_json, parse_json_list
 from ..functions.publisher import publisher_from_domain, video_id
@@ -17,7 +18,7 @@ from ..operators import content as C
 from ..operators import enrich as EN
 from ..operators import store as ST
 from ..operators.tagging import keyword_enrich
-from ..sources.binding import INGESTED_AT, media_items, table
+from ..sources.binding import INGESTED_AT, article_pages, media_items, table
 from . import oracle as O
 from .queries import register
 
@@ -37,12 +38,10 @@ def q_clean_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
 
 
-@register("html_unescape", f"""
-SELECT page_id, {O.unescape_sql("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title FROM pages""")
+@register("html_unescape", f"SELECT page_id, {O.unescape_sql('html')} AS html FROM pages")
 def q_html_unescape(spark, sf):
-    """The page titles, character references decoded."""
-    t = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
-    return table(spark, sf, "pages").select("page_id", html_unescape(t).alias("title"))
+    """Whole pages, character references decoded."""
+    return table(spark, sf, "pages").select("page_id", html_unescape(F.col("html")).alias("html"))
 
 
 @register("url_domain", f"SELECT page_id, {O.domain_sql('url')} AS domain FROM pages")
@@ -52,7 +51,7 @@ def q_url_domain(spark, sf):
 
 
 _MAP = " ".join(f"WHEN h = {O.q(k)} OR ends_with(h, {O.q('.' + k)}) THEN {O.q(v)}"
-                for k, v in __import__("covlens.config", fromlist=["x"]).PUBLISHER_DOMAINS)
+                for k, v in PUBLISHER_DOMAINS)
 
 
 @register("publisher_from_domain", f"""
@@ -71,18 +70,24 @@ SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS pars
 
 @register("parse_timestamp", _TS_FORMS)
 def q_parse_timestamp(spark, sf):
-    """F2 + F3: every event time written in one of five feed/API forms
-    (compact, ISO with offset, RFC 822 with +0700, RFC 822 GMT, naive) and
-    parsed back; each must give the same instant (to the second)."""
+    """F2 + F3: every event time written in one of ten feed/API forms
+    (compact with and without zone, ISO with offset, RFC 822 with +0700, GMT
+    and one-digit hours, naive, full month names, month first) and parsed
+    back; each must give the same instant (to the second)."""
     ev = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     plus7 = F.col("ts") + F.expr("INTERVAL 7 HOURS")
-    k = F.col("event_id") % 5
+    k = F.col("event_id") % 10
     s = (F.when(k == 0, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
          .when(k == 1, F.date_format(plus7, "yyyy-MM-dd'T'HH:mm:ss'+07:00'"))
          .when(k == 2, F.date_format(plus7, "EEE, dd MMM yyyy HH:mm:ss '+0700'"))
          .when(k == 3, F.date_format("ts", "EEEE, d MMM yyyy HH:mm:ss 'GMT'"))
-         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
-    p = F.when(k == 0, parse_compact_ts(s)).otherwise(parse_timestamp(s))
+         .when(k == 4, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+         .when(k == 5, F.date_format("ts", "yyyyMMdd'T'HHmmss"))
+         .when(k == 6, F.date_format("ts", "d MMMM yyyy HH:mm:ss 'GMT'"))
+         .when(k == 7, F.date_format("ts", "MMMM d, yyyy HH:mm:ss"))
+         .when(k == 8, F.date_format(plus7, "d MMM yyyy H:mm:ss '+0700'"))
+         .otherwise(F.date_format("ts", "EEE, MMM d, yyyy H:mm:ss 'UTC'")))
+    p = F.when((k == 0) | (k == 5), parse_compact_ts(s)).otherwise(parse_timestamp(s))
     return ev.select("event_id", _ts_out(p).alias("parsed"))
 
 
@@ -126,20 +131,24 @@ def q_json_roundtrip(spark, sf):
 
 
 @register("parse_json_list", """
-SELECT event_id, 0 AS n FROM events""")
+SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type || '|' || user_id ELSE '' END AS items FROM events""")
 def q_parse_json_list(spark, sf):
-    """Event props are JSON objects, not lists -> empty."""
+    """Stored lists give their elements; JSON objects (the events'
+    props) and broken texts are empty lists."""
     ev = table(spark, sf, "events")
-    return ev.select("event_id", F.size(parse_json_list(F.col("props"))).alias("n"))
+    listed = F.to_json(F.array(F.col("event_type"), F.col("user_id").cast("string")))
+    text = (F.when(F.col("event_id") % 3 == 1, listed).when(F.col("event_id") % 3 == 2, F.lit("[nope"))
+            .otherwise(F.col("props")))
+    return ev.select("event_id", F.array_join(parse_json_list(text), "|").alias("items"))
 
 
 # ---------------------------------------------------------------------------
 # Tagging
 # ---------------------------------------------------------------------------
-_ED = O.any_sql("ttext", ("opini", "menurut saya", "seharusnya", "kritik"))
-_POSW = O.any_sql("ttext", ("positif", "baik", "bagus", "apresiasi"))
-_NEGW = O.any_sql("ttext", ("negatif", "buruk", "jelek", "korupsi", "skandal"))
-_IDW = O.any_sql("ttext", ("yang", "dan", "tidak", "dengan"))
+_ED = O.any_sql("ttext", EDITORIAL_WORDS)
+_POSW = O.any_sql("ttext", POSITIVE_WORDS)
+_NEGW = O.any_sql("ttext", NEGATIVE_WORDS)
+_IDW = O.any_sql("ttext", LANGUAGE_ID_WORDS)
 
 
 def _kw_sql(tx):
@@ -194,23 +203,22 @@ def q_extract_main_text(spark, sf):
 
 def _content_log(spark, sf):
     m = media_items(spark, sf)
-    return C.content_lookup(m, table(spark, sf, "pages"), "first_seq", "page_id", F.lit(INGESTED_AT))
+    return C.content_lookup(m, article_pages(spark, sf), "url", "url", F.lit(INGESTED_AT))
 
 
 @register("content_lookup", W(f"""
-, p AS (SELECT page_id, {_MAIN} AS content_text FROM pages)
-SELECT i.id, p.content_text FROM items i JOIN p ON p.page_id = i.first_seq WHERE p.content_text IS NOT NULL"""))
+, p AS (SELECT {O.article_url_sql('page_id')} AS url, {_MAIN} AS content_text FROM pages)
+SELECT i.id, p.content_text FROM items i JOIN p ON p.url = i.url WHERE p.content_text IS NOT NULL"""))
 def q_content_lookup(spark, sf):
-    """Pages for items without text (page of the item's first
-    document)."""
+    """Landed pages for items without text, looked up by url."""
     return _content_log(spark, sf).select("id", "content_text")
 
 
 @register("apply_content", W(f"""
-, p AS (SELECT page_id, {_MAIN} AS content_text FROM pages)
+, p AS (SELECT {O.article_url_sql('page_id')} AS url, {_MAIN} AS content_text FROM pages)
 SELECT i.id, CASE WHEN p.content_text IS NOT NULL THEN 'ok' END AS content_status,
   CAST(length(p.content_text) AS INTEGER) AS content_chars, i.content_hash
-FROM items i LEFT JOIN p ON p.page_id = i.first_seq AND p.content_text IS NOT NULL"""))
+FROM items i LEFT JOIN p ON p.url = i.url AND p.content_text IS NOT NULL"""))
 def q_apply_content(spark, sf):
     """Content log applied to the snapshot (content_hash kept: the
     log carries none)."""
@@ -337,9 +345,8 @@ def q_enrich_with_retry(spark, sf):
 def q_enrich_prompt(spark, sf):
     """the tagging prompt of every item (content from its page)."""
     m = media_items(spark, sf)
-    pages = C.with_main_text(table(spark, sf, "pages").select(F.col("page_id").alias("first_seq"), "html"),
-                             "html", "content").drop("html")
-    j = m.join(pages, "first_seq", "left")
+    pages = C.with_main_text(article_pages(spark, sf), "html", "content").drop("html")
+    j = m.join(pages, "url", "left")
     p = EN.enrich_prompt(j, TEST_TAXONOMY, F.col("content"))
     return j.select("id", F.length(p).alias("prompt_chars"), sha256_hex(p).alias("prompt_sha256"))
 
@@ -461,8 +468,8 @@ def _prompt_sql() -> str:
 
 
 ORACLE_PROMPT = W(f"""
-, p AS (SELECT page_id, {_MAIN} AS content FROM pages),
-  j AS (SELECT i.*, p.content FROM items i LEFT JOIN p ON p.page_id = i.first_seq),
+, p AS (SELECT {O.article_url_sql('page_id')} AS url, {_MAIN} AS content FROM pages),
+  j AS (SELECT i.*, p.content FROM items i LEFT JOIN p ON p.url = i.url),
   x AS (SELECT id, {_prompt_sql()} AS prompt FROM j)
 SELECT id, CAST(length(prompt) AS INTEGER) AS prompt_chars, sha256(prompt) AS prompt_sha256 FROM x""")
 
@@ -489,12 +496,15 @@ ORACLES["briefing_prompt"] = _briefing_sql()
 
 
 @register("distinct_preserve", """
-SELECT doc_id, array_to_string(list_filter(w, lambda x, i: x <> '' AND list_position(w, x) = i), ',') AS words
-FROM (SELECT doc_id, string_split(lower(substring(text, 1, 120)), ' ') AS w FROM documents)""")
+WITH w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS p
+           FROM (SELECT doc_id, string_split(lower(text), ' ') AS ws FROM documents)),
+  f AS (SELECT doc_id, w, min(p) AS p FROM w WHERE w <> '' GROUP BY doc_id, w),
+  a AS (SELECT doc_id, string_agg(w, ',' ORDER BY p) AS words FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.words, '') AS words FROM documents d LEFT JOIN a USING (doc_id)""")
 def q_distinct_preserve(spark, sf):
-    """the words of each document's opening, empties dropped,
-    de-duplicated in first-seen order."""
+    """the words of each document, empties dropped, de-duplicated in
+    first-seen order."""
     from ..functions.text import distinct_preserve
     d = table(spark, sf, "documents")
-    w = F.split(F.lower(F.substring("text", 1, 120)), " ")
+    w = F.split(F.lower(F.col("text")), " ")
     return d.select("doc_id", F.array_join(distinct_preserve(w), ",").alias("words"))

@@ -17,12 +17,12 @@ from .queries import register
 RUN_TS = "2024-01-31 00:00:00"
 
 RAW = f"""WITH raw AS (
-  SELECT d.doc_id, d.source, d.lang, substring(d.text, 1, 80) AS t_raw, substring(d.text, 81, 400) AS s_raw,
+  SELECT d.doc_id, d.source, d.lang, substring(d.text, 1, 80) AS t_raw, substring(d.text, 81) AS s_raw,
     CASE d.doc_id % 4 WHEN 0 THEN 'rss' WHEN 1 THEN 'gdelt' WHEN 2 THEN 'mediastack' ELSE 'youtube' END AS platform,
-    'https://www.' || d.source || '.example.com/a/' || CAST(d.doc_id % 900 AS VARCHAR) AS url,
+    {O.url_sql('d.doc_id')} AS url,
     CASE WHEN d.doc_id % 17 <> 0 THEN e.ts END AS ts,
     CAST(floor(d.doc_id / 100) AS BIGINT) AS block
-  FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id * 10)
+  FROM documents d LEFT JOIN {O.EVENT_TIMES} e ON e.doc_id = d.doc_id)
 """
 
 
@@ -71,7 +71,7 @@ def q_scan_keyed_feeds(spark, sf):
 
 
 @register("scan_feed_xml", RAW + """
-SELECT source || '_nasional' AS feed_name, url AS link, updated FROM (
+SELECT source || '_nasional' AS feed_name, NULLIF(url, '') AS link, updated FROM (
   SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS updated FROM raw) WHERE platform = 'rss' AND block % 2 = 1""")
 def q_scan_feed_xml(spark, sf):
     """RSS 2.0 documents -> entries."""

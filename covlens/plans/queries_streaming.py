@@ -124,7 +124,7 @@ def q_stream_dedup(spark, sf):
 
 
 @register("write_items", """
-WITH b AS (SELECT CAST(doc_id // 250 AS BIGINT) AS batch_id FROM documents)
+WITH b AS (SELECT CAST((doc_id % 40) // 10 AS BIGINT) AS batch_id FROM documents)
 SELECT batch_id, count(*) AS n FROM b GROUP BY batch_id""")
 def q_write_items(spark, sf):
     """The observation log written partitioned by batch and read back

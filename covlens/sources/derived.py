@@ -2,8 +2,8 @@
 
 The reference ingests API lists, keyed feed payloads and raw feed XML.  The
 test data has none, so Spark writes them out of the documents/events rows
-(the same binding as `binding.py`: platform = doc_id % 4, url from source
-and doc_id % 900, published from events).  Each landed "file" holds the
+(the same binding as `binding.py`: platform, article url, whole text,
+published time).  Each landed "file" holds the
 rows of one (platform, doc_id div 100) block, so payload documents stay
 small however large the tables grow, and the scans parse real text.
 
@@ -19,20 +19,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .binding import platform_of, table
+from .binding import event_times, opening, platform_of, rest, table, url_of
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", F.substring("text", 1, 80).alias("t_raw"),
-        F.substring("text", 81, 400).alias("s_raw"))
-    ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    x = d.join(ev, (F.col("doc_id") * 10) == F.col("event_id"), "left")
+        "doc_id", "source", "lang", opening(F.col("text")).alias("t_raw"), rest(F.col("text")).alias("s_raw"))
+    x = d.join(event_times(spark, sf_dir), "doc_id", "left")
     return x.select(
         "doc_id", "source", "lang", "t_raw", "s_raw",
         platform_of(F.col("doc_id")).alias("platform"),
-        F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/a/"),
-                 (F.col("doc_id") % 900).cast("string")).alias("url"),
+        url_of(F.col("doc_id")).alias("url"),
         F.when(F.col("doc_id") % 17 != 0, F.col("ts").cast("timestamp")).alias("ts"),
         F.floor(F.col("doc_id") / 100).cast("long").alias("block"))
 

@@ -10,12 +10,15 @@ line-delimited dumps go through spark.read.json with the same schema."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import AGGREGATOR_LANGUAGES
 from ..functions.publisher import video_id as video_id_of
+from ..functions.time import parse_timestamp
 
 S = T.StringType()
 DISCOVERY_SCHEMA = T.StructType([T.StructField(n, S) for n in (
@@ -84,10 +87,14 @@ def read_aggregator_list(spark: SparkSession, path: str):
 
 # --- S3 / S5 ---------------------------------------------------------------
 def parse_keyed_feeds(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("path",)) -> DataFrame:
-    """S3: {feed_name: [entry, ...]} -> (feed_name, pos, entry map)."""
+    """S3: {feed_name: [entry, ...]} -> (feed_name, pos, entry map).  `pos`
+    orders all entries of a document: the feed's place in it in the upper
+    32 bits, the entry's place in the feed below."""
     k = [c for c in keep if c in docs.columns]
-    m = docs.select(*k, F.explode(F.from_json(F.col(text), KEYED_FEEDS)).alias("feed_name", "entries"))
-    return m.select(*k, "feed_name", F.posexplode("entries").alias("pos", "entry"))
+    m = docs.select(*k, F.posexplode(F.from_json(F.col(text), KEYED_FEEDS)).alias("_feed", "feed_name", "entries"))
+    e = m.select(*k, "_feed", "feed_name", F.posexplode("entries").alias("_entry", "entry"))
+    return e.select(*k, "feed_name", (F.shiftleft(F.col("_feed").cast("long"), 32) + F.col("_entry")).alias("pos"),
+                    "entry")
 
 
 def read_keyed_feeds(spark: SparkSession, path: str) -> DataFrame:
@@ -163,11 +170,14 @@ def clean_languages(languages: str | None) -> list[str] | None:
 
 def request_filter(rows: DataFrame, countries: str | None = None, categories: str | None = None,
                    languages: str | None = None, keywords: str | None = None,
-                   published_col: str = "published_at", limit: int | None = None) -> DataFrame:
+                   published_col: str = "published_at", limit: int | None = None, timespan: str | None = None,
+                   sourcelang: str | None = None, now: str | None = None, parse=parse_timestamp) -> DataFrame:
     """The source request parameters as predicates over landed rows:
     country/category/language lists (comma separated, '-' excludes),
-    keywords (any, case-insensitive, on title/description), newest first,
-    then `limit` (the API's page size)."""
+    keywords (any, case-insensitive, on title/description), `timespan`
+    before `now` (`30min`, `24h`, `7d`, `2w`, `3m`) and `sourcelang` of the
+    discovery API, newest instant first (`parse` reads the date's text, F2
+    or F3), then `limit` (the API's page size)."""
     q = rows
 
     def listed(col: str, spec: list[str] | None):
@@ -192,6 +202,12 @@ def request_filter(rows: DataFrame, countries: str | None = None, categories: st
             h = text.contains(w)
             hit = h if hit is None else hit | h
         q = q.filter(hit)
-    if limit is not None:
-        q = q.orderBy(F.col(published_col).desc_nulls_last(), F.col("url")).limit(limit)
-    return q
+    if timespan:
+        n, unit = re.fullmatch(r"\s*(\d+)\s*(min|h|hours?|d|days?|w|weeks?|m|months?)\s*", timespan.lower()).groups()
+        step = {"min": "MINUTE", "h": "HOUR", "d": "DAY", "w": "WEEK", "m": "MONTH"}[
+            unit if unit in ("min", "h", "d", "w", "m") else unit[0]]
+        q = q.filter(parse(F.col(published_col)) >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(n)} {step}"))
+    if sourcelang:
+        q = q.filter(F.lower(F.col("language")) == sourcelang.lower())
+    q = q.orderBy(parse(F.col(published_col)).desc_nulls_last(), F.col("url"))
+    return q if limit is None else q.limit(limit)
