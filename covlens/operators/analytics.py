@@ -15,8 +15,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import (APPENDIX_PUBLISHERS, APPENDIX_TOPICS, LAST_DAYS, SENTIMENT_LABELS, TOP_ACTORS,
-                      TOP_DOMAINS, TOP_PUBLISHERS, TOP_SENTIMENT_KEYS, TOP_TOPICS, ReportParams)
+from ..config import (APPENDIX_PUBLISHERS, APPENDIX_TOPICS, CRITICAL_COST, DECLINING, HEALTH_BASE, HIGH_RISK_POINTS,
+                      IMPROVING, LAST_DAYS, MEDIUM_RISK_POINTS, SENTIMENT_LABELS, SLUMP, SLUMP_COST, SURGE,
+                      SURGE_COST, TOP_ACTORS, TOP_DOMAINS, TOP_PUBLISHERS, TOP_SENTIMENT_KEYS, TOP_TOPICS,
+                      ReportParams)
 from ..functions.scoring import clamp, valid_sentiment
 from ..functions.text import url_domain
 from ..functions.time import coverage_day
@@ -219,13 +221,13 @@ def critical_topics(items: DataFrame, p: ReportParams) -> DataFrame:
 
 def health_from(n_cur: Column, n_prev: Column, n_crit: Column) -> list[Column]:
     delta = _delta(n_cur, n_prev)
-    reputation = (F.when(delta > 0.10, "Improving").when(delta < -0.10, "Declining")
+    reputation = (F.when(delta > IMPROVING, "Improving").when(delta < DECLINING, "Declining")
                   .otherwise("Stable"))
     points = (F.when(n_crit >= 2, 2).when(n_crit == 1, 1).otherwise(0)
-              + F.when(delta > 0.50, 1).otherwise(0))
-    risk = F.when(points >= 3, "High").when(points == 2, "Medium").otherwise("Low")
-    health = (F.lit(80) - F.lit(10) * n_crit - F.when(delta > 0.50, 5).otherwise(0)
-              - F.when(delta < -0.30, 3).otherwise(0))
+              + F.when(delta > SURGE, 1).otherwise(0))
+    risk = F.when(points >= HIGH_RISK_POINTS, "High").when(points >= MEDIUM_RISK_POINTS, "Medium").otherwise("Low")
+    health = (F.lit(HEALTH_BASE) - F.lit(CRITICAL_COST) * n_crit - F.when(delta > SURGE, SURGE_COST).otherwise(0)
+              - F.when(delta < SLUMP, SLUMP_COST).otherwise(0))
     return [delta.alias("mention_delta"),
             clamp(health, 0, 100).cast("long").alias("health_score"),
             reputation.alias("reputation"), risk.alias("risk")]
@@ -347,6 +349,9 @@ def rollup_once(items: DataFrame, p: ReportParams) -> DataFrame:
 # ---------------------------------------------------------------------------
 # W2/U2 seed URLs, J7 restriction
 # ---------------------------------------------------------------------------
+SALTS = 64
+
+
 def seed_urls(items: DataFrame, p: ReportParams, topics=None, max_urls: int | None = None) -> DataFrame:
     """W2 + U2: per topic, items carrying it (once per item) with a url,
     newest first (ties by id), the first N, then repeated urls dropped (so
@@ -356,8 +361,16 @@ def seed_urls(items: DataFrame, p: ReportParams, topics=None, max_urls: int | No
     e = e.filter(F.coalesce(F.col("url"), F.lit("")) != "")
     if topics is not None:
         e = e.filter(F.col("topic").isin(*list(topics)))
-    w = Window.partitionBy("topic").orderBy(F.col("published_at").desc_nulls_last(), F.col("id"))
-    top = e.select("topic", "url", F.row_number().over(w).alias("r")).filter(F.col("r") <= n)
+    # In two stages: the newest N of each of SALTS shares of the tasks, then
+    # of the topic.  A task sends at most N rows of a topic, to one share, so
+    # a topic's rows meet in the last stage only, SALTS * N of them at most.
+    newest = [F.col("published_at").desc_nulls_last(), F.col("id")]
+    part = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    some = (e.select("topic", "url", "published_at", "id", part.alias("salt"))
+            .withColumn("r", F.row_number().over(Window.partitionBy("topic", "salt").orderBy(*newest)))
+            .filter(F.col("r") <= n))
+    top = (some.select("topic", "url", F.row_number().over(Window.partitionBy("topic").orderBy(*newest)).alias("r"))
+           .filter(F.col("r") <= n))
     d = top.groupBy("topic", "url").agg(F.min("r").alias("r"))
     w2 = Window.partitionBy("topic").orderBy("r")
     return d.select("topic", F.row_number().over(w2).cast("long").alias("rank"), "url")

@@ -120,15 +120,16 @@ def enrich_with_retry(pending: DataFrame, respond: Callable[[DataFrame], DataFra
     done = None
     last = None
     for attempt in range(max_retries + 1):
-        resp = respond(todo.withColumn("attempt", F.lit(attempt)))
-        r = resp.select("id", validate_enrichment(F.col("text")).alias("e"))
+        # One answer per id; an item the model says nothing about is an unusable answer, not a lost item.
+        resp = respond(todo.withColumn("attempt", F.lit(attempt))).groupBy("id").agg(F.max("text").alias("text"))
+        r = todo.join(resp, "id", "left").select("id", "prompt", validate_enrichment(F.col("text")).alias("e"))
         if checkpoint:
             ensure_checkpoint_dir(r.sparkSession)
             r = r.checkpoint(eager=True)
         good = r.filter(F.col("e.status") == "ok").select("id", "e", F.lit(attempt).alias("attempts"))
         done = good if done is None else done.unionByName(good)
         last = r.filter(F.col("e.status") != "ok")
-        todo = todo.join(last.select("id"), "id", "left_semi")
+        todo = last.select("id", "prompt")
     failed = last.select("id", "e", F.lit(max_retries).alias("attempts"))
     allr = done.unionByName(failed)
     e = F.col("e")
@@ -164,12 +165,12 @@ def enrich_prompt(items: DataFrame, taxonomy: Taxonomy, content: Column | None =
     """the per-item tagging prompt.  The taxonomy block and the rules
     are one constant built on the driver from the (small) taxonomy; only
     the item fields are per row."""
-    from .prompt_text import prompt_head, prompt_tail_parts
-    head = prompt_head(taxonomy)
+    from .prompt_text import prompt_head_parts, prompt_tail_parts
+    head = [clean_text(F.lit(t)) if raw else F.lit(t) for t, raw in prompt_head_parts(taxonomy)]
     body = content if content is not None else F.col("content_text")
     parts = prompt_tail_parts()
     return F.concat(
-        F.lit(head),
+        *head,
         F.lit(parts[0]), F.coalesce(F.col("platform"), F.lit("None")),
         F.lit(parts[1]), F.coalesce(F.col("source_type"), F.lit("None")),
         F.lit(parts[2]), F.coalesce(F.col("publisher_or_author"), F.lit("None")),

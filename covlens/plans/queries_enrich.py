@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import (DEFAULT_TAXONOMY, EDITORIAL_WORDS, LANGUAGE_ID_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS,
-                      PUBLISHER_DOMAINS, TEST_REPORT as P, TEST_TAXONOMY)
+from ..config import (EDITORIAL_WORDS, LANGUAGE_ID_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS, PUBLISHER_DOMAINS,
+                      TEST_REPORT as P, TEST_TAXONOMY, WORDS_TAXONOMY)
 from ..functions.ids import sha256_hex
 from ..functions.jsonf import compact_json, parse_json_list
 from ..functions.publisher import publisher_from_domain, video_id
@@ -175,10 +175,10 @@ def q_keyword_enrich(spark, sf):
     return _kw(spark, sf, TEST_TAXONOMY)
 
 
-@register("keyword_enrich_default", _kw_sql(DEFAULT_TAXONOMY))
+@register("keyword_enrich_default", _kw_sql(WORDS_TAXONOMY))
 def q_keyword_enrich_default(spark, sf):
     """E1-E6 with the shipped taxonomy and word lists."""
-    return _kw(spark, sf, DEFAULT_TAXONOMY)
+    return _kw(spark, sf, WORDS_TAXONOMY)
 
 
 # ---------------------------------------------------------------------------
@@ -230,15 +230,15 @@ def q_apply_content(spark, sf):
 
 @register("apply_enrichment", W(f"""
 , k AS (SELECT id, lower(coalesce(title, '') || ' ' || coalesce(summary, '')) AS ttext, sentiment AS old FROM items)
-SELECT id, array_to_string({O.topics_sql('ttext', DEFAULT_TAXONOMY)}, ',') AS topics,
+SELECT id, array_to_string({O.topics_sql('ttext', WORDS_TAXONOMY)}, ',') AS topics,
   CASE WHEN {_POSW} THEN 'positive' WHEN {_NEGW} THEN 'negative' ELSE 'neutral' END AS sentiment,
   'fallback_keyword' AS enrich_model
 FROM k"""))
 def q_apply_enrichment(spark, sf):
-    """A keyword enrichment log (shipped taxonomy) overwrites the
+    """A keyword enrichment log (another taxonomy) overwrites the
     enrichment columns of every item it names."""
     m = media_items(spark, sf)
-    log = keyword_enrich(m, DEFAULT_TAXONOMY, F.lit(INGESTED_AT)).withColumn("seq", F.lit(1))
+    log = keyword_enrich(m, WORDS_TAXONOMY, F.lit(INGESTED_AT)).withColumn("seq", F.lit(1))
     r = ST.apply_enrichment(m, log)
     return r.select("id", F.array_join("topics", ",").alias("topics"), "sentiment", "enrich_model")
 
@@ -289,20 +289,6 @@ def q_ingest_state(spark, sf):
 # ---------------------------------------------------------------------------
 # Model responses: validation, retrying enrichment
 # ---------------------------------------------------------------------------
-def _responses(m, attempt_col=None):
-    """A model stand-in derived from the items: the keyword tags as JSON,
-    with broken answers by a fixed rule (first attempts of every 4th item
-    are not JSON; every 16th item answers a null list twice; every 64th is
-    never an object)."""
-    seq = F.col("first_seq")
-    good = F.col("tags_json")
-    a = attempt_col if attempt_col is not None else F.lit(0)
-    return (F.when(seq % 64 == 0, F.lit("[]"))
-            .when((seq % 16 == 0) & (a <= 1), F.lit('{"topics": null}'))
-            .when((seq % 4 == 0) & (a == 0), F.concat(F.lit("Sure! "), good))
-            .otherwise(good))
-
-
 _VARIANTS = """CASE CAST(first_seq % 9 AS INTEGER)
   WHEN 0 THEN '{}' WHEN 1 THEN '{"topics":null}' WHEN 2 THEN '{"topics":[1,"a"]}'
   WHEN 3 THEN '{"topics":["a",null]}' WHEN 4 THEN '{"is_editorial":"yes","language":"' || coalesce(language, 'xx') || '"}'
@@ -323,21 +309,46 @@ def q_validate_enrichment(spark, sf):
                     "e.is_editorial", "e.language")
 
 
+def stand_in_model(prompt: str, attempt: int) -> str | None:
+    """A model stand-in: reads its answer out of the prompt and breaks it by
+    a fixed rule of the item's number (every 64th never answers an object,
+    every 16th answers a null list twice, every 4th wraps its first answer
+    in prose, every 32nd from 5 on raises)."""
+    number, tags = prompt.split("|", 1)
+    n = int(number)
+    if n % 32 == 5:
+        raise TimeoutError("no answer")
+    if n % 64 == 0:
+        return "[]"
+    if n % 16 == 0 and attempt <= 1:
+        return '{"topics": null}'
+    return "Sure! " + tags if n % 4 == 0 and attempt == 0 else tags
+
+
+def _model_log(m):
+    """(pending, enrichment log) of the items through the Arrow model path;
+    the model gives no row at all for every 32nd item from 7 on."""
+    pend = m.select("id", F.concat_ws("|", F.col("first_seq").cast("string"), "tags_json").alias("prompt"))
+    model = EN.pandas_model(stand_in_model)
+    silent = F.substring_index("prompt", "|", 1).cast("long") % 32 == 7
+    log = EN.enrich_with_retry(pend, lambda df: model(df.filter(~silent)), model="stand-in", max_retries=2,
+                               enriched_at=F.lit(INGESTED_AT))
+    return pend, log
+
+
+@register("enrich_counts_model", None)
+def q_enrich_counts_model(spark, sf):
+    """E9 for a model cycle: pending, ok and error."""
+    m = keyword_enrich(media_items(spark, sf), TEST_TAXONOMY, F.lit(INGESTED_AT), keep=("id", "first_seq"))
+    return EN.enrich_counts(*_model_log(m))
+
+
 @register("enrich_with_retry", None)
 def q_enrich_with_retry(spark, sf):
-    """Retrying enrichment over every item with a deterministic model
-    stand-in; attempts are checkpointed."""
+    """Retrying enrichment over every item through the Arrow model path
+    with a deterministic stand-in; attempts are checkpointed."""
     m = keyword_enrich(media_items(spark, sf), TEST_TAXONOMY, F.lit(INGESTED_AT), keep=("id", "first_seq"))
-    pend = m.select("id", F.concat_ws("|", F.col("first_seq").cast("string"), "tags_json").alias("prompt"))
-
-    def respond(df):
-        # the stand-in model reads its answer out of the prompt
-        parts = df.select("id", "attempt",
-                          F.substring_index("prompt", "|", 1).cast("long").alias("first_seq"),
-                          F.expr("substring(prompt, instr(prompt, '|') + 1)").alias("tags_json"))
-        return parts.select("id", _responses(parts, F.col("attempt")).alias("text"))
-    log = EN.enrich_with_retry(pend, respond, model="stand-in", max_retries=2, enriched_at=F.lit(INGESTED_AT))
-    return log.select("id", "enrich_status", "enrich_error", "attempts",
+    return _model_log(m)[1].select("id", "enrich_status", "enrich_error", "attempts",
                       F.array_join("topics", ",").alias("topics"))
 
 
@@ -347,7 +358,7 @@ def q_enrich_prompt(spark, sf):
     m = media_items(spark, sf)
     pages = C.with_main_text(article_pages(spark, sf), "html", "content").drop("html")
     j = m.join(pages, "url", "left")
-    p = EN.enrich_prompt(j, TEST_TAXONOMY, F.col("content"))
+    p = EN.enrich_prompt(j, WORDS_TAXONOMY, F.col("content"))
     return j.select("id", F.length(p).alias("prompt_chars"), sha256_hex(p).alias("prompt_sha256"))
 
 
@@ -447,20 +458,25 @@ FROM v""")
 
 ORACLE_RETRY = W(f"""
 , k AS (SELECT id, first_seq, lower(coalesce(title, '') || ' ' || coalesce(summary, '')) AS ttext FROM items)
-SELECT id, CASE WHEN first_seq % 64 = 0 THEN 'error' ELSE 'ok' END AS enrich_status,
-  CASE WHEN first_seq % 64 = 0 THEN 'not_object' END AS enrich_error,
-  CASE WHEN first_seq % 64 = 0 THEN 3 WHEN first_seq % 16 = 0 THEN 3 WHEN first_seq % 4 = 0 THEN 2 ELSE 1 END AS attempts,
-  CASE WHEN first_seq % 64 = 0 THEN '' ELSE array_to_string({O.topics_sql('ttext', TEST_TAXONOMY)}, ',') END AS topics
-FROM k""")
+SELECT id, CASE WHEN lost OR first_seq % 64 = 0 THEN 'error' ELSE 'ok' END AS enrich_status,
+  CASE WHEN lost THEN 'no_text' WHEN first_seq % 64 = 0 THEN 'not_object' END AS enrich_error,
+  CASE WHEN lost OR first_seq % 16 = 0 THEN 3 WHEN first_seq % 4 = 0 THEN 2 ELSE 1 END AS attempts,
+  CASE WHEN lost OR first_seq % 64 = 0 THEN '' ELSE array_to_string({O.topics_sql('ttext', TEST_TAXONOMY)}, ',') END AS topics
+FROM (SELECT *, first_seq % 32 IN (5, 7) AS lost FROM k)""")
+
+ORACLE_COUNTS = W("""
+SELECT count(*) AS pending, count(*) FILTER (NOT bad) AS enriched_ok, count(*) FILTER (bad) AS enriched_error,
+  CAST(0 AS BIGINT) AS skipped
+FROM (SELECT first_seq % 32 IN (5, 7) OR first_seq % 64 = 0 AS bad FROM items)""")
 
 
 def _prompt_sql() -> str:
-    from ..operators.prompt_text import prompt_head, prompt_tail_parts
+    from ..operators.prompt_text import prompt_head_parts, prompt_tail_parts
     parts = prompt_tail_parts()
     fields = ["coalesce(platform, 'None')", "coalesce(source_type, 'None')",
               "coalesce(publisher_or_author, 'None')", "coalesce(url, 'None')",
               O.clean_sql("title"), O.clean_sql("summary"), f"substring({O.clean_sql('content')}, 1, 4000)"]
-    expr = O.q(prompt_head(TEST_TAXONOMY))
+    expr = " || ".join(O.clean_sql(O.q(t)) if raw else O.q(t) for t, raw in prompt_head_parts(WORDS_TAXONOMY))
     for lit, f in zip(parts, fields):
         expr += f" || {O.q(lit)} || {f}"
     expr += f" || {O.q(parts[-1])}"
@@ -491,6 +507,7 @@ from .queries import ORACLES  # noqa: E402
 
 ORACLES["validate_enrichment"] = ORACLE_VALIDATE
 ORACLES["enrich_with_retry"] = ORACLE_RETRY
+ORACLES["enrich_counts_model"] = ORACLE_COUNTS
 ORACLES["enrich_prompt"] = ORACLE_PROMPT
 ORACLES["briefing_prompt"] = _briefing_sql()
 
