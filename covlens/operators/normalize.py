@@ -24,6 +24,12 @@ def _nonempty(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+def _raw(df: DataFrame, built: Column) -> Column:
+    """The landed object as it came where the scan kept it (`raw`), else as
+    far as it was parsed."""
+    return F.col("raw") if "raw" in df.columns else compact_json(built)
+
+
 def _or_none(text: Column) -> Column:
     t = clean_text(text)
     return F.when(t != "", t)
@@ -54,8 +60,8 @@ def normalize_discovery(arts: DataFrame, ingested_at: Column, keep=("path", "pos
         parse_compact_ts(F.col("seendate")).alias("published_at"),
         compact_json(F.struct(domain.alias("domain"), "sourcecountry", "language", "socialimage",
                               "url_mobile")).alias("signals_json"),
-        compact_json(F.struct("url", "url_mobile", "title", "seendate", "socialimage", "domain",
-                              "language", "sourcecountry")).alias("raw_json"))
+        _raw(arts, F.struct("url", "url_mobile", "title", "seendate", "socialimage", "domain",
+                            "language", "sourcecountry")).alias("raw_json"))
     return base_item(x, ingested_at, keep)
 
 
@@ -70,8 +76,8 @@ def normalize_aggregator(arts: DataFrame, ingested_at: Column, keep=("path", "po
         _or_none(F.col("description")).alias("summary"),
         parse_timestamp(F.col("published_at")).alias("published_at"),
         compact_json(F.struct("category", "country", "language", "image")).alias("signals_json"),
-        compact_json(F.struct("author", "title", "description", "url", "source", "image", "category",
-                              "language", "country", "published_at")).alias("raw_json"))
+        _raw(arts, F.struct("author", "title", "description", "url", "source", "image", "category",
+                            "language", "country", "published_at")).alias("raw_json"))
     return base_item(x, ingested_at, keep)
 
 
@@ -88,7 +94,7 @@ def normalize_feed(entries: DataFrame, ingested_at: Column, keep=("path", "pos")
         parse_timestamp(F.coalesce(_nonempty(e["published"]), e["updated"])).alias("published_at"),
         compact_json(F.struct(F.coalesce(_nonempty(e["_feed_name"]), F.col("feed_name")).alias("feed_name"),
                               e["_feed_url"].alias("feed_url"))).alias("signals_json"),
-        compact_json(e).alias("raw_json"))
+        _raw(entries, e).alias("raw_json"))
     return base_item(x, ingested_at, keep)
 
 
@@ -127,7 +133,7 @@ def normalize_channel(entries: DataFrame, ingested_at: Column, stats: DataFrame
         compact_json(F.struct(F.coalesce(_nonempty(e["_channel_name"]), F.col("feed_name")).alias("channel_name"),
                               e["_channel_id"].alias("channel_id"), e["video_id"].alias("video_id"),
                               F.col("metrics").alias("metrics"))).alias("signals_json"),
-        compact_json(e).alias("raw_json"))
+        _raw(j, e).alias("raw_json"))
     return base_item(x, ingested_at, keep)
 
 

@@ -161,10 +161,11 @@ def ingest_stats(batch: DataFrame, snapshot_ids: DataFrame | None, source_col: s
                     (F.col("raw") - F.col("inserted")).cast("long").alias("updated"))
 
 
-def write_log(df: DataFrame, path: str, partition_by: str = "batch_id") -> None:
+def write_log(df: DataFrame, path: str, partition_by: str = "batch_id", key: str | None = "id") -> None:
     """Append observations to the log, partitioned by batch.  Dynamic
     partition overwrite makes a replayed batch idempotent."""
-    (df.repartition(F.col(partition_by), F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
+    spread = [F.pmod(F.xxhash64(key), F.lit(FILES_PER_DATE))] if key else []
+    (df.repartition(F.col(partition_by), *spread)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 

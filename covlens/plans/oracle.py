@@ -70,7 +70,8 @@ def url_sql(doc_id: str) -> str:
 
 
 EVENT_TIMES = """(SELECT event_id // 10 AS doc_id, ts FROM events QUALIFY row_number() OVER (
-    PARTITION BY event_id // 10 ORDER BY value DESC NULLS LAST, event_id DESC) = 1)"""
+    PARTITION BY event_id // 10 
+    ORDER BY CAST(floor(coalesce(value, -1.0) * 1000000) AS BIGINT) * 10 + event_id % 10 DESC) = 1)"""
 
 
 def binding_ctes(tx: Taxonomy = TEST_TAXONOMY) -> str:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.time import parse_compact_ts
 from ..operators import normalize as N
 from ..operators import store as ST
 from ..sources import derived as D
@@ -30,13 +31,30 @@ def _pub_ts(c: str) -> str:
     return f"strftime(date_trunc('second', {c}), '%Y-%m-%d %H:%M:%S')"
 
 
+def _channel_entries(spark, sf):
+    k = L.parse_keyed_feeds(D.keyed_channel_payloads(spark, sf))
+    x = L.parse_channel_xml(D.channel_xml_payloads(spark, sf), F.col("channel"), F.col("channel_ref"))
+    return k.unionByName(x.select(*k.columns))
+
+
 def _fmt(col):
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
 
 
 def _items_out(df):
     return df.select("id", "publisher_or_author", "url", "title", "summary",
-                     _fmt(F.col("published_at")).alias("published"), "signals_json")
+                     _fmt(F.col("published_at")).alias("published"), "signals_json", "source_type", "content_hash",
+                     F.get_json_object("raw_json", "$.title").alias("raw_title"),
+                     F.get_json_object("raw_json", "$.id").alias("raw_id"))
+
+
+def _own(source_type: str, summary: str, xml: str = "FALSE") -> str:
+    """The remaining columns of `_items_out`; the raw payload's title and id
+    (a field that no scan types) are as they landed, in XML documents
+    (where `xml` holds) without surrounding white space."""
+    return (f"'{source_type}' AS source_type, sha256(substring(coalesce({_ne('t_raw')}, ''), 1, 200) || '||' || "
+            f"substring(coalesce({summary}, ''), 1, 200)) AS content_hash, "
+            f"CASE WHEN {xml} THEN trim(t_raw, ' ' || chr(10) || chr(9) || chr(13)) ELSE t_raw END AS raw_title, 'ref-' || CAST(doc_id AS VARCHAR) AS raw_id")
 
 
 def _ne(x: str) -> str:
@@ -85,10 +103,9 @@ SELECT source AS channel, 'https://www.youtube.com/watch?v=v' || CAST(doc_id AS
   'v' || CAST(doc_id AS VARCHAR) AS video_id, 'UC' || source AS channel_id
 FROM raw WHERE platform = 'youtube'""")
 def q_scan_channel_feeds(spark, sf):
-    """Atom channel documents -> entries with video_id (F12) and
-    channel id."""
-    c = D.channel_xml_payloads(spark, sf)
-    e = L.parse_channel_xml(c, F.col("channel"), F.col("channel_ref"))
+    """Atom and keyed JSON channel documents -> entries with video_id
+    (F12) and channel id."""
+    e = _channel_entries(spark, sf)
     return e.select(F.col("feed_name").alias("channel"), F.col("entry")["link"].alias("link"),
                     F.col("entry")["video_id"].alias("video_id"),
                     F.col("entry")["_channel_id"].alias("channel_id"))
@@ -109,11 +126,22 @@ def q_source_request_filter(spark, sf):
     return r.select("url", "published_at")
 
 
+@register("discovery_request_filter", RAW + """
+SELECT url, seendate FROM (
+  SELECT url, lang, ts, strftime(ts, '%Y%m%dT%H%M%SZ') AS seendate FROM raw WHERE platform = 'gdelt')
+WHERE lang = 'en' AND date_trunc('second', ts) >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY""")
+def q_discovery_request_filter(spark, sf):
+    """The discovery API's timespan and source language."""
+    arts = L.parse_api_list(D.discovery_payloads(spark, sf))
+    return L.request_filter(arts, published_col="seendate", parse=parse_compact_ts, timespan="2w", sourcelang="en",
+                            now=RUN_TS).select("url", "seendate")
+
+
 @register("normalize_discovery", RAW + f"""
 SELECT sha256('gdelt|' || url) AS id, 'example' AS publisher_or_author, url, {_ne('t_raw')} AS title,
   NULL::VARCHAR AS summary, {_pub_ts('ts')} AS published,
   to_json({{'domain': 'www.' || source || '.example.com', 'sourcecountry': 'ID', 'language': lang,
-            'socialimage': '', 'url_mobile': ''}}) AS signals_json
+            'socialimage': '', 'url_mobile': ''}}) AS signals_json, {_own('news', 'NULL')}
 FROM raw WHERE platform = 'gdelt'""")
 def q_normalize_discovery(spark, sf):
     """N1 + F3 + F7."""
@@ -125,7 +153,8 @@ SELECT sha256('mediastack|' || url) AS id,
   CASE doc_id % 5 WHEN 0 THEN CASE WHEN doc_id % 3 <> 0 THEN 'au' || CAST(doc_id % 7 AS VARCHAR) ELSE 'unknown' END
                   WHEN 1 THEN 'unknown' ELSE source END AS publisher_or_author,
   url, {_ne('t_raw')} AS title, {_ne('s_raw')} AS summary, {_pub_ts('ts')} AS published,
-  to_json({{'category': 'general', 'country': 'id', 'language': lang, 'image': NULL::VARCHAR}}) AS signals_json
+  to_json({{'category': 'general', 'country': 'id', 'language': lang, 'image': NULL::VARCHAR}}) AS signals_json,
+  {_own('news', _ne('s_raw'))}
 FROM raw WHERE platform = 'mediastack'""")
 def q_normalize_aggregator(spark, sf):
     """N2 + F2 + F11."""
@@ -142,7 +171,8 @@ def _feed_entries(spark, sf):
 @register("normalize_feed", RAW + f"""
 SELECT sha256('rss|' || url) AS id, source AS publisher_or_author, url, {_ne('t_raw')} AS title,
   {_ne('s_raw')} AS summary, {_pub_ts('ts')} AS published,
-  to_json({{'feed_name': source || '_nasional', 'feed_url': 'https://' || source || '.example.com/rss'}}) AS signals_json
+  to_json({{'feed_name': source || '_nasional', 'feed_url': 'https://' || source || '.example.com/rss'}}) AS signals_json,
+  {_own('news', _ne('s_raw'), 'block % 2 = 1')}
 FROM raw WHERE platform = 'rss'""")
 def q_normalize_feed(spark, sf):
     """N3 + F2 (RFC 822 with offset, ISO fall-back) + F10; keyed JSON
@@ -163,14 +193,13 @@ SELECT sha256('youtube|' || link) AS id, source AS publisher_or_author, link AS
   {_ne('s_raw')} AS summary, {_pub_ts('ts')} AS published,
   '{{"channel_name":"' || source || '","channel_id":"UC' || source || '","video_id":"' || vid || '","metrics":'
     || CASE WHEN s.video_id IS NULL THEN '{{}}' ELSE '{{"views":' || s.views || ',"likes":' || s.likes
-       || ',"comments":' || s.comments || '}}' END || '}}' AS signals_json
+       || ',"comments":' || s.comments || '}}' END || '}}' AS signals_json, {_own('social', _ne('s_raw'), 'block % 2 = 1')}
 FROM (SELECT *, 'v' || CAST(doc_id AS VARCHAR) AS vid,
         'https://www.youtube.com/watch?v=v' || CAST(doc_id AS VARCHAR) AS link FROM raw WHERE platform = 'youtube') r
 LEFT JOIN stats s ON s.video_id = r.vid""")
 def q_normalize_channel(spark, sf):
     """N4 + J1: channel entries with their video metrics."""
-    c = D.channel_xml_payloads(spark, sf)
-    e = L.parse_channel_xml(c, F.col("channel"), F.col("channel_ref"))
+    e = _channel_entries(spark, sf)
     return _items_out(N.normalize_channel(e, F.lit(RUN_TS), D.video_stats(spark, sf)))
 
 
@@ -180,8 +209,7 @@ SELECT 'v' || CAST(doc_id AS VARCHAR) AS video_id, coalesce(s.views, 0) AS views
 FROM raw r LEFT JOIN stats s ON s.video_id = 'v' || CAST(r.doc_id AS VARCHAR) WHERE r.platform = 'youtube'""")
 def q_video_stats_join(spark, sf):
     """Video id -> counts, missing -> 0."""
-    c = D.channel_xml_payloads(spark, sf)
-    e = L.parse_channel_xml(c, F.col("channel"), F.col("channel_ref"))
+    e = _channel_entries(spark, sf)
     j = N.video_stats_join(e, D.video_stats(spark, sf))
     m = F.col("metrics")
     return j.select(F.col("entry")["video_id"].alias("video_id"),
@@ -193,8 +221,7 @@ def q_video_stats_join(spark, sf):
 def all_sources(spark, sf):
     """The four normalised sources of one ingest cycle, in order."""
     arts, _ = L.parse_aggregator_list(D.aggregator_payloads(spark, sf))
-    c = D.channel_xml_payloads(spark, sf)
-    ce = L.parse_channel_xml(c, F.col("channel"), F.col("channel_ref"))
+    ce = _channel_entries(spark, sf)
     return N.union_sources(
         0,
         gdelt=N.normalize_discovery(L.parse_api_list(D.discovery_payloads(spark, sf)), F.lit(RUN_TS)),

@@ -11,112 +11,155 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..config import TEST_TAXONOMY
+from ..operators.tagging import keyword_enrich
 from ..session import ensure_checkpoint_dir
 from ..sources import derived as D
 from ..streaming import ingest as S
+from . import oracle as O
 from .queries import register
-from .queries_sources import RAW, RUN_TS
+from .queries_sources import RAW, RUN_TS, _ne
 
 
 def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/covlens-{uuid.uuid4().hex[:12]}"
 
 
-def _land(spark, sf, landing: str, blocks_mod: int | None = None, rem: int = 0) -> None:
-    """Write every payload document as its own file under landing/<platform>/."""
+def _land(spark, sf, landing: str, delivery: int, even_only: bool) -> None:
+    """Write every payload document as its own file, in a folder per
+    delivery and document."""
     docs = [
-        D.discovery_payloads(spark, sf), D.aggregator_payloads(spark, sf), D.keyed_feed_payloads(spark, sf),
-        D.rss_xml_payloads(spark, sf).select("path", "text"),
-        D.channel_xml_payloads(spark, sf).select("path", "text"),
+        D.discovery_payloads(spark, sf), D.aggregator_payloads(spark, sf), D.aggregator_errors(spark, sf),
+        D.keyed_feed_payloads(spark, sf), D.rss_xml_payloads(spark, sf).select("path", "text"),
+        D.channel_xml_payloads(spark, sf).select("path", "text"), D.keyed_channel_payloads(spark, sf),
     ]
     allp = docs[0]
     for d in docs[1:]:
         allp = allp.unionByName(d)
     block = F.regexp_extract("path", r"([0-9]+)\.(json|xml)$", 1).cast("long")
-    if blocks_mod:
-        allp = allp.filter(block % blocks_mod == rem)
+    if even_only:
+        allp = allp.filter(block % 2 == 0)
     # one file per document: the document key is the partition folder
-    (allp.select(F.regexp_replace(F.regexp_replace("path", "^landing/", ""), "/", "__").alias("doc"), "text")
-     .repartition("doc").write.mode("append").partitionBy("doc").text(landing))
+    (allp.select(F.lit(delivery).alias("delivery"),
+                 F.regexp_replace(F.regexp_replace("path", "^landing/", ""), "/", "__").alias("doc"), "text")
+     .repartition("doc").write.mode("append").partitionBy("delivery", "doc").text(landing))
 
 
-_RUNS: dict = {}
+class _Run:
+    """Two arrivals through the stream: the even blocks, then all blocks (the
+    even ones for the second time); one availableNow run each."""
 
-
-def _run(spark, sf):
-    """Land, then stream twice (even blocks, odd blocks).  One run per
-    session and data folder is shared by the stream queries."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _RUNS:
-        return _RUNS[key]
-    base = _scratch(spark)
-    landing, log, snap, ck = (f"{base}/landing", f"{base}/log", f"{base}/snapshot", f"{base}/_ck")
-    stats = D.video_stats(spark, sf)
-    # two arrivals: even blocks, then odd blocks; one availableNow run each
-    _land(spark, sf, landing, 2, 0)
-    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats, compact_every=2)
-    _land(spark, sf, landing, 2, 1)
-    S.run_ingest_stream(spark, landing, log, snap, ck, F.lit(RUN_TS), stats, compact_every=2)
-    _RUNS[key] = (base, log, snap)
-    return _RUNS[key]
+    def __init__(self, spark, sf, compact_every: int = 2):
+        base = _scratch(spark)
+        self.log, self.snap, self.side = f"{base}/log", f"{base}/snapshot", f"{base}/side"
+        stats, registry = D.video_stats(spark, sf), D.feed_registry(spark, sf)
+        for delivery, even_only in ((0, True), (1, False)):
+            _land(spark, sf, f"{base}/landing", delivery, even_only)
+            S.run_ingest_stream(spark, f"{base}/landing", self.log, self.snap, f"{base}/_ck", F.lit(RUN_TS), stats,
+                                compact_every=compact_every, side=self.side, registry=registry,
+                                enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))
 
 
 _U = RAW + """, u AS (
   SELECT platform, CASE WHEN platform = 'youtube' THEN 'https://www.youtube.com/watch?v=v' || CAST(doc_id AS VARCHAR)
-                        ELSE url END AS url, ts, block, doc_id FROM raw)
+                        ELSE url END AS url, ts, block, doc_id, source, t_raw, s_raw FROM raw)
+"""
+
+# Sightings in the stream's order: batch, source, file path, place of the feed in the file, place of the entry.
+_SEEN = _U + """, seen AS (
+  SELECT u.*, b.batch, sha256(platform || '|' || url) AS id,
+    platform || '__' || CASE WHEN platform IN ('rss', 'youtube') AND block % 2 = 1
+      THEN source || '-' || CAST(block AS VARCHAR) || '.xml/' ELSE CAST(block AS VARCHAR) || '.json/' END AS file,
+    CASE WHEN platform IN ('rss', 'youtube') AND block % 2 = 0 THEN source ELSE '' END AS feed
+  FROM u JOIN (VALUES (0), (1)) b(batch) ON b.batch = 1 OR u.block % 2 = 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch, file, feed, doc_id) AS f,
+            row_number() OVER (PARTITION BY id ORDER BY batch DESC, file DESC, feed DESC, doc_id DESC) AS l FROM seen)
 """
 
 
-@register("stream_ingest", _U + """
-SELECT platform, count(*) AS n_rows, count(DISTINCT sha256(platform || '|' || url)) AS n_ids FROM u GROUP BY platform""")
+@register("stream_ingest", _SEEN + """
+SELECT platform, count(*) AS n_rows, count(DISTINCT id) AS n_ids FROM seen GROUP BY platform""")
 def q_stream_ingest(spark, sf):
     """Two arrivals through the file-source stream into the log."""
-    _, log, _ = _run(spark, sf)
-    lg = spark.read.parquet(log)
+    lg = spark.read.parquet(_Run(spark, sf).log)
     return lg.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
-@register("stream_upsert_state", _U + """, r AS (
-  SELECT platform, ts, row_number() OVER (PARTITION BY sha256(platform || '|' || url)
-                                          ORDER BY block % 2 DESC, doc_id DESC) AS rn FROM u)
-SELECT platform, count(*) AS n_items, count(ts) AS n_dated FROM r WHERE rn = 1 GROUP BY platform""")
+@register("ingest_errors", RAW + """
+SELECT batch, 'rate_limit_reached' AS code, 'limit after ' || CAST(n AS VARCHAR) || ' articles' AS message
+FROM (SELECT block, count(*) AS n FROM raw WHERE platform = 'mediastack' AND block % 3 = 1 GROUP BY block) e
+JOIN (VALUES (0), (1)) b(batch) ON b.batch = 1 OR block % 2 = 0""")
+def q_ingest_errors(spark, sf):
+    """S2 + R1: the API error answers that the cycles met."""
+    return spark.read.parquet(f"{_Run(spark, sf).side}/errors").select(
+        F.col("batch_id").cast("int").alias("batch"), "code", "message")
+
+
+@register("stream_ingest_state", _SEEN + f"""
+SELECT platform AS source, '{RUN_TS}' AS last_run_at, arg_max(file, file) AS newest FROM seen WHERE batch = 1 GROUP BY platform""")
+def q_stream_ingest_state(spark, sf):
+    """T4: the state rows that the cycles wrote, last write per source."""
+    from ..operators.store import ingest_state
+    s = ingest_state(spark.read.parquet(f"{_Run(spark, sf).side}/state"))
+    newest = F.regexp_extract("cursor", r"doc=([^/]+/)", 1)
+    return s.select("source", F.date_format("last_run_at", "yyyy-MM-dd HH:mm:ss").alias("last_run_at"),
+                    newest.alias("newest"))
+
+
+@register("stream_enrichment", _SEEN + f"""
+, first_text AS (SELECT p.id, lower(coalesce({_ne('t_raw')}, '') || ' ' || CASE WHEN platform = 'gdelt' THEN '' ELSE coalesce({_ne('s_raw')}, '') END) AS ttext
+                 FROM (SELECT *, row_number() OVER (PARTITION BY id, batch ORDER BY file DESC, feed DESC, doc_id DESC) AS lb,
+                              min(batch) OVER (PARTITION BY id) AS b0 FROM seen) p WHERE batch = b0 AND lb = 1)
+SELECT id, array_to_string({O.topics_sql('ttext', TEST_TAXONOMY)}, ',') AS topics FROM first_text""")
+def q_stream_enrichment(spark, sf):
+    """P6 + E6 inside the cycle: every item tagged once, in the cycle that
+    first saw it."""
+    e = spark.read.parquet(f"{_Run(spark, sf).side}/enrichment")
+    return e.select("id", F.array_join("topics", ",").alias("topics"))
+
+
+@register("stream_upsert_state", _SEEN + f"""
+SELECT l.id, l.platform, {_ne('l.t_raw')} AS title, strftime(l.ts, '%Y-%m-%d %H:%M:%S') AS published,
+  sha256(substring(coalesce({_ne('f.t_raw')}, ''), 1, 200) || '||' || CASE WHEN f.platform = 'gdelt' THEN ''
+    ELSE substring(coalesce({_ne('f.s_raw')}, ''), 1, 200) END) AS content_hash
+FROM placed l JOIN placed f ON f.id = l.id AND f.f = 1 WHERE l.l = 1""")
 def q_stream_upsert_state(spark, sf):
-    """R2: the snapshot the stream leaves behind equals the batch fold."""
-    _, log, snap = _run(spark, sf)
-    s = S.read_items(spark, log, snap)
-    return s.groupBy("platform").agg(F.count(F.lit(1)).alias("n_items"),
-                                     F.count("published_at").alias("n_dated"))
+    """R2: the item rows the stream leaves behind equal the batch fold."""
+    r = _Run(spark, sf, compact_every=2)
+    s = S.read_items(spark, r.log, r.snap)
+    return s.select("id", "platform", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"),
+                    "content_hash")
 
 
-@register("stream_coverage", _U + """
-SELECT strftime(ts, '%Y-%m-%d') AS day, platform, count(*) AS n FROM u WHERE ts IS NOT NULL GROUP BY 1, 2""")
+@register("stream_coverage", _SEEN + f"""
+, x AS (SELECT platform, strftime(coalesce(ts, TIMESTAMP '{RUN_TS}'), '%Y-%m-%d') AS day FROM placed WHERE f = 1)
+SELECT day, platform, count(*) AS n FROM x GROUP BY 1, 2""")
 def q_stream_coverage(spark, sf):
-    """Day x platform counts maintained by a watermarked stream over the
-    observation log (update mode, last value per key kept)."""
-    base, log, _ = _run(spark, sf)
-    schema = spark.read.parquet(log).schema
+    """Day x platform counts of items, kept by a stream over the
+    observation log, although the even blocks were delivered twice."""
+    log = _Run(spark, sf).log
     base = _scratch(spark)
     out = f"{base}/coverage"
-    stream = S.coverage_stream(spark.readStream.schema(schema).parquet(log))
+    stream = S.coverage_increments(spark.readStream.schema(spark.read.parquet(log).schema).parquet(log))
 
     def keep(df, batch_id):
-        df.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
-    q = (stream.writeStream.outputMode("update").foreachBatch(keep)
+        (df.groupBy("day", "platform", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+    q = (stream.writeStream.outputMode("append").foreachBatch(keep)
          .option("checkpointLocation", f"{base}/_ck_cov").trigger(availableNow=True).start())
     q.awaitTermination()
-    r = spark.read.parquet(out)
-    return (r.groupBy("day", "platform").agg(F.max_by("n", "batch").alias("n")))
+    return spark.read.parquet(out).groupBy("day", "platform").agg(F.sum("n").alias("n"))
 
 
 @register("stream_dedup", _U + """
 SELECT platform, count(DISTINCT sha256(platform || '|' || url)) AS n FROM u GROUP BY platform""")
 def q_stream_dedup(spark, sf):
     """Repeated ids dropped within the watermark horizon."""
-    base, log, _ = _run(spark, sf)
-    schema = spark.read.parquet(log).schema
+    log = _Run(spark, sf).log
     base = _scratch(spark)
     out = f"{base}/dedup"
-    stream = S.dedup_stream(spark.readStream.schema(schema).parquet(log))
+    stream = S.dedup_stream(spark.readStream.schema(spark.read.parquet(log).schema).parquet(log))
     q = (stream.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{base}/_ck_dd").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,8 +63,9 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder: the shared folder the cluster names in
-    `spark.checkpoint.dir` (or one already set on the context).  Only when
-    neither exists (local tests) is a folder of our own created.  The
+    `spark.checkpoint.dir` (or one already set on the context).  Where
+    neither exists a folder of our own is created on a local master (tests);
+    on a cluster, whose executors could not see it, that is an error.  The
     setting is static, so it is applied through the SparkContext, never
     written into the runtime conf."""
     sc = spark.sparkContext
@@ -73,13 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="covlens-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate
-    tables (never a machine-local temp folder on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash(name)) % 10**8}"

@@ -76,10 +76,12 @@ def rest(text) -> F.Column:
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the time of its event with the highest value (of equal
-    ones the latest id): one aggregation over all events."""
+    ones the latest id): one hash aggregation over all events, ordered by
+    one number (the value in millionths, then the id's last digit)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    order = F.floor(F.coalesce("value", F.lit(-1.0)) * 1000000) * 10 + F.col("event_id") % 10
     return (ev.groupBy(F.floor(F.col("event_id") / 10).cast("long").alias("doc_id"))
-            .agg(F.max_by("ts", F.struct("value", "event_id")).alias("ts")))
+            .agg(F.max_by("ts", order).alias("ts")))
 
 
 def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,11 @@ Variants that exercise the normalisers' fall-backs are part of the rule:
 aggregator `source` empty (doc_id % 5 = 0) or blank (= 1), `author` NULL
 when doc_id % 3 = 0; feed `summary` empty when doc_id % 8 = 0 (falls to
 description), `published` missing when doc_id % 8 = 4 (falls to updated);
-odd blocks of the feeds land as RSS XML, even ones as keyed JSON; channels
-land as Atom XML."""
+odd blocks of the feeds land as XML, even ones as keyed JSON; of every four
+XML blocks one has a byte-order mark, a comment and a style sheet before its
+root and one is RDF; odd blocks of the channels land as Atom XML (with
+several links an entry), even ones as keyed JSON.  Every entry carries an
+`id` of its own beyond what the scans type."""
 
 from __future__ import annotations
 
@@ -31,6 +34,7 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         platform_of(F.col("doc_id")).alias("platform"),
         url_of(F.col("doc_id")).alias("url"),
         F.when(F.col("doc_id") % 17 != 0, F.col("ts").cast("timestamp")).alias("ts"),
+        F.concat(F.lit("ref-"), F.col("doc_id").cast("string")).alias("ref"),
         F.floor(F.col("doc_id") / 100).cast("long").alias("block"))
 
 
@@ -61,7 +65,7 @@ def discovery_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url"), F.lit("").alias("url_mobile"), F.col("t_raw").alias("title"),
         F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'").alias("seendate"), F.lit("").alias("socialimage"),
         F.concat(F.lit("www."), F.col("source"), F.lit(".example.com")).alias("domain"),
-        F.col("lang").alias("language"), F.lit("ID").alias("sourcecountry"))
+        F.col("lang").alias("language"), F.lit("ID").alias("sourcecountry"), F.col("ref").alias("id"))
     g = r.groupBy(_path("gdelt").alias("path")).agg(_ordered(art).alias("arts"))
     return g.select("path", F.to_json("arts").alias("text"))
 
@@ -78,7 +82,7 @@ def aggregator_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(m5 == 0, F.lit("")).when(m5 == 1, F.lit("  ")).otherwise(F.col("source")).alias("source"),
         F.lit(None).cast("string").alias("image"), F.lit("general").alias("category"),
         F.col("lang").alias("language"), F.lit("id").alias("country"),
-        iso(F.col("ts")).alias("published_at"))
+        iso(F.col("ts")).alias("published_at"), F.col("ref").alias("id"))
     g = r.groupBy("block").agg(_ordered(art).alias("arts"))
     text = F.when(F.col("block") % 2 == 0, F.to_json(F.struct(F.col("arts").alias("data")))) \
         .otherwise(F.to_json("arts"))
@@ -93,7 +97,7 @@ def _feed_entry(r_feed: Column) -> Column:
         F.lit("updated"), iso(F.col("ts")),
         F.lit("summary"), F.when(F.col("doc_id") % 8 == 0, F.lit("")).otherwise(F.col("s_raw")),
         F.lit("description"), F.col("s_raw"),
-        F.lit("_feed_name"), r_feed,
+        F.lit("id"), F.col("ref"), F.lit("_feed_name"), r_feed,
         F.lit("_feed_url"), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/rss")))
 
 
@@ -130,11 +134,17 @@ def rss_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.concat(F.lit("<item>"), _tag("title", F.col("t_raw")), _tag("link", F.col("url")),
                     _tag("pubDate", F.when(F.col("doc_id") % 8 != 4, rfc)),
                     _tag("updated", iso(F.col("ts"))),
-                    _tag("description", F.col("s_raw")), F.lit("</item>"))
+                    _tag("description", F.col("s_raw")), _tag("guid", F.col("ref")), F.lit("</item>"))
     g = r.groupBy("block", "source").agg(_ordered(item).alias("items"))
-    text = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'),
-                    F.col("source"), F.lit("</title>"), F.array_join("items", ""),
-                    F.lit("</channel></rss>"))
+    items, title = F.array_join("items", ""), F.concat(F.lit("<title>"), F.col("source"), F.lit("</title>"))
+    head = F.when(F.col("block") % 8 == 1, F.lit(
+        '\ufeff<?xml version="1.0" encoding="UTF-8"?>\n<?xml-stylesheet type="text/xsl" href="feed.xsl"?><!-- a feed -->\n')
+    ).otherwise(F.lit('<?xml version="1.0" encoding="UTF-8"?>'))
+    rdf = F.concat(head, F.lit('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" '
+                               'xmlns="http://purl.org/rss/1.0/"><channel>'), title, F.lit("</channel>"), items,
+                   F.lit("</rdf:RDF>"))
+    text = F.when(F.col("block") % 8 == 3, rdf).otherwise(F.concat(
+        head, F.lit('<rss version="2.0"><channel>'), title, items, F.lit("</channel></rss>")))
     return g.select(F.concat(F.lit("landing/rss/"), F.col("source"), F.lit("-"),
                              F.col("block").cast("string"), F.lit(".xml")).alias("path"),
                     feed_name_of().alias("feed_name"),
@@ -143,12 +153,14 @@ def rss_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Atom channel documents (one per channel and block): path, channel,
+    """Atom channel documents (one per channel and odd block): path, channel,
     channel_ref (the configured channel id), text."""
-    r = raw_rows(spark, sf_dir).filter(F.col("platform") == "youtube")
+    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 1))
     vid = F.concat(F.lit("v"), F.col("doc_id").cast("string"))
     link = F.concat(F.lit('<link rel="alternate" href="https://www.youtube.com/watch?v='), vid, F.lit('"/>'))
-    entry = F.concat(F.lit("<entry>"), _tag("yt:videoId", vid), _tag("title", F.col("t_raw")), link,
+    own = F.lit('<link rel="self" href="https://www.youtube.com/feeds/self"/>')
+    entry = F.concat(F.lit("<entry>"), _tag("id", F.col("ref")), _tag("yt:videoId", vid), _tag("title", F.col("t_raw")),
+                     F.when(F.col("doc_id") % 3 == 0, own).otherwise(F.lit("")), link, own,
                      _tag("published", iso(F.col("ts"))), _tag("summary", F.col("s_raw")),
                      F.lit("</entry>"))
     g = r.groupBy("block", "source").agg(_ordered(entry).alias("entries"))
@@ -161,6 +173,43 @@ def channel_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("UC"), F.col("source")).alias("channel_ref"), text.alias("text"))
 
 
+def keyed_channel_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """{channel: [entry, ...]} JSON documents for the even channel blocks."""
+    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 0))
+    vid = F.concat(F.lit("v"), F.col("doc_id").cast("string"))
+    entry = F.struct(
+        F.col("t_raw").alias("title"), F.concat(F.lit("https://www.youtube.com/watch?v="), vid).alias("link"),
+        iso(F.col("ts")).alias("published"), F.col("s_raw").alias("summary"), vid.alias("video_id"),
+        F.col("source").alias("_channel_name"), F.concat(F.lit("UC"), F.col("source")).alias("_channel_id"),
+        F.col("ref").alias("id"))
+    per = r.groupBy("block", "source").agg(_ordered(entry).alias("entries"))
+    g = per.groupBy("block").agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("source", "entries")), _by_first("source"))).alias("m"))
+    return g.select(_path("youtube").alias("path"), F.to_json("m").alias("text"))
+
+
+def aggregator_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API error answers beside the aggregator blocks of every third number."""
+    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "mediastack") & (F.col("block") % 3 == 1))
+    g = r.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    error = F.struct(F.lit("rate_limit_reached").alias("code"),
+                     F.concat(F.lit("limit after "), F.col("n").cast("string"), F.lit(" articles")).alias("message"))
+    return g.select(F.concat(F.lit("landing/mediastack/errors-"), F.col("block").cast("string"), F.lit(".json")).alias("path"),
+                    F.to_json(F.struct(error.alias("error"))).alias("text"))
+
+
+def feed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deployment's table of feeds and channels: platform, key, name,
+    url, channel_id; here one feed and one channel per source."""
+    s = table(spark, sf_dir, "documents").select("source").distinct()
+    none = F.lit(None).cast("string")
+    return s.select(F.lit("rss").alias("platform"), F.col("source").alias("key"), feed_name_of().alias("name"),
+                    F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/rss")).alias("url"),
+                    none.alias("channel_id")).unionByName(
+        s.select(F.lit("youtube").alias("platform"), F.col("source").alias("key"), F.col("source").alias("name"),
+                 none.alias("url"), F.concat(F.lit("UC"), F.col("source")).alias("channel_id")))
+
+
 def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-video statistics aggregated from events: the events of document
     k (event_id div 10 = k) are the interactions with video 'v<k>'."""

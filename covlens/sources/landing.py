@@ -26,16 +26,21 @@ DISCOVERY_SCHEMA = T.StructType([T.StructField(n, S) for n in (
 AGGREGATOR_SCHEMA = T.StructType([T.StructField(n, S) for n in (
     "author", "title", "description", "url", "source", "image", "category", "language", "country",
     "published_at")])
-AGGREGATOR_ERROR = "struct<code:string,message:string,context:string>"
 # Feed entries are open-ended dicts: keep them as string maps.
 ENTRY_MAP = "map<string,string>"
-KEYED_FEEDS = f"map<string,array<{ENTRY_MAP}>>"
-
-RSS_XML_SCHEMA = ("channel struct<title string, item array<struct<title string, link string, "
-                  "pubDate string, description string, summary string, updated string, "
-                  "guid string>>>")
-ATOM_XML_SCHEMA = ("entry array<struct<title string, link struct<_href string, _rel string>, "
-                   "published string, updated string, summary string, `yt:videoId` string, "
+# Elements are kept as their landed JSON text first, so `raw` holds the whole
+# object whatever fields it has, and typed fields are read out of it.
+KEYED_FEEDS = "map<string,array<string>>"
+
+_ITEM = ("title string, link string, pubDate string, description string, summary string, updated string, guid string, "
+         "author string, category array<string>, comments string, `dc:date` string, `dc:creator` string, "
+         "`content:encoded` string, enclosure struct<_url string, _type string, _length string>")
+# One parse reads every feed shape: RSS 2.0 (channel/item), RDF (item beside
+# channel) and Atom (entry).
+FEED_XML_SCHEMA = (f"channel struct<title string, item array<struct<{_ITEM}>>>, item array<struct<{_ITEM}>>, "
+                   "entry array<struct<title string, link array<struct<_href string, _rel string>>, "
+                   "published string, updated string, summary string, content string, id string, "
+                   "author struct<name string>, category array<struct<_term string>>, `yt:videoId` string, "
                    "`media:group` struct<`media:description` string>>>")
 
 
@@ -46,35 +51,35 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --- S1 / S2 ---------------------------------------------------------------
+def _articles(docs: DataFrame, k: list[str], elements: Column, schema: T.StructType) -> DataFrame:
+    e = docs.select(*k, F.posexplode(elements).alias("pos", "raw"))
+    e = e.select(*k, "pos", "raw", F.from_json("raw", schema).alias("a")).filter(F.ltrim("raw").startswith("{"))
+    return e.select(*k, "pos", "raw", "a.*")
+
+
 def parse_api_list(docs: DataFrame, text: str = "text", schema: T.StructType = DISCOVERY_SCHEMA,
                    keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """JSON array payload -> one row per article (pos = position in
-    the payload).  A NULL, malformed or non-array payload gives no rows."""
-    arr = F.from_json(F.col(text), T.ArrayType(schema))
+    the payload, raw = the article as it landed).  A NULL, malformed or
+    non-array payload gives no rows."""
     k = [c for c in keep if c in docs.columns]
-    e = docs.select(*k, F.posexplode_outer(arr).alias("pos", "a")).filter(F.col("a").isNotNull())
-    return e.select(*k, "pos", "a.*")
+    return _articles(docs, k, F.from_json(F.col(text), "array<string>"), schema)
 
 
 def parse_aggregator_list(docs: DataFrame, text: str = "text",
                           keep: tuple[str, ...] = ("path",)) -> tuple[DataFrame, DataFrame]:
     """Aggregator payload.  The API wraps articles as {data: [...]} or
     answers {error: {...}}; a bare array is accepted too.  Returns
-    (articles, errors): an error payload fails its batch by surfacing in
-    `errors`, never by silently yielding zero rows."""
+    (articles, errors): an error payload surfaces in `errors` (code,
+    message, context), never as silently zero rows."""
     k = [c for c in keep if c in docs.columns]
-    wrapped = F.from_json(F.col(text), T.StructType([
-        T.StructField("data", T.ArrayType(AGGREGATOR_SCHEMA)),
-        T.StructField("error", T.StructType([T.StructField("code", S), T.StructField("message", S),
-                                             T.StructField("context", S)]))]))
-    bare = F.from_json(F.col(text), T.ArrayType(AGGREGATOR_SCHEMA))
+    wrapped = F.from_json(F.col(text), "data array<string>, error struct<code string, message string, context string>")
     is_array = F.ltrim(F.col(text)).startswith("[")
-    p = docs.select(*k, F.when(is_array, bare).otherwise(wrapped.getField("data")).alias("arr"),
+    p = docs.select(*k, F.when(is_array, F.from_json(F.col(text), "array<string>"))
+                    .otherwise(wrapped.getField("data")).alias("arr"),
                     F.when(~is_array, wrapped.getField("error")).alias("error"))
     errors = p.filter(F.col("error").isNotNull()).select(*k, "error.*")
-    arts = (p.filter(F.col("error").isNull())
-            .select(*k, F.posexplode("arr").alias("pos", "a")).select(*k, "pos", "a.*"))
-    return arts, errors
+    return _articles(p.filter(F.col("error").isNull()), k, F.col("arr"), AGGREGATOR_SCHEMA), errors
 
 
 def read_api_list(spark: SparkSession, path: str) -> DataFrame:
@@ -87,14 +92,16 @@ def read_aggregator_list(spark: SparkSession, path: str):
 
 # --- S3 / S5 ---------------------------------------------------------------
 def parse_keyed_feeds(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("path",)) -> DataFrame:
-    """S3: {feed_name: [entry, ...]} -> (feed_name, pos, entry map).  `pos`
+    """S3: {feed_name: [entry, ...]} -> (feed_name, pos, entry map, raw
+    entry).  `pos`
     orders all entries of a document: the feed's place in it in the upper
     32 bits, the entry's place in the feed below."""
     k = [c for c in keep if c in docs.columns]
     m = docs.select(*k, F.posexplode(F.from_json(F.col(text), KEYED_FEEDS)).alias("_feed", "feed_name", "entries"))
-    e = m.select(*k, "_feed", "feed_name", F.posexplode("entries").alias("_entry", "entry"))
-    return e.select(*k, "feed_name", (F.shiftleft(F.col("_feed").cast("long"), 32) + F.col("_entry")).alias("pos"),
-                    "entry")
+    e = m.select(*k, "_feed", "feed_name", F.posexplode("entries").alias("_entry", "raw"))
+    pos = F.shiftleft(F.col("_feed").cast("long"), 32) + F.col("_entry")
+    return (e.select(*k, "feed_name", pos.alias("pos"), F.from_json("raw", ENTRY_MAP).alias("entry"), "raw")
+            .filter(F.col("entry").isNotNull()))
 
 
 def read_keyed_feeds(spark: SparkSession, path: str) -> DataFrame:
@@ -102,24 +109,37 @@ def read_keyed_feeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _xml_entries(docs: DataFrame, text: str, k: list[str]) -> DataFrame:
-    """S4 core: parse each document as RSS 2.0 or Atom.  A document that
-    does not parse as a whole contributes nothing (not even the items
-    before the break), like a feed parser's bozo flag."""
-    rss = F.from_xml(F.col(text), RSS_XML_SCHEMA)
-    atom = F.from_xml(F.col(text), ATOM_XML_SCHEMA)
-    body = F.regexp_replace(F.col(text), r"^\s*(<\?xml[^>]*\?>)?\s*", "")
-    is_rss = body.startswith("<rss")
-    rss_items = F.transform(rss.getField("channel").getField("item"), lambda i: F.create_map(
-        F.lit("title"), i["title"], F.lit("link"), i["link"], F.lit("published"), i["pubDate"],
-        F.lit("updated"), i["updated"], F.lit("summary"), F.coalesce(i["summary"], i["description"]),
-        F.lit("description"), i["description"], F.lit("id"), i["guid"]))
-    atom_items = F.transform(atom.getField("entry"), lambda e: F.create_map(
-        F.lit("title"), e["title"], F.lit("link"), e["link"]["_href"], F.lit("published"), e["published"],
-        F.lit("updated"), e["updated"],
-        F.lit("summary"), F.coalesce(e["summary"], e["media:group"]["media:description"]),
-        F.lit("video_id"), e["yt:videoId"]))
-    items = F.when(is_rss, rss_items).otherwise(atom_items)
-    return docs.select(*k, F.posexplode(items).alias("pos", "entry"))
+    """S4 core: parse each document as RSS 2.0, RDF or Atom, whichever shape
+    the parse yields; a byte-order mark, comments and processing
+    instructions before the root do not matter.  A document that does not
+    parse as a whole contributes nothing (not even the items before the
+    break), like a feed parser's bozo flag."""
+    doc = F.from_xml(F.regexp_replace(F.col(text), "^[\\uFEFF\\s]+", ""), FEED_XML_SCHEMA)
+    p = docs.select(*k, doc.alias("_d"))
+
+    def item(i):
+        return F.create_map(
+            F.lit("title"), i["title"], F.lit("link"), i["link"],
+            F.lit("published"), F.coalesce(i["pubDate"], i["dc:date"]),
+            F.lit("updated"), i["updated"], F.lit("summary"), F.coalesce(i["summary"], i["description"]),
+            F.lit("description"), i["description"], F.lit("id"), i["guid"],
+            F.lit("author"), F.coalesce(i["author"], i["dc:creator"]), F.lit("category"), F.to_json(i["category"]),
+            F.lit("comments"), i["comments"], F.lit("content"), i["content:encoded"],
+            F.lit("enclosure"), F.to_json(i["enclosure"]))
+
+    def entry(e):
+        link = F.coalesce(F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+                          .getItem(0)["_href"], F.get(e["link"], F.lit(0))["_href"])
+        return F.create_map(
+            F.lit("title"), e["title"], F.lit("link"), link, F.lit("published"), e["published"],
+            F.lit("updated"), e["updated"],
+            F.lit("summary"), F.coalesce(e["summary"], e["media:group"]["media:description"]),
+            F.lit("id"), e["id"], F.lit("author"), e["author"]["name"], F.lit("category"), F.to_json(e["category"]),
+            F.lit("content"), e["content"], F.lit("video_id"), e["yt:videoId"])
+    items = F.coalesce(F.transform(p["_d"]["channel"]["item"], item), F.transform(p["_d"]["item"], item),
+                       F.transform(p["_d"]["entry"], entry))
+    filled = F.transform(items, lambda m: F.map_filter(m, lambda kk, v: v.isNotNull()))
+    return p.select(*k, F.posexplode(filled).alias("pos", "entry"))
 
 
 def parse_feed_xml(docs: DataFrame, feed_name: Column, feed_url: Column, text: str = "text",
@@ -131,13 +151,8 @@ def parse_feed_xml(docs: DataFrame, feed_name: Column, feed_url: Column, text: s
     e = _xml_entries(d, text, k + ["feed_name", "_feed_url"])
     extra = F.create_map(F.lit("_feed_name"), F.col("feed_name"), F.lit("_feed_url"), F.col("_feed_url"),
                          F.lit("_ingested_from"), F.lit("rss"))
-    return e.select(*k, "feed_name", "pos", F.map_concat("entry", extra).alias("entry"))
-
-
-def channel_feed_url(channel: Column) -> Column:
-    """Channel id or full URL -> feed URL."""
-    return F.when(channel.startswith("http"), channel).otherwise(
-        F.concat(F.lit("https://www.youtube.com/feeds/videos.xml?channel_id="), channel))
+    e = e.select(*k, "feed_name", "pos", F.map_concat("entry", extra).alias("entry"))
+    return e.select("*", F.to_json("entry").alias("raw"))
 
 
 def parse_channel_xml(docs: DataFrame, channel_name: Column, channel_ref: Column, text: str = "text",
@@ -154,7 +169,27 @@ def parse_channel_xml(docs: DataFrame, channel_name: Column, channel_ref: Column
                          F.lit("_ingested_from"), F.lit("youtube"))
     ent = F.map_concat(F.map_filter("entry", lambda kk, v: kk != "video_id"), extra,
                        F.create_map(F.lit("video_id"), F.coalesce(vid, F.col("entry")["video_id"])))
-    return e.select(*k, "feed_name", "pos", ent.alias("entry"))
+    return e.select(*k, "feed_name", "pos", ent.alias("entry")).select("*", F.to_json("entry").alias("raw"))
+
+
+def name_feeds(docs: DataFrame, platform: str, registry: DataFrame | None, path: str = "path") -> DataFrame:
+    """The configured name, address and channel of the feed each
+    document was fetched for.  `registry` (platform, key, name, url,
+    channel_id) is the deployment's table of feeds and channels; a document's
+    key is its file's (or `doc=` folder's) name up to `-<n>.<extension>`.
+    Documents without a registered key keep the key as their name."""
+    last = F.regexp_extract(F.regexp_replace(F.col(path), r"/part-[^/]*$", ""), r"([^/]+)-[0-9]+\.[a-z]+$", 1)
+    d = docs.withColumn("_key", F.regexp_replace(last, r"^doc=[a-z]+__", ""))
+    none = F.lit(None).cast("string")
+    if registry is None:
+        d = d.select("*", none.alias("_name"), none.alias("_url"), none.alias("_channel"))
+    else:
+        r = registry.filter(F.col("platform") == platform).select(
+            F.col("key").alias("_key"), F.col("name").alias("_name"), F.col("url").alias("_url"),
+            F.col("channel_id").alias("_channel"))
+        d = d.join(r, "_key", "left")
+    return d.select(*docs.columns, F.coalesce("_name", "_key").alias("feed_name"), F.col("_url").alias("feed_url"),
+                    F.coalesce("_channel", "_url", F.lit("")).alias("channel_ref"))
 
 
 # --- S6 --------------------------------------------------------------------

@@ -8,16 +8,18 @@ replayed batch rewrites the same partition) and folds them into a new
 snapshot version.  The checkpoint makes the stream exactly-once over files;
 `availableNow` is the one-shot cycle, `processingTime` the periodic one.
 
-R3 keeps the day counts current with a watermark, R4 drops repeated ids
-inside a bounded horizon."""
+R3 keeps the day counts of items current, R4 drops repeated ids inside a
+bounded horizon."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import coverage_day
 from ..operators import normalize as N
 from ..operators import store as ST
+from ..operators.tagging import keyword_sentiment, tag_text
 from ..sources import landing as L
 
 PLATFORM_DIRS = ("gdelt", "mediastack", "rss", "youtube")
@@ -33,32 +35,35 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files: int | None
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None) -> DataFrame:
+def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None, registry: DataFrame | None = None):
     """Route landed documents by their platform folder and normalise them
-    (S1-S5, N1-N4).  A document lives under `.../<platform>/<name>` or in a
-    folder named `doc=<platform>__<name>`; feed and channel XML documents
-    carry their feed name / channel in the name: `<name>-<n>.xml`."""
+    (S1-S5, N1-N4); returns the four item frames and the API errors.  A
+    document lives under `.../<platform>/<name>` or in a folder named
+    `doc=<platform>__<name>`; JSON documents of feeds and channels are keyed
+    by feed, XML documents are named through the registry."""
     plat = F.coalesce(F.nullif(F.regexp_extract(F.col("path"), r"doc=([a-z]+)__", 1), F.lit("")),
                       F.regexp_extract(F.col("path"), r"/([a-z]+)/[^/]+$", 1))
-    name = F.coalesce(F.nullif(F.regexp_extract(F.col("path"), r"doc=[a-z]+__([^/]+)", 1), F.lit("")),
-                      F.regexp_extract(F.col("path"), r"/([^/]+)$", 1))
-    docs = docs.select("path", "text", plat.alias("_platform"), name.alias("_name"))
+    docs = docs.select("path", "text", plat.alias("_platform"))
 
     def part(p: str) -> DataFrame:
-        return docs.filter(F.col("_platform") == p)
-    base = F.regexp_extract(F.col("_name"), r"^(.+)-[0-9]+\.xml$", 1)
+        return docs.filter(F.col("_platform") == p).select("path", "text")
+
+    def feeds(p: str) -> tuple[DataFrame, DataFrame]:
+        is_xml = F.regexp_replace("text", "^[\\uFEFF\\s]+", "").startswith("<")
+        return part(p).filter(~is_xml), L.name_feeds(part(p).filter(is_xml), p, registry)
+
     gd = N.normalize_discovery(L.parse_api_list(part("gdelt")), run_at)
-    arts, _ = L.parse_aggregator_list(part("mediastack"))
+    arts, errors = L.parse_aggregator_list(part("mediastack"))
     ms = N.normalize_aggregator(arts, run_at)
-    rss_docs = part("rss")
-    keyed = L.parse_keyed_feeds(rss_docs.filter(~F.col("_name").endswith(".xml")))
-    xml = L.parse_feed_xml(rss_docs.filter(F.col("_name").endswith(".xml")),
-                           F.concat(base, F.lit("_nasional")),
-                           F.concat(F.lit("https://"), base, F.lit(".example.com/rss")))
+    json_docs, xml_docs = feeds("rss")
+    keyed = L.parse_keyed_feeds(json_docs)
+    xml = L.parse_feed_xml(xml_docs, F.col("feed_name"), F.col("feed_url"))
     rs = N.normalize_feed(keyed.unionByName(xml.select(*keyed.columns)), run_at)
-    ch = L.parse_channel_xml(part("youtube"), base, F.concat(F.lit("UC"), base))
-    yt = N.normalize_channel(ch, run_at, stats)
-    return gd, ms, rs, yt
+    json_docs, xml_docs = feeds("youtube")
+    keyed = L.parse_keyed_feeds(json_docs)
+    xml = L.parse_channel_xml(xml_docs, F.col("feed_name"), F.col("channel_ref"))
+    yt = N.normalize_channel(keyed.unionByName(xml.select(*keyed.columns)), run_at, stats)
+    return gd, ms, rs, yt, errors
 
 
 def snapshot_path(snapshot_root: str, version: int) -> str:
@@ -89,7 +94,8 @@ def _snapshot_of(spark: SparkSession, log_dir: str, snapshot_root: str, upto: in
     prev = latest_snapshot(spark, snapshot_root)
     lg = spark.read.parquet(log_dir)
     if prev is None:
-        return ST.upsert_fold(lg.filter(F.col("batch_id") <= upto)).select(*ITEM_COLUMNS)
+        first = ST.upsert_fold(lg.filter(F.col("batch_id") <= upto)).select(*ITEM_COLUMNS)
+        return first.withColumn("published_date", F.to_date("published_at"))
     delta = lg.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= upto))
     snap, _ = ST.upsert_batch(spark.read.parquet(snapshot_path(snapshot_root, prev)), delta)
     return snap
@@ -101,36 +107,81 @@ def read_items(spark: SparkSession, log_dir: str, snapshot_root: str) -> DataFra
     return _snapshot_of(spark, log_dir, snapshot_root, 2 ** 62)
 
 
+def _side(df: DataFrame, side: str, name: str, batch_id: int) -> None:
+    """One partition per batch of a side table; a replayed batch rewrites it."""
+    ST.write_log(df.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{side.rstrip('/')}/{name}", key=None)
+
+
 def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: str, snapshot_root: str,
-                 run_at, stats: DataFrame | None = None, compact_every: int = 1) -> None:
+                 run_at, stats: DataFrame | None = None, compact_every: int = 1, side: str | None = None,
+                 registry: DataFrame | None = None, enrich=None) -> None:
     """R1 + R2 for one micro-batch: normalise and append to the log (cost
     proportional to the batch).  Every `compact_every` batches the log
     since the last snapshot is folded into a new snapshot version, written
     to a new folder; readers combine the latest snapshot with the newer log
     batches (read_items), so compaction can run as rarely as the history
-    size requires."""
-    if docs.isEmpty():
-        return
-    gd, ms, rs, yt = normalise_documents(docs, run_at, stats)
-    obs = N.union_sources(batch_id, gdelt=gd, mediastack=ms, rss=rs, youtube=yt)
-    ST.write_log(obs, log_dir)
+    size requires.
+
+    With a `side` folder the cycle also writes, one partition per batch:
+    `errors` (API error payloads), `enrichment` (what `enrich` gives for the
+    batch's items that have none yet) and `state` (last run and newest
+    document per source)."""
+    docs = docs.persist()  # the landed files are read once for all branches
+    try:
+        if docs.isEmpty():
+            return
+        gd, ms, rs, yt, errors = normalise_documents(docs, run_at, stats, registry)
+        ST.write_log(N.union_sources(batch_id, gdelt=gd, mediastack=ms, rss=rs, youtube=yt), log_dir)
+        if side:
+            _side(errors, side, "errors", batch_id)
+            seen = spark.read.parquet(log_dir).filter(F.col("batch_id") == batch_id)
+            _side(seen.groupBy(F.col("platform").alias("source")).agg(
+                F.max("seq.file").alias("cursor"), F.max("ingested_at").alias("last_run_at")).withColumn(
+                "seq", F.lit(batch_id).cast("long")), side, "state", batch_id)
+            if enrich is not None:
+                done = enrichment_log(spark, side, batch_id)
+                pending = ST.list_unenriched(ST.upsert_fold(seen), done)
+                _side(enrich(pending), side, "enrichment", batch_id)
+    finally:
+        docs.unpersist()
     prev = latest_snapshot(spark, snapshot_root)
     if prev is not None and prev >= batch_id:
         return  # replay of a batch whose snapshot is already written
     if (batch_id + 1) % max(1, compact_every) != 0:
         return
-    snap = _snapshot_of(spark, log_dir, snapshot_root, batch_id)
-    snap.write.mode("overwrite").parquet(snapshot_path(snapshot_root, batch_id))
+    ST.write_snapshot(_snapshot_of(spark, log_dir, snapshot_root, batch_id), snapshot_path(snapshot_root, batch_id))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def enrichment_log(spark: SparkSession, side: str, before: int | None = None) -> DataFrame | None:
+    """The enrichment rows written so far (of batches before `before`)."""
+    path = f"{side.rstrip('/')}/enrichment"
+    if not _exists(spark, path):
+        return None
+    rows = spark.read.parquet(path)
+    return rows if before is None else rows.filter(F.col("batch_id") < before)
 
 
 def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snapshot_root: str,
                       checkpoint: str, run_at, stats: DataFrame | None = None,
-                      trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1):
-    """Start (and for availableNow, finish) the ingest stream."""
+                      trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1,
+                      side: str | None = None, registry: DataFrame | None = None, enrich=None):
+    """Start (and for availableNow, finish) the ingest stream.  With a `side`
+    folder a failing batch does not stop the loop: its documents and the
+    error are kept under `failed`, from where `retry_failed` ingests them."""
     docs = landing_stream(spark, landing_dir, max_files)
 
     def each(df: DataFrame, batch_id: int) -> None:
-        ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every)
+        try:
+            ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich)
+        except Exception as e:  # noqa: BLE001  the cycle's own boundary
+            if not side:
+                raise
+            _side(df.withColumn("error", F.lit(f"{type(e).__name__}: {e}"[:2000])), side, "failed", batch_id)
     q = (docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     if (trigger or {"availableNow": True}).get("availableNow"):
@@ -138,14 +189,22 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snaps
     return q
 
 
-def coverage_stream(log: DataFrame, watermark: str = "31 days") -> DataFrame:
-    """Items per (day, platform, sentiment) kept current as the log
-    grows.  Rows later than the watermark are dropped; the batch by_day
-    report stays the authority."""
-    return (log.withWatermark("published_at", watermark)
-            .groupBy(F.window("published_at", "1 day").alias("w"), "platform")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "platform", "n"))
+def retry_failed(spark: SparkSession, side: str, batch_id: int, log_dir: str, snapshot_root: str, run_at, **kw) -> None:
+    """Ingest the documents of a failed batch again, under their batch id."""
+    rows = spark.read.parquet(f"{side.rstrip('/')}/failed").filter(F.col("batch_id") == batch_id)
+    ingest_batch(spark, rows.select("path", "text"), batch_id, log_dir, snapshot_root, run_at, side=side, **kw)
+
+
+def coverage_increments(log: DataFrame, horizon: str = "31 days") -> DataFrame:
+    """One row per item (not per sighting) with its coverage day,
+    platform and keyword sentiment.  Repeated ids are dropped within a
+    horizon of ingestion time: the watermark follows our own clock, so an
+    item dated in the future moves nothing.  Counts per micro-batch of these
+    rows add up to the day report (A8, A12)."""
+    d = dedup_stream(log, horizon)
+    text = tag_text(F.col("title"), F.col("summary"))
+    return d.select("id", coverage_day(F.col("published_at"), F.col("ingested_at")).alias("day"), "platform",
+                    "published_at", keyword_sentiment(text).alias("sentiment"))
 
 
 def dedup_stream(log: DataFrame, horizon: str = "1 day") -> DataFrame:
