@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
