@@ -1,18 +1,20 @@
 """Near-duplicate documents: MinHash with banding, signature verification, full-set confirmation, components.
 
 1. Sketch (one pass over the texts): the distinct 5-word shingles of a text, their number, a 128-bit fingerprint of the
-   set, and `BANDS * ROWS` minima of universal hash functions, 16 bits of each.
+   set, and `MINIMA` minima of universal hash functions, 16 bits of each.
 2. Texts with equal sets form a class, represented by its smallest doc_id; from here on a class is one node, so
    thousands of exact copies cost one row.
 3. Each band of a class's signature is a bucket key.  Within a bucket no pairs are listed: members are paired with the
    bucket's smallest member and, in some bands, with a random one.  Two sets with a similarity of 0.75 share no bucket
    with a probability of (1 - 0.75^3)^28 = 2e-7.
-4. Signature verification: pairs whose signatures agree in fewer than half the places (5 standard deviations below
-   0.75) are dropped.  The rest are confirmed on the full shingle sets, from the texts, and the links' components found
-   by alternating large-star and small-star.
+4. Signature verification: pairs whose signatures agree in fewer than `AGREE` of the places (5 standard deviations
+   below 0.75) are dropped.  The rest are confirmed on the full shingle sets, from the texts, and the links' components
+   found by alternating large-star and small-star.
 5. Where a bucket still holds more than one component, its other members may be linked although none is linked to the
-   pair's partner of step 3.  There all members of different components are compared by signature, in blocks of
-   bounded size, and what passes is confirmed as before.  After this no link that shares a bucket is missed.
+   pair's partner of step 3.  The members outside the component of the bucket's smallest one (few, mostly) meet that
+   component's members and each other, in pairs of blocks of at most about `BLOCK` texts.  A task counts the shingles
+   that the texts of its two blocks share, for all pairs at once, and gives out links only; pairs are never listed.
+   After this no link that shares a bucket is missed.
 
 Defined results: null and empty texts, and texts of white space only, have no shingles and are linked with nothing;
 texts of fewer than five words have the whole sequence as their only shingle; rows with the same doc_id are one
@@ -36,17 +38,19 @@ from covlens.llm.textops import Buffer, Words, mix, windows
 
 SHINGLE = 5
 BANDS, ROWS = 28, 3
+MINIMA = 252  # the bands take the first BANDS * ROWS, verification all
 RANDOM_BANDS = 4
 PERCENT = 75
-AGREE = 0.5
+AGREE = 0.61
 BLOCK = 256
 #: Node ids are broadcast to pick the texts to confirm while there are at most this many (16 bytes each).
 MAX_BROADCAST_NODES = 4_000_000
 
 _RNG = np.random.default_rng(75)
-_A = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_A = _RNG.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
 _CHUNK = 1 << 15
+_COLUMNS = 1 << 14
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,69 +138,98 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).rename_columns(["u", "v"]).filter(pa.array(keep))
 
 
+GROUP = ("main", "kind", "lo", "hi")
+
+
+def shared_counts(hashes: np.ndarray, first: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each set of `left` shares with each of `right`: products of 0/1 matrices over the elements that
+    occur on both sides, `_COLUMNS` of them at a time."""
+    def flat(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = first[rows + 1] - first[rows]
+        at = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return hashes[at], np.repeat(np.arange(len(rows)), n)
+
+    (h, i), (k, j) = flat(left), flat(right)
+    both = np.intersect1d(h, k)
+    out = np.zeros((len(left), len(right)), np.int64)
+    for lo in range(0, len(both), _COLUMNS):
+        some = both[lo:lo + _COLUMNS]
+        parts = []
+        for x, row, n in ((h, i, len(left)), (k, j, len(right))):
+            at = np.minimum(np.searchsorted(some, x), len(some) - 1)
+            hit = some[at] == x
+            m = np.zeros((n, len(some)), np.float32)
+            m[row[hit], at[hit]] = 1
+            parts.append(m)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def _block_links(t: pa.Table) -> set[tuple[int, int]]:
+    """Links between the two sides of one group of rows: side 0 meets side 1, side 2 meets itself."""
+    node, component, side = (t.column(c).to_numpy() for c in ("node", "component", "side"))
+    hashes, first = shingle_sets(t.column("text").combine_chunks())
+    size = np.diff(first)
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side > 0)
+    if not len(left) or not len(right):
+        return set()
+    both = shared_counts(hashes, first, left, right)
+    linked = 100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)
+    linked &= (both > 0) & (component[left][:, None] != component[right][None, :])
+    return {(min(a, b), max(a, b)) for a, b in zip(node[left[linked.nonzero()[0]]].tolist(),
+                                                   node[right[linked.nonzero()[1]]].tolist())}
+
+
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signature verification of all pairs of different components in each group of rows (`g`: bucket and pair of
-    blocks, rows of a group in sequence, at most 2 * BLOCK of them on average)."""
+    """The links of each group; a group's rows stand in sequence, at most about 2 * BLOCK of them."""
     rest: pa.Table | None = None
 
-    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: t.column(c).to_numpy() for c in ("node", "component", "rep", "block", "lo", "hi")}
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(t.num_rows, -1)
+    def links(t: pa.Table) -> Iterator[pa.RecordBatch]:
         edge = np.zeros(t.num_rows, bool)
         edge[0] = True
-        for c in ("bucket", "lo", "hi"):
+        for c in GROUP:
             x = t.column(c).to_numpy()
             edge[1:] |= x[1:] != x[:-1]
-        g = np.append(np.flatnonzero(edge), t.num_rows)
-        found = []
-        for s, e in zip(g[:-1], g[1:]):
-            one, two = cols["lo"][s], cols["hi"][s]
-            left = s + np.flatnonzero(cols["block"][s:e] == one)
-            right = s + np.flatnonzero(cols["block"][s:e] == two)
-            for i in left:
-                j = right[(right > i) | (one != two)]
-                j = j[(cols["component"][j] != cols["component"][i]) & (cols["node"][j] != cols["rep"][j])]
-                if cols["node"][i] != cols["rep"][i] and len(j):
-                    j = j[(sig[j] == sig[i]).mean(axis=1) >= AGREE]
-                    found += [(min(x, y), max(x, y)) for x, y in zip([int(cols["node"][i])] * len(j),
-                                                                     cols["node"][j].tolist())]
+        at = np.append(np.flatnonzero(edge), t.num_rows)
+        found = sorted(set().union(*(_block_links(t.slice(s, e - s)) for s, e in zip(at[:-1], at[1:]))))
         if found:
-            a, b = zip(*sorted(set(found)))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
         t = pa.Table.from_batches([batch])
         t = pa.concat_tables([rest, t]) if rest is not None else t
-        last = t.slice(t.num_rows - 1).to_pylist()[0]
         same = np.ones(t.num_rows, bool)
-        for c in ("bucket", "lo", "hi"):
-            same &= t.column(c).to_numpy() == last[c]
+        for c in GROUP:
+            x = t.column(c).to_numpy()
+            same &= x == x[-1]
         cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
         rest = t.slice(cut)
         if cut:
-            yield from pairs(t.slice(0, cut))
+            yield from links(t.slice(0, cut))
     if rest is not None and rest.num_rows:
-        yield from pairs(rest)
+        yield from links(rest)
 
 
 class _Linker:
-    """Confirms candidate pairs (a < b) of nodes."""
+    """Confirms candidate pairs (a < b) of nodes on their signatures, then on their texts."""
 
     def __init__(self, classes: DataFrame, texts: DataFrame):
         self.classes, self.texts = classes, texts
 
-    def links(self, pairs: DataFrame, verified: bool) -> DataFrame:
+    def texts_of(self, nodes: DataFrame) -> DataFrame:
+        """node, text of the given nodes (distinct)."""
+        few = nodes.count() <= MAX_BROADCAST_NODES
+        return written(self.texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi"), "texts")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
         side = lambda s: self.classes.select(F.col("node").alias(s), F.col("f1").alias(f"{s}1"),
                                              F.col("f2").alias(f"{s}2"), F.col("sig").alias(f"sig_{s}"))
-        known = pairs.join(side("a"), "a").join(side("b"), "b")
-        marks = "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"
-        known = known.select("a", "b", "a1", "a2", "b1", "b2") if verified else known.mapInArrow(_agree, marks)
-        known = written(known, "pairs")
-        nodes = known.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        few = nodes.count() <= MAX_BROADCAST_NODES
-        texts = written(self.texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi"), "texts")
+        known = written(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+            _agree, "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "pairs")
+        texts = self.texts_of(known.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         text = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
         return (known.join(text("a"), "a").join(text("b"), "b")
                 .select("a", "b", "a1", "a2", "b1", "b2", "text_a", "text_b").mapInArrow(_confirm, "u bigint, v bigint"))
@@ -227,24 +260,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     linker = _Linker(classes, rows.where("_key is not null").select(F.col("_key").alias("node"),
                                                                    F.col("_text").alias("text")))
-    first = written(linker.links(pairs, verified=False), "links")
-    of_node = components(first)
+    of_node = components(linker.links(pairs))
 
     # Buckets of three and more that still hold several components.
-    placed = (members.where("size > 2").select("band", "bucket", "node", "rep", "size")
+    placed = (members.where("size > 2").select("band", "bucket", "node")
               .join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x <> y").select("band", "bucket"))
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")
-    spread = (placed.join(mixed, ["band", "bucket"], "left_semi").withColumn("block", block)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / BLOCK).cast("int") - 1)))
-              .select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                      "block", "node", "rep", "component")
-              .join(classes.groupBy("node").agg(F.min("sig").alias("sig")), "node"))
-    left_over = (spread.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
-                 .select("bucket", "lo", "hi", "block", "node", "rep", "component", "sig")
-                 .mapInArrow(_blocked, "a bigint, b bigint").distinct())
-    more = linker.links(left_over, verified=True)
+    mixed = (placed.groupBy("band", "bucket")
+             .agg(F.min(F.struct("node", "component")).alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
+             .where("x <> y").select("band", "bucket", F.col("m.component").alias("main")))
+    # The same texts share many buckets; by the main component they meet once.
+    tagged = written(placed.join(mixed, ["band", "bucket"]).select("main", "node", "component").distinct()
+                     .withColumn("out", F.col("component") != F.col("main")), "mixed")
+    sizes = tagged.groupBy("main").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"),
+                                       F.ceil(F.count_if(~F.col("out")) / BLOCK).cast("int").alias("mains"))
+    spread = tagged.join(sizes, "main").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains"))).cast("int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    kept = ("main", "node", "component")
+    met = spread.where("out").select(
+        *kept, each(F.col("mains")).alias("lo"), F.col("block").alias("hi"), F.lit(0).alias("side")).unionByName(
+        spread.where(~F.col("out")).select(
+            *kept, F.col("block").alias("lo"), each(F.col("outs")).alias("hi"), F.lit(1).alias("side"))).withColumn("kind", F.lit(0))
+    own = spread.where("out").withColumn("other", each(F.col("outs"))).select(
+        *kept, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
+        F.lit(1).alias("kind"))
+    blocks = met.unionByName(own).join(linker.texts_of(tagged.select("node").distinct()), "node")
+    more = (blocks.repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+            .select(*GROUP, "side", "node", "component", "text").mapInArrow(_blocked, "u bigint, v bigint"))
     linked = components(of_node.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
     named = classes.select("n_shingles", "f1", "f2", "node")
