@@ -190,9 +190,8 @@ def sentiment_by_topic(items: DataFrame, p: ReportParams, k: int = TOP_SENTIMENT
     e = _exploded(current(items, p), "topics", "topic")
     g = e.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), *_sent_counts())
     t = top_k(g, "topic", k=k).select("rank", "topic", POS, NEU, NEG)
-    gate = e.agg(F.count_if(F.col("sent").isNotNull()).alias("_scored")).filter("_scored > 0")
-    # the gate is a single-row global aggregate
-    return t.join(F.broadcast(gate), how="left_semi", on=F.lit(True))
+    scored = g.agg(F.sum(F.col(POS) + F.col(NEU) + F.col(NEG))).scalar()  # over the aggregated topics
+    return t.filter(scored > 0)
 
 
 def sentiment_by_day(items: DataFrame, p: ReportParams, n_days: int = LAST_DAYS) -> DataFrame:
@@ -201,8 +200,7 @@ def sentiment_by_day(items: DataFrame, p: ReportParams, n_days: int = LAST_DAYS)
     cur = current(items, p)
     d = _last_days(cur, n_days).select("day", POS, NEU, NEG,
                                        (F.col(POS) + F.col(NEU) + F.col(NEG)).alias("n_scored"))
-    gate = _any_scored(cur).filter("_scored > 0")
-    return d.join(F.broadcast(gate), how="left_semi", on=F.lit(True)).orderBy("day")
+    return d.filter(_any_scored(cur).scalar() > 0).orderBy("day")
 
 
 # ---------------------------------------------------------------------------
@@ -287,12 +285,11 @@ def key_metrics(items: DataFrame, p: ReportParams) -> DataFrame:
     """Mentions, delta, top topic ('coverage' if none), top publisher
     ('unknown' if none)."""
     m = mention_delta(items, p)
-    tt = by_topic(items, p, k=1).select(F.col("topic").alias("top_topic"))
-    tp = by_publisher(items, p, k=1).select(F.col("publisher").alias("top_publisher"))
-    j = m.join(tt, how="left", on=F.lit(True)).join(tp, how="left", on=F.lit(True))
-    return j.select("n_mentions", "n_prev_mentions", "mention_delta",
-                    F.coalesce("top_topic", F.lit("coverage")).alias("top_topic"),
-                    F.coalesce("top_publisher", F.lit("unknown")).alias("top_publisher"))
+    topic = by_topic(items, p, k=1).select("topic").scalar()
+    publisher = by_publisher(items, p, k=1).select("publisher").scalar()
+    return m.select("n_mentions", "n_prev_mentions", "mention_delta",
+                    F.coalesce(topic, F.lit("coverage")).alias("top_topic"),
+                    F.coalesce(publisher, F.lit("unknown")).alias("top_publisher"))
 
 
 def summary_tables(items: DataFrame) -> DataFrame:

@@ -87,17 +87,16 @@ def report_rows(items: DataFrame, p: ReportParams, materialize: bool = True) ->
     topic_all = tx.groupBy("topic").agg(F.sum("n").alias("n"),
                                         *[F.sum(F.when(F.col("sent") == s, F.col("n")).otherwise(0)).cast("long").alias(s)
                                           for s in SENTIMENT_LABELS])
-    scored = sent.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("scored"))
-    gate = scored.filter(F.col("scored") > 0)
-    topic_gate = topic_all.agg(F.sum(F.col(POS) + F.col(NEU) + F.col(NEG)).alias("s")).filter(F.col("s") > 0)
+    scored = sent.agg(F.sum("n")).scalar()
+    topic_scored = topic_all.agg(F.sum(F.col(POS) + F.col(NEU) + F.col(NEG))).scalar()
 
     # health and key metrics
     hr = tot.select("*", *A.health_from(F.col("n_mentions"), F.col("n_prev_mentions"),
                                          F.col("critical_issue_count")))
-    top_topic = A.top_k(topic_all.select("topic", "n"), "topic", k=1).select(F.col("topic").alias("top_topic"))
-    top_pub = A.top_k(pub, "publisher", k=1).select(F.col("publisher").alias("top_publisher"))
-    km = (tot.join(top_topic, how="left", on=F.lit(True)).join(top_pub, how="left", on=F.lit(True))
-          .select("*", A._delta(F.col("n_mentions"), F.col("n_prev_mentions")).alias("mention_delta")))
+    top_topic = A.top_k(topic_all.select("topic", "n"), "topic", k=1).select("topic").scalar()
+    top_pub = A.top_k(pub, "publisher", k=1).select("publisher").scalar()
+    km = tot.select("*", top_topic.alias("top_topic"), top_pub.alias("top_publisher"),
+                    A._delta(F.col("n_mentions"), F.col("n_prev_mentions")).alias("mention_delta"))
 
     # sentiment sections
     # at most three label rows: the scored total is a window over them
@@ -108,13 +107,12 @@ def report_rows(items: DataFrame, p: ReportParams, materialize: bool = True) ->
                                         "publisher"), "publisher", "left").na.fill(0, list(SENTIMENT_LABELS))
     pub_sent = pub_sent.select("*", (F.col(POS) + F.col(NEU) + F.col(NEG)).alias("n_scored")) \
         .filter(F.col("n_scored") > 0)
-    topic_sent = A.top_k(topic_all, "topic", k=TOP_SENTIMENT_KEYS) \
-        .join(F.broadcast(topic_gate), how="left_semi", on=F.lit(True))
+    topic_sent = A.top_k(topic_all, "topic", k=TOP_SENTIMENT_KEYS).filter(topic_scored > 0)
     days = day.orderBy(F.col("day").desc()).limit(LAST_DAYS)
     day_sent = days.join(_pivot_sent(_set(counts, "day_sentiment").filter(F.col("key2").isNotNull()), "day"),
                          "day", "left").na.fill(0, list(SENTIMENT_LABELS))
     day_sent = day_sent.select("*", (F.col(POS) + F.col(NEU) + F.col(NEG)).alias("n_scored")) \
-        .join(F.broadcast(gate), how="left_semi", on=F.lit(True))
+        .filter(scored > 0)
 
     appendix = (A.top_k(plat.withColumnRenamed("platform", "key"), "key").select(
                     F.lit("by_platform").alias("table_name"), "rank", "key", "n")
