@@ -97,6 +97,13 @@ def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN
             .where(F.col("texts") >= min_docs).select("key"))
 
 
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which elements of `x` the sorted array `known` holds: a binary search each, whatever the size of `known`."""
+    if not len(known):
+        return np.zeros(x.shape, bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray) -> tuple[list, list, list, list]:
     """(text kept, lines, recurring lines, line numbers dropped) per row."""
     n = len(texts)
@@ -142,7 +149,7 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS
             for batch in batches:
                 for part in slices(batch, batch.schema.names[where]):
                     lines = Lines(part.column(where))
-                    yield rebuild(part, lines, np.isin(lines.keys, shipped.value).any(axis=1), width)
+                    yield rebuild(part, lines, _among(lines.keys, shipped.value).any(axis=1), width)
 
         return docs.mapInArrow(run, schema)
 
