@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_templates.drop_recurring(docs)
+    kept = line_templates.drop_recurring(docs, grouped=True)
     length = F.when(F.size("dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", length).select(docs.columns)
 

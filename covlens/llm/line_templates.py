@@ -7,14 +7,17 @@ least `LONG` tokens one of the `SEGMENTS` stretches of the remaining tokens may
 template and to one template per stretch left open.  The tree's nodes are addressed by hashes of their paths, so the
 tree is a table, not one task's memory, and the result does not depend on the order of the lines.
 
-A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once).
-Lines of recurring templates are dropped, except in a document most of whose words (`COPIED`) are such lines: that is
-a copy of other documents, whose content would vanish with its lines, and is left whole for near-duplicate removal.
+A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once).  With
+`grouped`, which the registered query and the pipeline use, a template's support is counted over groups of near copies
+(`minhash.near_duplicates` of the texts) instead of over texts, so copies do not make their own lines recurring, and
+every line of a recurring template is dropped in every text.  Without it, support is counted over texts, and a
+document most of whose words (`COPIED`) are recurring lines is taken for a copy and left whole.
 
 Shuffles carry 16 bytes per line and template, counted with map-side partial aggregation, so a line in a third of all
 documents is a single row per task.  The recurring templates' hashes are broadcast while they are few
 (`max_broadcast_bytes`, counted first); beyond that they are joined with the lines, and the line numbers with the
-documents.
+documents.  Likewise the groups of two and more texts (16 bytes a text) are broadcast while they are few, and joined
+with the texts beyond that.
 
 Defined results: null text stays null and has no lines; empty text has one empty line; lines without tokens and lines
 shorter than `SHORTEST` tokens are kept; repeated rows are treated alike; an empty table gives an empty table; other
@@ -30,7 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covlens.llm import minhash
 from covlens.llm.batches import slices
+from covlens.llm.store import written
 from covlens.llm.textops import Buffer, Words, mix, powers
 
 LEAD = 2
@@ -79,7 +84,7 @@ class Lines:
 
 
 def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(template hash, text hash), once per text."""
+    """(template hash, hash of the text or of its group), once per text."""
     for batch in batches:
         for part in slices(batch, "_text"):
             lines = Lines(part.column("_text"))
@@ -89,9 +94,26 @@ def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].view(np.int64)), pa.array(text)], ["key", "fp"])
 
 
-def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """`key`: hashes of the templates whose lines stand in at least `min_docs` different texts."""
-    rows = docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("__line_fp"))
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("__line_fp"))
+
+
+def copy_groups(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`__line_fp`, `__group`: hash of each text that has near copies, and the smallest hash among them."""
+    found = minhash.near_duplicates(_texts(docs, text), "__line_fp", "_text")
+    return written(found.where("doc_id <> component_id")
+                   .select(F.col("doc_id").alias("__line_fp"), F.col("component_id").alias("__group")).distinct(), "groups")
+
+
+def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, grouped: bool = False,
+                        max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """`key`: hashes of the templates whose lines stand in at least `min_docs` different texts, or groups of texts."""
+    rows = _texts(docs, text)
+    if grouped:
+        groups = copy_groups(docs, text)
+        few = groups.count() * 16 <= max_broadcast_bytes
+        rows = (rows.join(F.broadcast(groups) if few else groups, "__line_fp", "left")
+                .select("_text", F.coalesce("__group", "__line_fp").alias("__line_fp")))
     return (rows.mapInArrow(_template_rows, "key bigint, fp bigint")
             .groupBy("key").agg(F.count_distinct("fp").alias("texts"))
             .where(F.col("texts") >= min_docs).select("key"))
@@ -104,12 +126,13 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray) -> tuple[list, list, list, list]:
+def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray, grouped: bool) -> tuple[list, list, list, list]:
     """(text kept, lines, recurring lines, line numbers dropped) per row."""
-    n = len(texts)
-    words = np.bincount(lines.row, lines.tokens, n)
-    recurring = np.bincount(lines.row, lines.tokens * hit, n)
-    drops = hit & (recurring < COPIED * words)[lines.row] if len(hit) else hit
+    n, drops = len(texts), hit
+    if not grouped and len(hit):
+        words = np.bincount(lines.row, lines.tokens, n)
+        recurring = np.bincount(lines.row, lines.tokens * hit, n)
+        drops = hit & (recurring < COPIED * words)[lines.row]
     kept, dropped = texts.to_pylist(), [[] for _ in range(n)]
     for r, k in zip(lines.row[drops].tolist(), lines.number[drops].tolist()):
         dropped[r].append(k)
@@ -122,17 +145,17 @@ def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray) -> tuple[list, list
 
 
 def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS,
-                   max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+                   max_broadcast_bytes: int = 64 << 20, grouped: bool = False) -> DataFrame:
     """`docs` with `text` shortened, and new columns `n_lines`, `n_recurring` and `dropped` (line numbers from 0);
     input columns of these names are replaced."""
     docs = docs.select(*[docs[c] for c in docs.columns if c not in ("n_lines", "n_recurring", "dropped")])
     where = docs.columns.index(text)
-    keys = recurring_templates(docs, text, min_docs).persist()
+    keys = recurring_templates(docs, text, min_docs, grouped, max_broadcast_bytes).persist()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema += ", n_lines bigint, n_recurring bigint, dropped array<int>"
 
     def rebuild(part: pa.RecordBatch, lines: Lines, hit: np.ndarray, width: int) -> pa.RecordBatch:
-        kept, total, recurring, dropped = _rewrite(part.column(where), lines, hit)
+        kept, total, recurring, dropped = _rewrite(part.column(where), lines, hit, grouped)
         cols = list(part.columns[:width])
         cols[where] = pa.array(kept, part.column(where).type)
         return pa.RecordBatch.from_arrays(
@@ -172,9 +195,8 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS
                 hit = np.array([k in set(hits[r] or ()) for r, k in zip(lines.row, lines.number)], bool)
                 yield rebuild(part, lines, hit, width)
 
-    texts = docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("__line_fp"))
     # One text's lines are bounded by that text: copies of a text give the same line numbers.
-    marks = (texts.mapInArrow(occurrences, "key bigint, fp bigint, line int").join(keys, "key", "left_semi")
+    marks = (_texts(docs, text).mapInArrow(occurrences, "key bigint, fp bigint, line int").join(keys, "key", "left_semi")
              .groupBy("fp").agg(F.collect_set("line").alias("__line_hits")).withColumnRenamed("fp", "__line_fp"))
     joined = docs.withColumn("__line_fp", F.xxhash64(docs[text])).join(marks, "__line_fp", "left")
     return joined.select(*[joined[f"`{c}`"] for c in docs.columns], "__line_hits").mapInArrow(run_joined, schema)

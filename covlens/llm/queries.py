@@ -58,7 +58,7 @@ def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of recurring templates."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_templates.drop_recurring(docs)
+    return line_templates.drop_recurring(docs, grouped=True)
 
 
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,6 +183,18 @@ def test_copies_keep_their_lines(spark):
     assert {r["text"] for r in line_templates.drop_recurring(docs(spark, texts)).collect()} == set(texts)
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_recurring_lines_go_from_every_text_but_copies_do_not_count(spark, limit):
+    rng = random.Random(12)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    footer, body = line(9), "\n".join(line(15) for _ in range(10))
+    texts = [f"{footer}\n{line(4)}" for _ in range(6)]  # mostly boilerplate, and no copies of each other
+    texts += [f"{body}\n{footer}\n{line(3)}" for _ in range(8)]  # near copies
+    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True, max_broadcast_bytes=limit)
+           .orderBy("doc_id").collect()]
+    assert got == [[0]] * 6 + [[10]] * 8
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 def bench(spark, texts):
