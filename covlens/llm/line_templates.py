@@ -7,7 +7,8 @@ least `LONG` tokens one of the `SEGMENTS` stretches of the remaining tokens may
 template and to one template per stretch left open.  The tree's nodes are addressed by hashes of their paths, so the
 tree is a table, not one task's memory, and the result does not depend on the order of the lines.
 
-A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once).  With
+A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once); from
+`PASSAGE` words on, where a line is no chance repeat, `PASSAGE_DOCS` texts are enough.  With
 `grouped`, which the registered query and the pipeline use, a template's support is counted over groups of near copies
 (`minhash.near_duplicates` of the texts) instead of over texts, so copies do not make their own lines recurring, and
 every line of a recurring template is dropped in every text.  Without it, support is counted over texts, and a
@@ -43,13 +44,15 @@ SEGMENTS = 3
 LONG = 12
 SHORTEST = 3
 MIN_DOCS = 5
+PASSAGE = 30
+PASSAGE_DOCS = 2
 COPIED = 0.5
 _STAR = np.uint64(0x2545F4914F6CDD1D)
 
 
 class Lines:
     """The non-blank lines of a buffer: row, line number in the row, token count, and template hashes (one column for
-    the exact template and one per open stretch; 0 where there is none)."""
+    the exact template and one per open stretch; 0 where there is none; odd ones are those of passages)."""
 
     def __init__(self, texts: pa.Array):
         buffer = Buffer(texts)
@@ -80,6 +83,8 @@ class Lines:
         for s in range(SEGMENTS):
             part = np.add.reduceat(np.where(segment == s, h, np.uint64(0)), first)
             self.keys[:, 1 + s] = np.where(long, mix(total - part + (count * np.uint64(8) + np.uint64(s + 1)) * _STAR), 0)
+        passage = (self.tokens >= PASSAGE).astype(np.uint64)
+        self.keys = np.where(self.keys, self.keys & ~np.uint64(1) | passage[:, None], 0)
         self.keys[self.tokens < SHORTEST] = 0
 
 
@@ -107,16 +112,18 @@ def copy_groups(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, grouped: bool = False,
                         max_broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """`key`: hashes of the templates whose lines stand in at least `min_docs` different texts, or groups of texts."""
+    """`key`: hashes of the templates whose lines stand in at least `min_docs` different texts, or groups of texts
+    (`PASSAGE_DOCS` for passages)."""
     rows = _texts(docs, text)
     if grouped:
         groups = copy_groups(docs, text)
         few = groups.count() * 16 <= max_broadcast_bytes
         rows = (rows.join(F.broadcast(groups) if few else groups, "__line_fp", "left")
                 .select("_text", F.coalesce("__group", "__line_fp").alias("__line_fp")))
+    needed = F.when(F.col("key").bitwiseAND(1) == 1, min(min_docs, PASSAGE_DOCS)).otherwise(min_docs)
     return (rows.mapInArrow(_template_rows, "key bigint, fp bigint")
             .groupBy("key").agg(F.count_distinct("fp").alias("texts"))
-            .where(F.col("texts") >= min_docs).select("key"))
+            .where(F.col("texts") >= needed).select("key"))
 
 
 def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -195,6 +195,21 @@ def test_recurring_lines_go_from_every_text_but_copies_do_not_count(spark, limit
     assert got == [[0]] * 6 + [[10]] * 8
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_long_passages_recur_from_two_texts_on(spark, limit):
+    rng = random.Random(13)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage, short = line(60), line(20)
+    texts = ["\n".join([line(70), passage, short, line(25)]) for _ in range(4)]
+    texts += [f"{passage}\n{line(80)}"] * 50
+    lone = line(60)
+    texts += [f"{lone}\n{line(3)}" for _ in range(3)]  # near copies
+    for grouped in (True, False):
+        got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=grouped, max_broadcast_bytes=limit)
+               .orderBy("doc_id").collect()]
+        assert got == [[1]] * 4 + [[0]] * 50 + [[]] * 3
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 def bench(spark, texts):
