@@ -4,11 +4,13 @@ Lines are parsed like log messages, by a tree of fixed depth: the first level is
 its `LEAD` leading tokens, and a leaf holds the templates of the remaining tokens.  Variable fields generalise in two
 ways: tokens that look variable (with a digit, an `@` or `://`) become `<*>` anywhere in the line; and in lines of at
 least `LONG` tokens one of the `SEGMENTS` stretches of the remaining tokens may differ, so a line belongs to its exact
-template and to one template per stretch left open.  The tree's nodes are addressed by hashes of their paths, so the
+template and to one template per stretch left open.  Lines of fewer than `SHORTEST` tokens have only the template of their
+literal tokens.  The tree's nodes are addressed by hashes of their paths, so the
 tree is a table, not one task's memory, and the result does not depend on the order of the lines.
 
 A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once); from
-`PASSAGE` words on, where a line is no chance repeat, `PASSAGE_DOCS` texts are enough.  With
+`PASSAGE` literal words on, where a template is no chance repeat, `PASSAGE_DOCS` texts are enough.  Words are tokens here,
+or half the characters where the tokens average over `UNSPACED` characters (scripts without spaces).  With
 `grouped`, which the registered query and the pipeline use, a template's support is counted over groups of near copies
 (`minhash.near_duplicates` of the texts) instead of over texts, so copies do not make their own lines recurring, and
 every line of a recurring template is dropped in every text.  Without it, support is counted over texts, and a
@@ -20,8 +22,8 @@ documents is a single row per task.  The recurring templates' hashes are broadca
 documents.  Likewise the groups of two and more texts (16 bytes a text) are broadcast while they are few, and joined
 with the texts beyond that.
 
-Defined results: null text stays null and has no lines; empty text has one empty line; lines without tokens and lines
-shorter than `SHORTEST` tokens are kept; repeated rows are treated alike; an empty table gives an empty table; other
+Defined results: null text stays null and has no lines; empty text has one empty line; lines without tokens are kept;
+repeated rows are treated alike; an empty table gives an empty table; other
 columns pass through, whatever their names.
 """
 
@@ -46,10 +48,16 @@ SHORTEST = 3
 MIN_DOCS = 5
 PASSAGE = 30
 PASSAGE_DOCS = 2
+UNSPACED = 16
 COPIED = 0.5
 _STAR = np.uint64(0x2545F4914F6CDD1D)
 
 
+def _passage(tokens: np.ndarray, characters: np.ndarray) -> np.ndarray:
+    """Whether a template of so many literal tokens and characters in them is long enough to be no chance repeat."""
+    return np.where(characters > UNSPACED * tokens, np.maximum(characters // 2, tokens), tokens) >= PASSAGE
+
+
 class Lines:
     """The non-blank lines of a buffer: row, line number in the row, token count, and template hashes (one column for
     the exact template and one per open stretch; 0 where there is none; odd ones are those of passages)."""
@@ -68,7 +76,8 @@ class Lines:
         odd = (b >= 48) & (b <= 57) | (b == 64)
         odd[:-2] |= (b[:-2] == 58) & (b[1:-1] == 47) & (b[2:] == 47)
         seen = np.concatenate([[0], np.cumsum(odd, dtype=np.int32)])
-        h = np.where(seen[words.end] > seen[words.start], _STAR, words.hash)
+        masked = (seen[words.end] > seen[words.start]) & np.repeat(self.tokens >= SHORTEST, self.tokens)
+        h = np.where(masked, _STAR, words.hash)
         self.keys = np.zeros((len(first), 1 + SEGMENTS), np.uint64)
         if not len(first):
             return
@@ -80,12 +89,17 @@ class Lines:
         total = np.add.reduceat(h, first)
         self.keys[:, 0] = mix(total + count * _STAR)
         long = self.tokens >= LONG
+        begun = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80, dtype=np.int32)])
+        characters = np.where(masked, 0, begun[words.end] - begun[words.start])
+        passage = np.zeros(self.keys.shape, np.uint64)
+        passage[:, 0] = _passage(np.add.reduceat(~masked, first, dtype=np.int64), np.add.reduceat(characters, first))
         for s in range(SEGMENTS):
             part = np.add.reduceat(np.where(segment == s, h, np.uint64(0)), first)
+            shut = segment != s
+            passage[:, 1 + s] = _passage(np.add.reduceat(shut & ~masked, first, dtype=np.int64),
+                                         np.add.reduceat(np.where(shut, characters, 0), first))
             self.keys[:, 1 + s] = np.where(long, mix(total - part + (count * np.uint64(8) + np.uint64(s + 1)) * _STAR), 0)
-        passage = (self.tokens >= PASSAGE).astype(np.uint64)
-        self.keys = np.where(self.keys, self.keys & ~np.uint64(1) | passage[:, None], 0)
-        self.keys[self.tokens < SHORTEST] = 0
+        self.keys = np.where(self.keys, self.keys & ~np.uint64(1) | passage, 0)
 
 
 def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

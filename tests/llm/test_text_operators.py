@@ -210,6 +210,20 @@ def test_long_passages_recur_from_two_texts_on(spark, limit):
         assert got == [[1]] * 4 + [[0]] * 50 + [[]] * 3
 
 
+def test_short_and_unspaced_lines_recur(spark):
+    rng = random.Random(14)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    script = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    long, short = script(90), script(9)
+    texts = ["\n".join([line(40), "Read more", "  ", "les.", f"{i}", "", f"page {i}"]) for i in range(6)]
+    texts += ["\n".join([script(200), long, short, line(20)]) for _ in range(2)]
+    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True).orderBy("doc_id").collect()]
+    assert got == [[1, 3]] * 6 + [[1]] * 2
+    texts = ["\n".join([line(40), " ".join(str(rng.random()) for _ in range(40)),
+                        " ".join(script(40) + str(k) for k in range(3))]) for _ in range(3)]  # variable fields only
+    assert {r["text"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True).collect()} == set(texts)
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 def bench(spark, texts):
