@@ -9,8 +9,11 @@ the open segments and the quantisation can still add; once few rows can reach th
 stops, which is a proof and not an estimate, and exactly these rows are rescored with the full integers.  A window
 over (query, score, id) merges the blocks' k best.
 
-Defined results: vectors that are null or empty, hold a null, NaN or infinite component, or a component of magnitude
-2^20 or more (whose products could overflow) take no part; shorter vectors count as padded with zeros; ties go to the
+Sums of the walk stay in 64 bits: where a pair of blocks holds components so large that they might not, the rows and
+queries with such components are scored in full, in limbs of 21 bits, and the others walk.
+
+Defined results: vectors that are null or empty, hold a null, NaN or infinite component, or a component whose
+floor(256 * x) is no 64-bit integer take no part; a pair whose score is no 64-bit integer is not listed; shorter vectors count as padded with zeros; ties go to the
 smaller id; rows that carry the query's own id are not its candidates; a repeated query id is asked once (its smallest
 vector), a repeated candidate row is listed as often as it stands there; a null id takes no part; no rows, no result.
 """
@@ -28,15 +31,42 @@ CANDIDATES, QUERIES = 8192, 2048
 BATCH = 64
 LEVEL_BITS = 5
 CHECKS = (0.6, 0.8, 1.0)  # shares of the postings after which the walk looks for its proof
-LARGEST = 1 << 20
+WALK = 1 << 58  # what dims * largest query component * largest row component stays under in a walk
+LIMB = 21
+_MASK = (1 << LIMB) - 1
+_EXACT_DIMS = 512  # 512 products of two limbs are exact in a double
 
 
 def quantised(vector: Column) -> Column:
-    """array<int> of floor(256 * x), or null where the vector takes no part."""
+    """array<bigint> of floor(256 * x), or null where the vector takes no part."""
     ints = F.transform(vector, lambda x: F.floor(F.lit(256.0) * x.cast("double")))
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double"))
-                   | (F.abs(x.cast("double")) >= LARGEST / 256))
-    return F.when(vector.isNotNull() & (F.size(vector) > 0) & ~bad, ints.cast("array<int>"))
+                   | (x.cast("double") >= 2.0 ** 55) | (x.cast("double") < -2.0 ** 55))
+    return F.when(vector.isNotNull() & (F.size(vector) > 0) & ~bad, ints)
+
+
+def _limbs(x: np.ndarray) -> list[np.ndarray]:
+    return [(x & _MASK).astype(np.float64), (x >> LIMB & _MASK).astype(np.float64), (x >> 2 * LIMB).astype(np.float64)]
+
+
+def full_scores(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, whether they are 64-bit integers) of all pairs of the rows of two matrices, given as limbs."""
+    parts = np.zeros((5, len(a[0]), len(b[0])), np.int64)
+    for lo in range(0, a[0].shape[1], _EXACT_DIMS):
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                parts[i + j] += (x[:, lo:lo + _EXACT_DIMS] @ y[:, lo:lo + _EXACT_DIMS].T).astype(np.int64)
+    for s in range(4):
+        parts[s + 1] += parts[s] >> LIMB
+        parts[s] &= _MASK
+    score = parts[0] | parts[1] << LIMB | parts[2] << 2 * LIMB
+    below = (parts[3] == _MASK) & (parts[4] == -1)
+    return np.where(below, score | np.iinfo(np.int64).min, score), below | (parts[3] == 0) & (parts[4] == 0)
+
+
+def _largest(m: np.ndarray) -> np.ndarray:
+    """Largest magnitude in each row (2^63 counts as 2^63 - 1)."""
+    return np.maximum(m.max(1), ~m.min(1) + (m.min(1) > np.iinfo(np.int64).min))
 
 
 class ImpactIndex:
@@ -132,14 +162,35 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
         if len(qs) and len(cs):
             dims = max(max(map(len, qs["v"])), max(map(len, cs["v"])))
             names = cs["id"].to_numpy(np.int64)
-            index, wanted = ImpactIndex(_matrix(cs["v"], dims)), _matrix(qs["v"], dims)
-            by_name = np.argsort(names, kind="stable")
+            rows, wanted = _matrix(cs["v"], dims), _matrix(qs["v"], dims)
             asked_ids = qs["id"].to_numpy(np.int64)
-            first, last = (np.searchsorted(names[by_name], asked_ids, side) for side in ("left", "right"))
-            for i in range(0, len(wanted), BATCH):
-                own = [by_name[a:b] for a, b in zip(first[i:i + BATCH], last[i:i + BATCH])]
-                for q, (at, scores) in zip(asked_ids[i:], index.top(wanted[i:i + BATCH], k, own, names)):
-                    out.append(pd.DataFrame({"query_id": q, "id": names[at], "score": scores}))
+            wide_row, wide_query = np.zeros(len(rows), bool), np.zeros(len(wanted), bool)
+            large_row, large_query = _largest(rows), _largest(wanted)
+            if dims * int(large_row.max()) * int(large_query.max()) >= WALK:
+                limit = math.isqrt((WALK - 1) // dims)
+                wide_row, wide_query = large_row > limit, large_query > limit
+
+            def listed(q: int, found: np.ndarray, scores: np.ndarray) -> None:
+                out.append(pd.DataFrame({"query_id": q, "id": found, "score": scores}))
+
+            for some, others in ((~wide_query, wide_row), (wide_query, np.ones(len(rows), bool))):
+                ids, limbs = names[others], _limbs(rows[others])
+                at = np.flatnonzero(some) if len(ids) else []
+                for i in range(0, len(at), BATCH):
+                    scores, fits = full_scores(_limbs(wanted[at[i:i + BATCH]]), limbs)
+                    for q, x, fit in zip(asked_ids[at[i:i + BATCH]], scores, fits):
+                        able = np.flatnonzero(fit & (ids != q))
+                        best = able[np.lexsort((ids[able], ~x[able]))[:k]]
+                        listed(q, ids[best], x[best])
+            if not wide_row.all() and not wide_query.all():
+                names, wanted, asked_ids = names[~wide_row], wanted[~wide_query], asked_ids[~wide_query]
+                index = ImpactIndex(rows[~wide_row])
+                by_name = np.argsort(names, kind="stable")
+                first, last = (np.searchsorted(names[by_name], asked_ids, side) for side in ("left", "right"))
+                for i in range(0, len(wanted), BATCH):
+                    own = [by_name[a:b] for a, b in zip(first[i:i + BATCH], last[i:i + BATCH])]
+                    for q, (at, scores) in zip(asked_ids[i:], index.top(wanted[i:i + BATCH], k, own, names)):
+                        listed(q, names[at], scores)
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype("int64")
 
     best = (left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb"))

@@ -143,6 +143,27 @@ def test_topk_is_exact_with_ties_and_bad_vectors(spark):
     assert impact_topk.search(df.where("vec_id in (0, 1)"), df.where("vec_id = 0"), 5).count() == 1
 
 
+def test_topk_keeps_vectors_of_any_size(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 10.0 ** rng.integers(-1, size), 8).tolist()) for size in (1, 5, 16) for i in
+            range(size * 100, size * 100 + 90)]
+    rows += [(1, [5000.0] + [0.0] * 7), (2, [-2.0 ** 55] + [0.0] * 7), (3, [1 / 256] + [0.0] * 7), (4, [-1 / 256] + [0.0] * 7)]
+    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    for top in (200, 600, 2000):
+        df = spark.createDataFrame([r for r in rows if r[0] < top], "vec_id bigint, embedding array<double>")
+        for block in (37, 8192):
+            got = collections.defaultdict(list)
+            for r in impact_topk.search(df, df.where("vec_id % 3 = 1"), 5, candidates_per_block=block).collect():
+                got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+            want = {}
+            for q, v in ok:
+                if q % 3 == 1 and q < top:
+                    scores = [(-sum(a * b for a, b in zip(v, c)), i) for i, c in ok if i != q and i < top]
+                    best = sorted(x for x in scores if -(1 << 63) <= -x[0] < 1 << 63)[:5]
+                    want[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+            assert {k: sorted(v) for k, v in got.items()} == {q: v for q, v in want.items() if v}
+
+
 # --- components and near-duplicates ----------------------------------------------------------------------------------
 
 def grouped(edges):
