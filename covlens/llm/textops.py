@@ -49,12 +49,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Buffer:
-    """The texts of a column as one lower-cased byte array; null counts as empty."""
+    """The texts of a column as one byte array, lower-cased unless told otherwise; null counts as empty."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, lower: bool = True):
         raw = [b"" if t is None else t for t in texts.cast(pa.binary()).to_pylist()]
         sep = bytes([SEPARATOR])
-        self.bytes = _LOWER[np.frombuffer(sep + sep.join(raw) + sep, np.uint8)]
+        self.bytes = np.frombuffer(sep + sep.join(raw) + sep, np.uint8)
+        if lower:
+            self.bytes = _LOWER[self.bytes]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         self.row_start = np.ones(len(raw) + 1, np.int64)  # of each text; the last is one past the final separator
         np.cumsum(lengths + 1, out=self.row_start[1:])
