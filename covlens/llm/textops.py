@@ -16,6 +16,8 @@ _RNG = np.random.default_rng(20240131)
 BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
+_BLOCK_BYTES = 1 << 18
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _NO_WORD = np.ones(256, bool)
@@ -75,16 +77,21 @@ class Words:
         self.start = np.flatnonzero(edge == -1) + 1
         self.end = np.flatnonzero(edge == 1) + 1
         self.row_first = np.searchsorted(self.start, buffer.row_start)
-        self.hash = np.zeros(len(self.start), np.uint64)
-        if len(self.start):
-            size = np.diff(self.start, append=len(b))
-            at = np.arange(self.start[0], len(b)) - np.repeat(self.start, size)
-            own = self.end - self.start
-            value = BYTE_CODE[b[self.start[0]:]]
-            value[space[self.start[0]:]] = 0
-            value *= powers(int(size.max()))[at]
-            self.hash = mix(np.add.reduceat(value, self.start - self.start[0])
-                            + own.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.hash = np.empty(len(self.start), np.uint64)
+        # A block of words at a time: what is held besides the results does not grow with the texts.
+        at = 0
+        while at < len(self.start):
+            first = self.start[at]
+            to = max(at + 1, int(np.searchsorted(self.end, first + _BLOCK_BYTES, "right")))
+            start, own = self.start[at:to] - first, (self.end[at:to] - self.start[at:to])
+            part = slice(first, self.end[to - 1])
+            size = np.diff(start, append=part.stop - first)
+            place = np.arange(part.stop - first, dtype=np.int32) - np.repeat(start.astype(np.int32), size)
+            value = BYTE_CODE[b[part]]
+            value[space[part]] = 0
+            value *= powers(int(size.max()))[place]
+            self.hash[at:to] = mix(np.add.reduceat(value, start) + own.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            at = to
 
 
 def windows(hashes: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
