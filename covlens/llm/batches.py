@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
+_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Hold the Arrow batches that a task sends to its Python worker at `BATCH_BYTES`, where the session allows more:
+    batches of long texts are otherwise bounded by their number of rows and 64 MB, twice over in JVM and worker."""
+    if not 0 < int(str(spark.conf.get(_BOUND)).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BOUND, str(BATCH_BYTES))
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

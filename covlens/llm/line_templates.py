@@ -8,23 +8,21 @@ template and to one template per stretch left open.  Lines of fewer than `SHORTE
 literal tokens.  The tree's nodes are addressed by hashes of their paths, so the
 tree is a table, not one task's memory, and the result does not depend on the order of the lines.
 
-A template recurs if its lines stand in at least `min_docs` different texts (exact copies of a text count once); from
-`PASSAGE` literal words on, where a template is no chance repeat, `PASSAGE_DOCS` texts are enough.  Words are tokens here,
-or half the characters where the tokens average over `UNSPACED` characters (scripts without spaces).  With
-`grouped`, which the registered query and the pipeline use, a template's support is counted over groups of near copies
-(`minhash.near_duplicates` of the texts) instead of over texts, so copies do not make their own lines recurring, and
-every line of a recurring template is dropped in every text.  Without it, support is counted over texts, and a
-document most of whose words (`COPIED`) are recurring lines is taken for a copy and left whole.
-
-Shuffles carry 16 bytes per line and template, counted with map-side partial aggregation, so a line in a third of all
-documents is a single row per task.  The recurring templates' hashes are broadcast while they are few
-(`max_broadcast_bytes`, counted first); beyond that they are joined with the lines, and the line numbers with the
-documents.  Likewise the groups of two and more texts (16 bytes a text) are broadcast while they are few, and joined
-with the texts beyond that.
+A template recurs if its lines stand in at least `min_docs` groups of near-copy texts; from `PASSAGE` literal words on,
+where a template is no chance repeat, in `PASSAGE_DOCS`.  Words are tokens here, or half the characters where the tokens
+average over `UNSPACED` characters (scripts without spaces).  Templates that too few different texts hold are out at
+once; the groups are those of `minhash.near_duplicates` among the texts that hold one of the others.  So copies do not
+make their own lines recurring, and every line of a recurring template is dropped in every text.
+
+Every text is parsed once; what is kept of it are 16 bytes per line and template, counted with map-side partial
+aggregation, so a line in a third of all documents is a single row per task.  Only texts that hold a recurring template
+are read in Python again.  The hashes of the recurring templates and of those texts are broadcast while they are few
+(`max_broadcast_bytes`, counted first); beyond that they are joined with the lines and the texts.  Likewise the groups
+of two and more texts (16 bytes a text).
 
 Defined results: null text stays null and has no lines; empty text has one empty line; lines without tokens are kept;
-repeated rows are treated alike; an empty table gives an empty table; other
-columns pass through, whatever their names.
+repeated rows are treated alike; an empty table gives an empty table; other columns pass through, whatever their names,
+but input columns named like a new one are replaced.
 """
 
 from __future__ import annotations
@@ -35,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from covlens.llm import minhash
-from covlens.llm.batches import slices
+from covlens.llm.batches import bounded, slices
 from covlens.llm.store import written
 from covlens.llm.textops import Buffer, Words, mix, powers
 
@@ -49,7 +48,7 @@ MIN_DOCS = 5
 PASSAGE = 30
 PASSAGE_DOCS = 2
 UNSPACED = 16
-COPIED = 0.5
+MAX_BROADCAST_BYTES = 32 << 20
 _STAR = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -109,35 +108,45 @@ def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lines = Lines(part.column("_text"))
             pairs = np.stack([np.repeat(lines.row.astype(np.uint64), 1 + SEGMENTS), lines.keys.ravel()], 1)
             pairs = np.unique(pairs[pairs[:, 1] != 0], axis=0)
-            text = part.column("__line_fp").to_numpy(zero_copy_only=False)[pairs[:, 0].astype(np.int64)]
+            text = part.column("_fp").to_numpy(zero_copy_only=False)[pairs[:, 0].astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].view(np.int64)), pa.array(text)], ["key", "fp"])
 
 
+NEW = ("n_lines", "n_recurring", "dropped")
+
+
 def _texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("__line_fp"))
-
-
-def copy_groups(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`__line_fp`, `__group`: hash of each text that has near copies, and the smallest hash among them."""
-    found = minhash.near_duplicates(_texts(docs, text), "__line_fp", "_text")
-    return written(found.where("doc_id <> component_id")
-                   .select(F.col("doc_id").alias("__line_fp"), F.col("component_id").alias("__group")).distinct(), "groups")
-
-
-def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, grouped: bool = False,
-                        max_broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """`key`: hashes of the templates whose lines stand in at least `min_docs` different texts, or groups of texts
-    (`PASSAGE_DOCS` for passages)."""
-    rows = _texts(docs, text)
-    if grouped:
-        groups = copy_groups(docs, text)
-        few = groups.count() * 16 <= max_broadcast_bytes
-        rows = (rows.join(F.broadcast(groups) if few else groups, "__line_fp", "left")
-                .select("_text", F.coalesce("__group", "__line_fp").alias("__line_fp")))
+    return docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("_fp"))
+
+
+def _few(df: DataFrame, row_bytes: int, max_broadcast_bytes: int) -> DataFrame:
+    return F.broadcast(df) if df.count() * row_bytes <= max_broadcast_bytes else df
+
+
+def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS,
+                        max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(`key`: hashes of the recurring templates, `_fp`: hashes of the texts that hold one of them)."""
+    texts = _texts(docs, text)
     needed = F.when(F.col("key").bitwiseAND(1) == 1, min(min_docs, PASSAGE_DOCS)).otherwise(min_docs)
-    return (rows.mapInArrow(_template_rows, "key bigint, fp bigint")
-            .groupBy("key").agg(F.count_distinct("fp").alias("texts"))
-            .where(F.col("texts") >= needed).select("key"))
+
+    def enough(rows: DataFrame, of: str) -> DataFrame:
+        return rows.groupBy("key").agg(F.count_distinct(of).alias("n")).where(F.col("n") >= needed).select("key")
+
+    rows = written(texts.mapInArrow(_template_rows, "key bigint, fp bigint"), "templates")
+    wanted = written(enough(rows, "fp"), "candidates")
+    held = written(rows.join(_few(wanted, 8, max_broadcast_bytes), "key", "left_semi").distinct(), "held")
+    some = written(held.select(F.col("fp").alias("_fp")).distinct(), "holders")
+    if some.count() * 8 <= max_broadcast_bytes:
+        copied = texts.join(F.broadcast(some), "_fp", "left_semi")
+    else:  # read more than once below, so joined once
+        copied = written(texts.join(some, "_fp", "left_semi"), "held-texts")
+    found = minhash.near_duplicates(copied, "_fp", "_text")
+    groups = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("fp"), F.col("component_id").alias("group"))
+                     .distinct(), "groups")
+    grouped = held.join(_few(groups, 16, max_broadcast_bytes), "fp", "left").select("key", F.coalesce("group", "fp").alias("group"))
+    keys = written(enough(grouped, "group"), "recurring")
+    marked = held.join(_few(keys, 8, max_broadcast_bytes), "key", "left_semi").select(F.col("fp").alias("_fp")).distinct()
+    return keys, written(marked, "marked")
 
 
 def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -147,15 +156,11 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray, grouped: bool) -> tuple[list, list, list, list]:
+def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray) -> tuple[list, list, list, list]:
     """(text kept, lines, recurring lines, line numbers dropped) per row."""
-    n, drops = len(texts), hit
-    if not grouped and len(hit):
-        words = np.bincount(lines.row, lines.tokens, n)
-        recurring = np.bincount(lines.row, lines.tokens * hit, n)
-        drops = hit & (recurring < COPIED * words)[lines.row]
+    n = len(texts)
     kept, dropped = texts.to_pylist(), [[] for _ in range(n)]
-    for r, k in zip(lines.row[drops].tolist(), lines.number[drops].tolist()):
+    for r, k in zip(lines.row[hit].tolist(), lines.number[hit].tolist()):
         dropped[r].append(k)
     for r, gone in enumerate(dropped):
         if gone:
@@ -165,59 +170,78 @@ def _rewrite(texts: pa.Array, lines: Lines, hit: np.ndarray, grouped: bool) -> t
     return kept, total, np.bincount(lines.row, hit, n).astype(np.int64).tolist(), dropped
 
 
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(template hash, hash of the text, line number)."""
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            lines = Lines(part.column("_text"))
+            text_hash = part.column("_fp").to_numpy(zero_copy_only=False)[lines.row]
+            some = lines.keys.ravel() != 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lines.keys.ravel()[some].view(np.int64)), pa.array(np.repeat(text_hash, 1 + SEGMENTS)[some]),
+                 pa.array(np.repeat(lines.number, 1 + SEGMENTS)[some].astype(np.int32))], ["key", "fp", "line"])
+
+
 def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS,
-                   max_broadcast_bytes: int = 64 << 20, grouped: bool = False) -> DataFrame:
-    """`docs` with `text` shortened, and new columns `n_lines`, `n_recurring` and `dropped` (line numbers from 0);
-    input columns of these names are replaced."""
-    docs = docs.select(*[docs[c] for c in docs.columns if c not in ("n_lines", "n_recurring", "dropped")])
-    where = docs.columns.index(text)
-    keys = recurring_templates(docs, text, min_docs, grouped, max_broadcast_bytes).persist()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    schema += ", n_lines bigint, n_recurring bigint, dropped array<int>"
-
-    def rebuild(part: pa.RecordBatch, lines: Lines, hit: np.ndarray, width: int) -> pa.RecordBatch:
-        kept, total, recurring, dropped = _rewrite(part.column(where), lines, hit, grouped)
+                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """`docs` with `text` shortened, and new columns `n_lines`, `n_recurring` and `dropped` (line numbers from 0)."""
+    names = [c for c in docs.columns if c not in NEW]
+    where = names.index(text)
+    bounded(docs.sparkSession)
+    plain = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)])
+    text = f"c{where}"
+    keys, marked = recurring_templates(plain, text, min_docs, max_broadcast_bytes)
+    schema = StructType([*plain.schema.fields, StructField("n_lines", LongType()), StructField("n_recurring", LongType()),
+                         StructField("dropped", ArrayType(IntegerType()))])
+    width = len(names)
+
+    few_keys, few_marked = (df.count() * 8 <= max_broadcast_bytes for df in (keys, marked))
+    if few_keys and not few_marked:  # the keys go to all texts, where they lie
+        told = plain.select("*", F.lit(None).cast("bigint").alias("_fp"), F.lit(True).alias("_hit"))
+    else:  # texts without a recurring template pass as they are
+        told = plain.withColumn("_fp", F.xxhash64(text)).join(
+            (F.broadcast(marked) if few_marked else marked).select("_fp", F.lit(True).alias("_hit")), "_fp", "left")
+        told = told if few_marked else written(told, "told")
+    lines_of = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(text, "\n", -1)))
+    same = told.where("_hit is null").select(
+        *plain.columns, lines_of.cast("bigint").alias("n_lines"), F.lit(0).cast("bigint").alias("n_recurring"),
+        F.array().cast("array<int>").alias("dropped"))
+    hit_rows = told.where("_hit")
+
+    def rebuild(part: pa.RecordBatch, lines: Lines, hit: np.ndarray) -> pa.RecordBatch:
+        kept, total, recurring, dropped = _rewrite(part.column(where), lines, hit)
         cols = list(part.columns[:width])
         cols[where] = pa.array(kept, part.column(where).type)
         return pa.RecordBatch.from_arrays(
             [*cols, pa.array(total, pa.int64()), pa.array(recurring, pa.int64()), pa.array(dropped, pa.list_(pa.int32()))],
-            [*part.schema.names[:width], "n_lines", "n_recurring", "dropped"])
+            [*part.schema.names[:width], *NEW])
 
-    width = len(docs.columns)
-    if keys.count() * 8 <= max_broadcast_bytes:
-        known = np.sort(np.array([r["key"] for r in keys.toLocalIterator()], np.int64).view(np.uint64))
+    if few_keys:
+        known = np.sort(keys.toArrow().column("key").to_numpy().view(np.uint64))
         shipped = docs.sparkSession.sparkContext.broadcast(known)
-        keys.unpersist()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, batch.schema.names[where]):
                     lines = Lines(part.column(where))
-                    yield rebuild(part, lines, _among(lines.keys, shipped.value).any(axis=1), width)
-
-        return docs.mapInArrow(run, schema)
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                lines = Lines(part.column("_text"))
-                text_hash = part.column("__line_fp").to_numpy(zero_copy_only=False)[lines.row]
-                some = lines.keys.ravel() != 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines.keys.ravel()[some].view(np.int64)),
-                     pa.array(np.repeat(text_hash, 1 + SEGMENTS)[some]),
-                     pa.array(np.repeat(lines.number, 1 + SEGMENTS)[some].astype(np.int32))], ["key", "fp", "line"])
-
-    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, batch.schema.names[where]):
-                lines = Lines(part.column(where))
-                hits = part.column(width).to_pylist()
-                hit = np.array([k in set(hits[r] or ()) for r, k in zip(lines.row, lines.number)], bool)
-                yield rebuild(part, lines, hit, width)
-
-    # One text's lines are bounded by that text: copies of a text give the same line numbers.
-    marks = (_texts(docs, text).mapInArrow(occurrences, "key bigint, fp bigint, line int").join(keys, "key", "left_semi")
-             .groupBy("fp").agg(F.collect_set("line").alias("__line_hits")).withColumnRenamed("fp", "__line_fp"))
-    joined = docs.withColumn("__line_fp", F.xxhash64(docs[text])).join(marks, "__line_fp", "left")
-    return joined.select(*[joined[f"`{c}`"] for c in docs.columns], "__line_hits").mapInArrow(run_joined, schema)
+                    yield rebuild(part, lines, _among(lines.keys, shipped.value).any(axis=1))
+
+        changed = hit_rows.select(*plain.columns).mapInArrow(run, schema)
+    else:
+        def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, batch.schema.names[where]):
+                    lines = Lines(part.column(where))
+                    hit = np.zeros(len(lines.row), bool)
+                    first = np.searchsorted(lines.row, np.arange(part.num_rows + 1))
+                    for r, own in enumerate(part.column(width).to_pylist()):
+                        rows = slice(first[r], first[r + 1])
+                        hit[rows] = np.isin(lines.number[rows], np.array(own or [], np.int64))
+                    yield rebuild(part, lines, hit)
+
+        # One text's lines are bounded by that text: copies of a text give the same line numbers.
+        marks = (hit_rows.select(F.col(text).alias("_text"), "_fp").mapInArrow(_occurrences, "key bigint, fp bigint, line int")
+                 .join(keys, "key", "left_semi").groupBy("fp").agg(F.collect_set("line").alias("_lines")))
+        changed = (hit_rows.join(marks.withColumnRenamed("fp", "_fp"), "_fp", "left").select(*plain.columns, "_lines")
+                   .mapInArrow(run_joined, schema))
+    return same.unionByName(changed).toDF(*names, *NEW)

@@ -1,8 +1,10 @@
 """Toxicity, BPE, secret scan, line templates and decontamination against brute force, and on hostile rows."""
 import collections
 import hashlib
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -119,34 +121,62 @@ def test_secret_scan_rows(spark, hostile):
 # --- line templates --------------------------------------------------------------------------------------------------
 
 def template_keys(line):
+    """(template, whether it is a passage) of a line."""
     t = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), line))
-    masked = ["<*>" if re.search(r"[0-9@]|://", x) else x for x in t]
     n, keys = len(t), []
-    if n >= line_templates.SHORTEST:
-        keys.append((n, tuple(masked)))
+
+    def add(key, literal):
+        characters = sum(map(len, literal))
+        size = max(characters // 2, len(literal)) if characters > 16 * len(literal) else len(literal)
+        keys.append((key, size >= line_templates.PASSAGE))
+
+    variable = [n >= line_templates.SHORTEST and bool(re.search(r"[0-9@]|://", x)) for x in t]
+    masked = ["<*>" if v else x for x, v in zip(t, variable)]
+    if n:
+        add((n, tuple(masked)), [x for x, v in zip(t, variable) if not v])
     if n >= line_templates.LONG:
-        keys += [(n, s, tuple(x for i, x in enumerate(masked) if i < 2 or (i - 2) * 3 // (n - 2) != s)) for s in range(3)]
-    return n, keys
+        for s in range(3):
+            shut = [i < 2 or (i - 2) * 3 // (n - 2) != s for i in range(n)]
+            add((n, s, tuple(x for x, k in zip(masked, shut) if k)), [x for x, k, v in zip(t, shut, variable) if k and not v])
+    return keys
+
+
+def near_copies(texts):
+    """A name of each text's group."""
+    words = {t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in texts}
+    sets = {t: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for t, w in words.items()}
+    name = {t: t for t in texts}
+
+    def root(t):
+        while name[t] != t:
+            t = name[t]
+        return t
+    for a, b in itertools.combinations(sorted(texts), 2):
+        both = len(sets[a] & sets[b])
+        if both and 4 * both >= 3 * (len(sets[a]) + len(sets[b]) - both):
+            name[root(a)] = root(b)
+    return {t: root(t) for t in texts}
 
 
 def expected_lines(texts, min_docs):
-    seen = collections.defaultdict(set)
-    for t in texts:
-        for line in (t or "").split("\n"):
-            for k in template_keys(line)[1]:
-                seen[k].add(t)
+    held = collections.defaultdict(set)
+    for t in {t for t in texts if t}:
+        for line in t.split("\n"):
+            for k in template_keys(line):
+                held[k].add(t)
+    need = lambda k: min(2, min_docs) if k[1] else min_docs
+    held = {k: v for k, v in held.items() if len(v) >= need(k)}
+    group = near_copies(set().union(*held.values())) if held else {}
+    recurring = {k for k, v in held.items() if len({group[t] for t in v}) >= need(k)}
     out = []
     for t in texts:
-        lines = (t or "").split("\n")
-        parsed = [template_keys(x) for x in lines]
-        hit = [any(len(seen[k]) >= min_docs for k in ks) for _, ks in parsed]
-        some = sum(n for (n, _), h in zip(parsed, hit) if h)
-        drop = [i for i, h in enumerate(hit) if h] if some < 0.5 * sum(n for n, _ in parsed) else []
-        out.append((sum(hit), drop, "\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else t))
+        lines = [] if t is None else t.split("\n")
+        drop = [i for i, x in enumerate(lines) if recurring & set(template_keys(x))]
+        out.append((len(lines), len(drop), drop, "\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else t))
     return out
 
 
-@pytest.mark.parametrize("limit", [64 << 20, 0])
+@pytest.mark.parametrize("limit", [32 << 20, 0])
 def test_line_templates_against_brute_force(spark, limit):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
@@ -161,20 +191,35 @@ def test_line_templates_against_brute_force(spark, limit):
         if i % 2:
             own.append(f"Printed on 2024-01-{i:02d} by page {i}")
         texts.append("\n".join(own))
-    texts += [texts[-1]] * 7
+    texts += [texts[-1]] * 7 + [texts[-2] + f"\none more {k}" for k in "abcdefg"] + ["Home | about us", "les."] * 3
+    texts += [f"les.\n{word()} {word()}" for _ in range(5)]
     want = expected_lines(texts, 5)
-    got = {r["doc_id"]: (r["n_recurring"], r["dropped"], r["text"])
+    got = {r["doc_id"]: (r["n_lines"], r["n_recurring"], r["dropped"], r["text"])
            for r in line_templates.drop_recurring(docs(spark, texts), max_broadcast_bytes=limit).collect()}
     assert got == dict(enumerate(want))
-    assert sum(len(w[1]) for w in want) > 40
+    assert sum(len(w[2]) for w in want) > 40
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_many_recurring_lines_in_one_text_take_no_square(spark, limit):
+    lines = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)} line of the list"
+             for i in range(100_000)]
+    texts = ["\n".join(lines)] + ["\n".join([*lines[k * 20_000:(k + 1) * 20_000]] * 1) for k in range(5)] * 2
+    started = time.time()
+    got = {r["doc_id"]: r["n_recurring"] for r in line_templates.drop_recurring(
+        docs(spark, texts), min_docs=2, max_broadcast_bytes=limit).select("doc_id", "n_recurring").collect()}
+    assert got[0] == 100_000 and set(got.values()) == {100_000, 20_000} and time.time() - started < 90
 
 
-def test_line_templates_on_hostile_rows(spark, hostile):
-    out = line_templates.drop_recurring(hostile)
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_line_templates_on_hostile_rows(spark, hostile, limit):
+    hostile = hostile.withColumn("__line_fp", F.lit("fp")).withColumn("_fp", F.lit("p")).withColumn("_hit", F.lit("h")).withColumn("c1", F.lit("c"))
+    out = line_templates.drop_recurring(hostile, max_broadcast_bytes=limit)
     assert out.columns[:2] == ["doc_id", "text"] and out.columns[-3:] == ["n_lines", "n_recurring", "dropped"]
     assert sorted((r["doc_id"] or -1, r["text"] or "", r["_key"]) for r in out.collect()) == sorted(
         (r["doc_id"] or -1, r["text"] or "", "k") for r in hostile.collect())
-    assert line_templates.drop_recurring(hostile.limit(0)).count() == 0
+    assert {r["c1"] + r["_fp"] + r["_hit"] + r["__line_fp"] for r in out.collect()} == {"cphfp"}
+    assert line_templates.drop_recurring(hostile.limit(0), max_broadcast_bytes=limit).count() == 0
 
 
 def test_copies_keep_their_lines(spark):
@@ -190,7 +235,7 @@ def test_recurring_lines_go_from_every_text_but_copies_do_not_count(spark, limit
     footer, body = line(9), "\n".join(line(15) for _ in range(10))
     texts = [f"{footer}\n{line(4)}" for _ in range(6)]  # mostly boilerplate, and no copies of each other
     texts += [f"{body}\n{footer}\n{line(3)}" for _ in range(8)]  # near copies
-    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True, max_broadcast_bytes=limit)
+    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), max_broadcast_bytes=limit)
            .orderBy("doc_id").collect()]
     assert got == [[0]] * 6 + [[10]] * 8
 
@@ -204,10 +249,9 @@ def test_long_passages_recur_from_two_texts_on(spark, limit):
     texts += [f"{passage}\n{line(80)}"] * 50
     lone = line(60)
     texts += [f"{lone}\n{line(3)}" for _ in range(3)]  # near copies
-    for grouped in (True, False):
-        got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=grouped, max_broadcast_bytes=limit)
-               .orderBy("doc_id").collect()]
-        assert got == [[1]] * 4 + [[0]] * 50 + [[]] * 3
+    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), max_broadcast_bytes=limit)
+           .orderBy("doc_id").collect()]
+    assert got == [[1]] * 4 + [[0]] * 50 + [[]] * 3
 
 
 def test_short_and_unspaced_lines_recur(spark):
@@ -217,11 +261,11 @@ def test_short_and_unspaced_lines_recur(spark):
     long, short = script(90), script(9)
     texts = ["\n".join([line(40), "Read more", "  ", "les.", f"{i}", "", f"page {i}"]) for i in range(6)]
     texts += ["\n".join([script(200), long, short, line(20)]) for _ in range(2)]
-    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True).orderBy("doc_id").collect()]
+    got = [r["dropped"] for r in line_templates.drop_recurring(docs(spark, texts)).orderBy("doc_id").collect()]
     assert got == [[1, 3]] * 6 + [[1]] * 2
     texts = ["\n".join([line(40), " ".join(str(rng.random()) for _ in range(40)),
                         " ".join(script(40) + str(k) for k in range(3))]) for _ in range(3)]  # variable fields only
-    assert {r["text"] for r in line_templates.drop_recurring(docs(spark, texts), grouped=True).collect()} == set(texts)
+    assert {r["text"] for r in line_templates.drop_recurring(docs(spark, texts)).collect()} == set(texts)
 
 
 # --- decontamination -------------------------------------------------------------------------------------------------
