@@ -2,8 +2,9 @@
 
 Edges are (u, v) pairs of ids.  A large-star joins every larger neighbour of a node to the node's smallest neighbour, a
 small-star every smaller neighbour; alternating them ends, after about log^2 of the longest path, in stars around each
-component's smallest id.  Every step is one aggregation with map-side partials and one join on the node, so a node with
-a third of all edges is split like any skewed join key, and each step's edges are written before the next one.
+component's smallest id.  Every step is one aggregation with map-side partials, whose result is written, and one join with
+it on the node: broadcast while the nodes are few, else a join of two shuffles, in which a node with a third of all edges
+is split like any skewed key.  Each step's edges are written before the next one.
 """
 
 from __future__ import annotations
@@ -14,13 +15,17 @@ from pyspark.sql import functions as F
 from covlens.llm.store import written
 
 
+#: Nodes (16 bytes each) are broadcast while there are at most this many.
+MAX_BROADCAST_NODES = 1_000_000
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    joined = both.join(F.broadcast(least) if least.count() <= MAX_BROADCAST_NODES else least, "u")
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

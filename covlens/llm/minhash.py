@@ -19,7 +19,8 @@
 Defined results: null and empty texts, and texts of white space only, have no shingles and are linked with nothing;
 texts of fewer than five words have the whole sequence as their only shingle; rows with the same doc_id are one
 document, linked with all that any of its texts is linked with; a row with a null doc_id takes no part (component_id
-null, kept true); an empty table gives an empty table.
+null, kept true); very long texts are read whole, each as a slice of its own; an empty table gives an empty table;
+`keep_one` passes all columns, whatever their names.  Ids must be integers (strings that are none raise an error).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covlens.llm.batches import slices
+from covlens.llm.batches import bounded, slices
 from covlens.llm.components import components
 from covlens.llm.store import written
 from covlens.llm.textops import Buffer, Words, mix, windows
@@ -45,6 +46,7 @@ AGREE = 0.61
 BLOCK = 256
 #: Node ids are broadcast to pick the texts to confirm while there are at most this many (16 bytes each).
 MAX_BROADCAST_NODES = 4_000_000
+MAX_BROADCAST_HEADS = 500_000  # about 40 bytes each
 
 _RNG = np.random.default_rng(75)
 _A = _RNG.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -237,6 +239,7 @@ class _Linker:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id is it)."""
+    bounded(docs.sparkSession)
     rows = docs.select(docs[key].cast("bigint").alias("_key"), docs[text].alias("_text"))
     sketch = written(rows.mapInArrow(
         _sketch, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sig binary"), "sketch")
@@ -247,10 +250,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     wide = 2 * ROWS
     keys = [F.xxhash64(F.lit(i), F.substring("sig", 1 + i * wide, wide)) for i in range(BANDS)]
     banded = classes.select("node", F.posexplode(F.array(*keys)).alias("band", "bucket"))
-    heads = (banded.groupBy("band", "bucket")
+    # Written before the join: a bucket of many members is then split between tasks like any skewed join key.
+    heads = written(banded.groupBy("band", "bucket")
              .agg(F.count("*").alias("size"), F.min("node").alias("rep"),
                   F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node")).alias("r"))
-             .where("size > 1").select("band", "bucket", "size", "rep", F.col("r.node").alias("other")))
+             .where("size > 1").select("band", "bucket", "size", "rep", F.col("r.node").alias("other")), "heads")
+    if heads.count() <= MAX_BROADCAST_HEADS:
+        heads = F.broadcast(heads)
     members = written(banded.join(heads, ["band", "bucket"]), "members")
     partner = F.explode(F.array(F.struct("rep"), F.struct(
         F.when(F.col("band") < RANDOM_BANDS, F.col("other")).otherwise(F.col("rep")).alias("rep"))))
@@ -301,8 +307,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, of each group's smallest doc_id; rows with a null key stay."""
+    name = "gone"
+    while name in docs.columns:
+        name += "_"
     gone = written(near_duplicates(docs, key, text).where(~F.col("kept"))
-                   .select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+                   .select(F.col("doc_id").alias(name)).distinct(), "gone")
     if gone.count() <= MAX_BROADCAST_NODES:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[key].cast("bigint") == F.col("__gone"), "left_anti")
+    return docs.join(gone, docs[key].cast("bigint") == F.col(name), "left_anti")
