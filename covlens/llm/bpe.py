@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from covlens.llm.batches import slices
+from covlens.llm.batches import bounded, slices
 
 MAX_VOCAB_BYTES = 64 << 20
 SHORT = 128
@@ -186,6 +186,7 @@ def _ship(df: DataFrame, vocab_path: str):
 def encode(df: DataFrame, vocab_path: str, text: str = "text", key: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """`key`, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the text decoded from the
     ids again) and, if asked for, the ids themselves, for each row of `df`."""
+    bounded(df.sparkSession)
     shipped = _ship(df, vocab_path)
     kind = df.schema[key].dataType.simpleString()
 

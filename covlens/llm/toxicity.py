@@ -8,9 +8,10 @@ rounds: first every window of a toxic text counts as toxic; then only the window
 toxic in their text.  A text's score is that of its most toxic window, shifted so that 0.5 separates the training
 texts best.
 
-Training reads a bounded sample of labelled rows: at most `per_class` texts of either label and `train_bytes` bytes
-of either, in the order of a hash of the id.  It runs in one task, whose input these parameters bound; a lost executor
-repeats it with the same result (fixed seed, rows sorted).  Scoring covers every whole text where it lies: the trained
+Training reads a bounded sample of labelled rows: in the order of a hash of the id, at most `per_class` texts of either
+label, and of these, without those of more than `1 / LONGEST_SHARE` of `train_bytes`, as many as come to `train_bytes`
+bytes.  The sample is cut before it is grouped, so training is one task with a bounded input; a lost executor repeats it
+with the same result (fixed seed, rows sorted).  Scoring covers every whole text where it lies: the trained
 model is one float per bucket (1 MB), broadcast, and nothing is shuffled.
 
 Defined results: null texts and texts without a word character score 0.0; scores depend on the text alone, so repeated
@@ -25,10 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from covlens.llm.batches import slices
+from covlens.llm.batches import bounded, slices
+from covlens.llm.store import written
 from covlens.llm.textops import Buffer
 
 WINDOW = 16
@@ -37,6 +40,7 @@ BUCKETS = 1 << 18
 DIM = 8
 PER_CLASS = 2000
 TRAIN_BYTES = 8 << 20
+LONGEST_SHARE = 8  # a sampled text takes at most this part of the bytes
 
 _WORD = np.zeros(256, bool)
 _WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz@$*") + list(range(128, 256))] = True
@@ -191,19 +195,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, text: str = "text"
     rows = (docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
             .join(F.broadcast(ids), "_key").where(F.col("_text").isNotNull())
             .groupBy("_key").agg(F.min("_text").alias("_text"), F.max("_toxic").alias("_toxic")))
+    rows = written(rows.withColumn("_bytes", F.octet_length("_text")), "labelled")
+    # The running sum sees ids and lengths only, at most 2 * per_class of them.
+    running = F.sum("_bytes").over(Window.partitionBy("_toxic").orderBy(F.xxhash64("_key"), "_key"))
+    taken = (rows.where(F.col("_bytes") * LONGEST_SHARE <= train_bytes).select("_key", "_toxic", "_bytes")
+             .withColumn("_sum", running).where(F.col("_sum") <= train_bytes).select("_key"))
+    rows = rows.join(F.broadcast(taken), "_key", "left_semi").select("_key", "_text", "_toxic")
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("_key")
         texts = [t.encode() for t in part["_text"]]
         toxic = part["_toxic"].to_numpy()
-        keep, held = [], [0, 0]
-        for i, (t, y) in enumerate(zip(texts, toxic)):
-            if not held[y] or held[y] + len(t) <= train_bytes:
-                keep.append(i)
-                held[y] += len(t)
-        if not all(held):
+        if len(set(toxic.tolist())) < 2:
             return pd.DataFrame({"weights": [], "bias": []})
-        table, bias = train([texts[i] for i in keep], toxic[keep])
+        table, bias = train(texts, toxic)
         return pd.DataFrame({"weights": [table.tobytes()], "bias": [bias]})
 
     model = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(one, "weights binary, bias double").collect()
@@ -217,6 +222,7 @@ def score(docs: DataFrame, model: tuple[bytes, float] | None, text: str = "text"
     plain = docs.select(*[docs[c] for c in keep])
     if model is None:
         return plain.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    bounded(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model[0])
     bias = model[1]
     where = keep.index(text)
@@ -232,8 +238,8 @@ def score(docs: DataFrame, model: tuple[bytes, float] | None, text: str = "text"
                     [*part.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                     [*part.schema.names, "score", "predicted"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, schema + ", score double, predicted int")
+    schema = StructType([*plain.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    return plain.mapInArrow(run, schema)
 
 
 def held_out(key: Column) -> Column:

@@ -308,3 +308,42 @@ def test_pipeline_on_the_smallest_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SMALL)
         assert empty.count() == 0
+
+
+def test_pipeline_on_a_hand_made_corpus(spark, tmpdir_path):
+    """Which documents and which columns are left, with columns named like the operators' own and hostile rows."""
+    import random
+
+    import corpus_pipeline
+    rng = random.Random(21)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghklmnoprst") for _ in range(6)) for _ in range(n))
+    footer, copy, item, foul = fresh(9), fresh(60), fresh(30), "vile hateful filth " * 4
+    texts = {i: f"{fresh(40)}\n{footer}" for i in range(6)}
+    texts |= {10: copy, 11: copy, 12: copy.replace(copy.split()[30], "other"), 13: f"{fresh(40)} {item} {fresh(40)}", 14: None, 15: "",
+              16: "word " * 50_000 + fresh(30), 17: f"{fresh(40)} {foul} {fresh(5)}"}
+    texts |= {100 + i: f"{fresh(30)} {foul if i % 2 else fresh(12)} {fresh(10)}" for i in range(200)}
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, dropped string, n_lines string, `gone` string"
+    rows = [(i, t, "en", "s", len(t or ""), "sc", "dr", "nl", "go") for i, t in texts.items()]
+    docs = spark.createDataFrame(rows + [(None, fresh(30), "en", "s", 5, "sc", "dr", "nl", "go"), rows[0]], schema)
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    spark.createDataFrame([(100 + i, 1, i % 2) for i in range(200)], "doc_id bigint, quality int, toxic int").write.parquet(
+        f"{tmpdir_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmpdir_path}/benchmark.parquet")
+    now, ids = docs, []
+    for name, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, tmpdir_path)
+        now.write.parquet(f"{tmpdir_path}/{name}")
+        now = spark.read.parquet(f"{tmpdir_path}/{name}")
+        ids.append(sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in now.collect()))
+        if name != "encoding":
+            assert now.columns == docs.columns
+            assert {(r["score"], r["dropped"], r["n_lines"], r["gone"]) for r in now.collect()} == {("sc", "dr", "nl", "go")}
+    calm = [-1, 0, 0, 1, 2, 3, 4, 5, 10, 11, 12, 13, 14, 15, 16, *range(100, 300, 2)]
+    assert ids[0] == calm and ids[1] == calm
+    lines = {r["doc_id"]: (r["text"], r["n_chars"]) for r in spark.read.parquet(f"{tmpdir_path}/line_dedup").collect()}
+    assert all(lines[i] == (texts[i].split("\n")[0], len(texts[i].split("\n")[0])) for i in range(6))
+    assert all(lines[i][0] == texts[i] for i in (10, 11, 12, 13, 14, 15, 16))
+    assert ids[2] == [i for i in calm if i not in (11, 12)]
+    assert ids[3] == ids[4] == [i for i in ids[2] if i != 13]
+    out = {r["doc_id"]: r for r in now.collect()}
+    assert out[14]["n_tokens"] == 0 and len(out[16]["ids"]) == out[16]["n_tokens"] > 50_000
