@@ -10,7 +10,10 @@ and reads it back as the next stage's documents, so a lost executor costs one st
 4. decontamination: documents that overlap with a benchmark item go.
 5. encoding: token count, ids and digests of every text that is left.
 
-Null texts and empty texts pass all filters; rows with a null doc_id are never dropped as duplicates.
+Defined results: null texts and empty texts pass all filters; rows with a null doc_id are never dropped as duplicates;
+repeated rows are judged alike, and of a near-duplicate group all rows of its smallest doc_id stay; very long texts are
+read whole; an empty table gives an empty table.  All columns of documents pass, whatever their names: the stages see
+doc_id and text alone, the rest travels beside them.  Documents without `n_chars` are left without it.
 """
 
 from __future__ import annotations
@@ -27,16 +30,30 @@ from covlens.session import ensure_checkpoint_dir
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns as one, so that no operator's own columns meet them."""
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[docs[c] for c in docs.columns if c not in ("doc_id", "text")])
+                       .alias("rest"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str], **changed) -> DataFrame:
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **changed}
+    return rows.select(*[own.get(c, F.col("rest")[c]).alias(c) for c in columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels, ~toxicity.held_out(labels["doc_id"]))
-    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+    return _unpacked(toxicity.score(_packed(docs), model).where("predicted = 0"), docs.columns)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_templates.drop_recurring(docs, grouped=True)
-    length = F.when(F.size("dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", length).select(docs.columns)
+    kept = line_templates.drop_recurring(_packed(docs))
+    if "n_chars" not in docs.columns:
+        return _unpacked(kept, docs.columns)
+    before = F.col("rest")["n_chars"]
+    length = F.when(F.size("dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(before)
+    return _unpacked(kept, docs.columns, n_chars=length)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
