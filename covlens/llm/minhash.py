@@ -271,9 +271,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # Buckets of three and more that still hold several components.
     placed = (members.where("size > 2").select("band", "bucket", "node")
               .join(of_node, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("band", "bucket")
+    mixed = written(placed.groupBy("band", "bucket")
              .agg(F.min(F.struct("node", "component")).alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x <> y").select("band", "bucket", F.col("m.component").alias("main")))
+             .where("x <> y").select("band", "bucket", F.col("m.component").alias("main")), "mixed-buckets")
+    if mixed.count() <= MAX_BROADCAST_HEADS:
+        mixed = F.broadcast(mixed)
     # The same texts share many buckets; by the main component they meet once.
     tagged = written(placed.join(mixed, ["band", "bucket"]).select("main", "node", "component").distinct()
                      .withColumn("out", F.col("component") != F.col("main")), "mixed")
