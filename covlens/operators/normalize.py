@@ -98,19 +98,27 @@ def normalize_feed(entries: DataFrame, ingested_at: Column, keep=("path", "pos")
     return base_item(x, ingested_at, keep)
 
 
-def video_stats_join(entries: DataFrame, stats: DataFrame | None) -> DataFrame:
-    """Left lookup video_id -> (views, likes, comments); missing counts
-    are 0, an entry without a stats row gets no metrics.  The stats side
-    grows with the number of videos, so no broadcast hint: AQE picks a
-    broadcast at run time when the side is measured to be small."""
+def video_stats_join(entries: DataFrame, stats: DataFrame | None, at: Column | None = None) -> DataFrame:
+    """As-of lookup video_id -> (views, likes, comments); missing counts
+    are 0, an entry without a stats row gets no metrics.  `stats` is a log of
+    API answers: of a video's rows the newest by `fetched_at`, none later than
+    `at` if given, so every entry gives one row.  Without that column the row
+    with the largest counts is taken.  The stats side grows with the number
+    of videos, so no broadcast hint: AQE picks a broadcast at run time when
+    the side is measured to be small."""
     vid = F.col("entry")["video_id"]
     if stats is None:
         return entries.select("*", F.create_map().cast("map<string,bigint>").alias("metrics"))
-    s = stats.select(F.col("video_id").alias("_vid"),
-                     F.create_map(F.lit("views"), F.coalesce("views", F.lit(0)).cast("long"),
-                                  F.lit("likes"), F.coalesce("likes", F.lit(0)).cast("long"),
-                                  F.lit("comments"), F.coalesce("comments", F.lit(0)).cast("long"))
-                     .alias("_m"))
+    counts = F.struct(*[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("views", "likes", "comments")])
+    if "fetched_at" in stats.columns:
+        if at is not None:
+            stats = stats.where(F.col("fetched_at") <= at.cast("timestamp"))
+        newest = F.max(F.struct("fetched_at", counts.alias("c")))["c"]
+    else:
+        newest = F.max(counts)
+    s = (stats.where("video_id is not null").groupBy(F.col("video_id").alias("_vid")).agg(newest.alias("_c"))
+         .select("_vid", F.create_map(F.lit("views"), F.col("_c.views"), F.lit("likes"), F.col("_c.likes"),
+                                      F.lit("comments"), F.col("_c.comments")).alias("_m")))
     j = entries.join(s, (vid == F.col("_vid")) & (F.coalesce(vid, F.lit("")) != ""), "left")
     return j.select(*entries.columns,
                     F.coalesce("_m", F.create_map().cast("map<string,bigint>")).alias("metrics"))
@@ -120,7 +128,7 @@ def normalize_channel(entries: DataFrame, ingested_at: Column, stats: DataFrame
                       keep=("path", "pos")) -> DataFrame:
     """Channel entries (feed_name = channel key) -> items, with the
     video metrics of J1 in the signals."""
-    j = video_stats_join(entries, stats)
+    j = video_stats_join(entries, stats, ingested_at)
     e = F.col("entry")
     x = j.select(
         *[c for c in keep if c in j.columns],

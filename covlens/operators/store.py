@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, PROTECTED, UNPROTECTED
 
 
-FILES_PER_DATE = 8
-
-
 def upsert_fold(obs: DataFrame, seq: str = "seq") -> DataFrame:
     """T1 over an observation log (any number of batches): one row per id.
 
@@ -161,20 +158,20 @@ def ingest_stats(batch: DataFrame, snapshot_ids: DataFrame | None, source_col: s
                     (F.col("raw") - F.col("inserted")).cast("long").alias("updated"))
 
 
-def write_log(df: DataFrame, path: str, partition_by: str = "batch_id", key: str | None = "id") -> None:
+def write_log(df: DataFrame, path: str, partition_by: str = "batch_id") -> None:
     """Append observations to the log, partitioned by batch.  Dynamic
-    partition overwrite makes a replayed batch idempotent."""
-    spread = [F.pmod(F.xxhash64(key), F.lit(FILES_PER_DATE))] if key else []
-    (df.repartition(F.col(partition_by), *spread)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    partition overwrite makes a replayed batch idempotent.  The rows are
+    rebalanced: tasks and files follow the measured bytes of the batch (the
+    session's advisory partition size), so a small batch is one file and a
+    first load of any size stays as wide as it is."""
+    (df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_by).parquet(path))
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Write a snapshot partitioned by published date (date predicates
-    of the report then prune partitions): at most FILES_PER_DATE files a
-    date, however many tasks the fold has, and no date in one task."""
-    (df.withColumn("published_date", F.to_date("published_at"))
-     .withColumn("_file", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_DATE)))
-     .repartition("published_date", "_file").drop("_file")
+    of the report then prune partitions), rebalanced by date: small dates
+    share a task and give one file each, a date beyond the advisory size is
+    split between tasks."""
+    (df.withColumn("published_date", F.to_date("published_at")).hint("rebalance", F.col("published_date"))
      .write.mode("overwrite").partitionBy("published_date").parquet(path))

@@ -185,7 +185,7 @@ _STATS = """stats AS (
     count(*) FILTER (WHERE event_type = 'view') AS views,
     count(*) FILTER (WHERE event_type = 'click') AS likes,
     count(*) FILTER (WHERE event_type = 'signup') AS comments
-  FROM events GROUP BY 1)"""
+  FROM events WHERE ts <= TIMESTAMP '""" + RUN_TS + """' GROUP BY 1)"""
 
 
 @register("normalize_channel", RAW + ", " + _STATS + f"""
@@ -210,7 +210,7 @@ FROM raw r LEFT JOIN stats s ON s.video_id = 'v' || CAST(r.doc_id AS VARCHAR) WH
 def q_video_stats_join(spark, sf):
     """Video id -> counts, missing -> 0."""
     e = _channel_entries(spark, sf)
-    j = N.video_stats_join(e, D.video_stats(spark, sf))
+    j = N.video_stats_join(e, D.video_stats(spark, sf), F.lit(RUN_TS))
     m = F.col("metrics")
     return j.select(F.col("entry")["video_id"].alias("video_id"),
                     F.coalesce(m["views"], F.lit(0)).cast("long").alias("views"),

@@ -144,12 +144,12 @@ def q_stream_coverage(spark, sf):
     stream = S.coverage_increments(spark.readStream.schema(spark.read.parquet(log).schema).parquet(log))
 
     def keep(df, batch_id):
-        (df.groupBy("day", "platform", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+        (df.groupBy("day", "platform", "sentiment").agg(F.sum("n").alias("n"))
          .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
-    q = (stream.writeStream.outputMode("append").foreachBatch(keep)
+    q = (stream.writeStream.outputMode("update").foreachBatch(keep)
          .option("checkpointLocation", f"{base}/_ck_cov").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).groupBy("day", "platform").agg(F.sum("n").alias("n"))
+    return spark.read.parquet(out).groupBy("day", "platform").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 @register("stream_dedup", _U + """

@@ -19,7 +19,7 @@ several links an entry), even ones as keyed JSON.  Every entry carries an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .binding import event_times, opening, platform_of, rest, table, url_of
@@ -211,10 +211,12 @@ def feed_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-video statistics aggregated from events: the events of document
-    k (event_id div 10 = k) are the interactions with video 'v<k>'."""
-    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return (ev.groupBy(F.concat(F.lit("v"), F.floor(F.col("event_id") / 10).cast("string")).alias("video_id"))
-            .agg(F.count_if(F.col("event_type") == "view").alias("views"),
-                 F.count_if(F.col("event_type") == "click").alias("likes"),
-                 F.count_if(F.col("event_type") == "signup").alias("comments")))
+    """The log of statistics answers, from events: the events of document k
+    (event_id div 10 = k) are the interactions with video 'v<k>', and each
+    gives a row with the counts up to then, so a video has several rows."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("fetched_at"),
+        F.concat(F.lit("v"), F.floor(F.col("event_id") / 10).cast("string")).alias("video_id"))
+    so_far = Window.partitionBy("video_id").orderBy("fetched_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return ev.select("video_id", "fetched_at", *[F.count_if(F.col("event_type") == kind).over(so_far).alias(name) for kind, name in
+                                                 (("view", "views"), ("click", "likes"), ("signup", "comments"))])

@@ -184,9 +184,12 @@ def name_feeds(docs: DataFrame, platform: str, registry: DataFrame | None, path:
     if registry is None:
         d = d.select("*", none.alias("_name"), none.alias("_url"), none.alias("_channel"))
     else:
-        r = registry.filter(F.col("platform") == platform).select(
-            F.col("key").alias("_key"), F.col("name").alias("_name"), F.col("url").alias("_url"),
-            F.col("channel_id").alias("_channel"))
+        # One row per key: the newest by `updated_at` where the table has it.
+        feed = F.struct("name", "url", "channel_id")
+        pick = F.max(F.struct("updated_at", feed.alias("f")))["f"] if "updated_at" in registry.columns else F.max(feed)
+        r = (registry.filter((F.col("platform") == platform) & F.col("key").isNotNull()).groupBy(F.col("key").alias("_key"))
+             .agg(pick.alias("_f")).select("_key", F.col("_f.name").alias("_name"), F.col("_f.url").alias("_url"),
+                                           F.col("_f.channel_id").alias("_channel")))
         d = d.join(r, "_key", "left")
     return d.select(*docs.columns, F.coalesce("_name", "_key").alias("feed_name"), F.col("_url").alias("feed_url"),
                     F.coalesce("_channel", "_url", F.lit("")).alias("channel_ref"))

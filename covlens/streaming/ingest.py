@@ -8,8 +8,8 @@ replayed batch rewrites the same partition) and folds them into a new
 snapshot version.  The checkpoint makes the stream exactly-once over files;
 `availableNow` is the one-shot cycle, `processingTime` the periodic one.
 
-R3 keeps the day counts of items current, R4 drops repeated ids inside a
-bounded horizon."""
+R3 keeps the day counts of items current from their first sightings, R4
+drops repeated ids inside a bounded horizon."""
 
 from __future__ import annotations
 
@@ -109,7 +109,7 @@ def read_items(spark: SparkSession, log_dir: str, snapshot_root: str) -> DataFra
 
 def _side(df: DataFrame, side: str, name: str, batch_id: int) -> None:
     """One partition per batch of a side table; a replayed batch rewrites it."""
-    ST.write_log(df.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{side.rstrip('/')}/{name}", key=None)
+    ST.write_log(df.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{side.rstrip('/')}/{name}")
 
 
 def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: str, snapshot_root: str,
@@ -195,16 +195,53 @@ def retry_failed(spark: SparkSession, side: str, batch_id: int, log_dir: str, sn
     ingest_batch(spark, rows.select("path", "text"), batch_id, log_dir, snapshot_root, run_at, side=side, **kw)
 
 
-def coverage_increments(log: DataFrame, horizon: str = "31 days") -> DataFrame:
-    """One row per item (not per sighting) with its coverage day,
-    platform and keyword sentiment.  Repeated ids are dropped within a
-    horizon of ingestion time: the watermark follows our own clock, so an
-    item dated in the future moves nothing.  Counts per micro-batch of these
-    rows add up to the day report (A8, A12)."""
-    d = dedup_stream(log, horizon)
+_SEQ = ("batch", "src", "file", "pos")
+_FACTS = ("day", "platform", "sentiment")
+_INCREMENT = "id string, day string, platform string, sentiment string, n bigint"
+_FIRST = "batch bigint, src int, file string, pos bigint, day string, platform string, sentiment string"
+
+
+def _first_sighting(horizon_ms: int):
+    """The state of an id is its earliest sighting (by `seq`) with what it
+    counts as.  A sighting that comes later but lies earlier takes its place:
+    the old one is retracted (-1) and the new one counted (+1)."""
+    import pandas as pd
+
+    def update(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old = tuple(state.get) if state.exists else None
+        best, newest = old, 0
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                row = (int(r.batch), int(r.src), r.file, int(r.pos), *(getattr(r, c) for c in _FACTS))
+                best = row if best is None or row[:len(_SEQ)] < best[:len(_SEQ)] else best
+            newest = max(newest, int(pdf["ingested_at"].max().timestamp() * 1000))
+        state.setTimeoutTimestamp(max(newest + horizon_ms, state.getCurrentWatermarkMs() + 1))
+        if best == old:
+            return
+        state.update(best)
+        changes = [(*key, *best[len(_SEQ):], 1)]
+        if old is not None:
+            changes.insert(0, (*key, *old[len(_SEQ):], -1))
+        yield pd.DataFrame(changes, columns=["id", *_FACTS, "n"])
+    return update
+
+
+def coverage_increments(log: DataFrame, horizon_days: int = 31) -> DataFrame:
+    """Changes of the coverage (id, day, platform, sentiment, n = +1 or
+    -1), whose sum counts each item once, at its first sighting in the log's
+    total order, however the files of the log are dealt to micro-batches and
+    tasks.  An id's state is dropped when it was not seen for the horizon of
+    ingestion time; the watermark follows our own clock, so an item dated in
+    the future moves nothing."""
     text = tag_text(F.col("title"), F.col("summary"))
-    return d.select("id", coverage_day(F.col("published_at"), F.col("ingested_at")).alias("day"), "platform",
-                    "published_at", keyword_sentiment(text).alias("sentiment"))
+    rows = log.select("id", *[F.col(f"seq.{c}").alias(c) for c in _SEQ], "ingested_at",
+                      coverage_day(F.col("published_at"), F.col("ingested_at")).alias("day"), "platform",
+                      keyword_sentiment(text).alias("sentiment"))
+    return (rows.withWatermark("ingested_at", f"{horizon_days} days").groupBy("id")
+            .applyInPandasWithState(_first_sighting(horizon_days * 86_400_000), _INCREMENT, _FIRST, "update", "EventTimeTimeout"))
 
 
 def dedup_stream(log: DataFrame, horizon: str = "1 day") -> DataFrame:
