@@ -171,7 +171,7 @@ def write_log(df: DataFrame, path: str, partition_by: str = "batch_id") -> None:
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Write a snapshot partitioned by published date (date predicates
     of the report then prune partitions), rebalanced by date: small dates
-    share a task and give one file each, a date beyond the advisory size is
-    split between tasks."""
+    share a task and give a file each (a few where they share it with a split
+    one), a date beyond the advisory size is split between tasks."""
     (df.withColumn("published_date", F.to_date("published_at")).hint("rebalance", F.col("published_date"))
      .write.mode("overwrite").partitionBy("published_date").parquet(path))
