@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from covlens.llm.batches import bounded, slices
+from covlens.llm.batches import bounded, give_back, slices
 from covlens.llm.store import written
 from covlens.llm.textops import Buffer
 
@@ -209,6 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_on: Column, text: str = "text"
         if len(set(toxic.tolist())) < 2:
             return pd.DataFrame({"weights": [], "bias": []})
         table, bias = train(texts, toxic)
+        give_back()
         return pd.DataFrame({"weights": [table.tobytes()], "bias": [bias]})
 
     model = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(one, "weights binary, bias double").collect()
