@@ -11,8 +11,6 @@ from pyspark.sql import SparkSession
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 2 << 20
 _BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 #: glibc's; where the C library has none, nothing is given back early.
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
@@ -28,7 +26,8 @@ def give_back() -> None:
 def bounded(spark: SparkSession) -> None:
     """Hold the Arrow batches that a task sends to its Python worker at `BATCH_BYTES`, where the session allows more:
     batches of long texts are otherwise bounded by their number of rows and 64 MB, twice over in JVM and worker."""
-    if not 0 < int(str(spark.conf.get(_BOUND)).rstrip("b")) <= BATCH_BYTES:
+    now = str(spark.conf.get(_BOUND)).rstrip("bB")
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
         spark.conf.set(_BOUND, str(BATCH_BYTES))
 
 
