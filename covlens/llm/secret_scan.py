@@ -90,7 +90,8 @@ def linked_spans(text: str, base: list[tuple[int, int, str]], window: int) -> li
     if not access:
         return []
     keys = [(m.start(), m.end(), "key") for m in KEY.finditer(text) if _mixed(m[0]) and free(m)]
-    keys = [k for k in keys if not _Reach(users).near(k[0], k[1] - 1, (0, len(text)), 0)] if users else keys
+    by_user = _Reach(users)
+    keys = [k for k in keys if not by_user.near(k[0], k[1] - 1, (0, len(text)), 0)] if users else keys
     secrets = [s for s in base if s[2] != "access"] + keys
     if not secrets:
         return []

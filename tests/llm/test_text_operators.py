@@ -118,6 +118,17 @@ def test_secret_scan_rows(spark, hostile):
     assert secret_scan.scan(hostile.limit(0)).count() == 0
 
 
+def test_many_users_and_keys_in_one_text_take_no_square():
+    """Twice the text takes about twice the time, not four times."""
+    def seconds(n):
+        text = "\n".join(f"username: user{i}name x{i}Ab{i:05d}Cd{i:05d}Ef{i:05d}Gh{i:05d}Ij{i:05d}" for i in range(n))
+        started = time.process_time()
+        secret_scan.linked_spans(text, [], 200)
+        return time.process_time() - started
+    seconds(500)
+    assert seconds(8000) < 10 * max(seconds(2000), 0.01)
+
+
 # --- line templates --------------------------------------------------------------------------------------------------
 
 def template_keys(line):
