@@ -12,10 +12,12 @@ no more than any other; there is no per-row lookup and no MERGE."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, PROTECTED, UNPROTECTED
+from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, ITEM_SCHEMA, PROTECTED, UNPROTECTED
 
 
 def upsert_fold(obs: DataFrame, seq: str = "seq") -> DataFrame:
@@ -175,3 +177,30 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     one), a date beyond the advisory size is split between tasks."""
     (df.withColumn("published_date", F.to_date("published_at")).hint("rebalance", F.col("published_date"))
      .write.mode("overwrite").partitionBy("published_date").parquet(path))
+
+
+def _keyed_table(path: str) -> str:
+    return f"covlens_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def write_keyed_snapshot(df: DataFrame, path: str, buckets: int) -> None:
+    """S7, the layout for a history that is large against its batches: one
+    row per id, bucketed by id.  Batches then meet the snapshot bucket by
+    bucket and the history is never shuffled (read_keyed_snapshot); the price
+    is that a date predicate prunes row groups at best, not folders.  `path`
+    must be new; the catalog entry is only how Spark is told of the buckets,
+    the files are plain Parquet."""
+    (df.select(*ITEM_COLUMNS).repartition(buckets, "id").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "id").sortBy("id").option("path", path).saveAsTable(_keyed_table(path)))
+
+
+def read_keyed_snapshot(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+    """A snapshot of write_keyed_snapshot, known to the planner as bucketed
+    by id also in a session that did not write it."""
+    name = _keyed_table(path)
+    if not spark.catalog.tableExists(name):
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ITEM_SCHEMA.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                  f"CLUSTERED BY (id) SORTED BY (id) INTO {int(buckets)} BUCKETS LOCATION '{quoted}'")
+    return spark.table(name)

@@ -2,12 +2,18 @@
 language as native column expressions.
 
 Substring semantics are deliberate: a keyword hits anywhere inside the
-lower-cased `title + " " + summary`, including inside other words.  The
+lower-cased `title + " " + summary`, including inside other words.  A small
 taxonomy is compiled into one OR-chain of `contains` per topic, so the whole
-tagger is a projection inside whole-stage codegen: no join, no shuffle."""
+tagger is a projection inside whole-stage codegen: no join, no shuffle.  From
+AUTOMATON_FROM words on, where such a plan and its time grow with words times
+text, an Aho-Corasick automaton in an Arrow batch reads each text once for
+all words.  Both give the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +22,9 @@ from ..config import (EDITORIAL_WORDS, KEYWORD_MODEL, LANGUAGE_ID_WORDS, NEGATIV
 from ..functions.jsonf import compact_json
 from ..functions.text import clean_again
 
+AUTOMATON_FROM = 200  # words of a taxonomy
+
+
 def empty_array() -> Column:
     return F.array().cast("array<string>")
 
@@ -59,6 +68,59 @@ def keyword_actors(text: Column, taxonomy: Taxonomy) -> Column:
                                      for a in taxonomy.actors])).cast("array<string>")
 
 
+def n_words(taxonomy: Taxonomy) -> int:
+    return len(taxonomy.actors) + sum(len(t.keywords) + len(t.locations) for t in taxonomy.topics)
+
+
+class _Matcher:
+    """All words of a taxonomy in one automaton.  A word belongs to needs: the
+    keywords of topic t are need (t, 0), its locations (t, 1), actor a is
+    (a, 2).  A topic is given once every need that it has was met."""
+
+    def __init__(self, taxonomy: Taxonomy):
+        import ahocorasick
+        self.topics, self.actors = taxonomy.topic_names, taxonomy.actors
+        self.missing = [bool(t.keywords) + bool(t.locations) for t in taxonomy.topics]
+        self.always = {t for t, n in enumerate(self.missing) if n == 0}
+        needs: dict[str, set] = {}
+        for i, t in enumerate(taxonomy.topics):
+            for kind, words in enumerate((t.keywords, t.locations)):
+                for w in words:
+                    needs.setdefault(w.lower(), set()).add((i, kind))
+        for i, a in enumerate(self.actors):
+            needs.setdefault(a.lower(), set()).add((i, 2))
+        self.empty = needs.pop("", set())  # the empty word stands in every text
+        self.automaton = ahocorasick.Automaton()
+        for w, owners in needs.items():
+            self.automaton.add_word(w, (w, owners))
+        self.automaton.make_automaton()
+
+    def tags(self, text: str | None) -> tuple[list[str], list[str]]:
+        met = set()
+        if text is not None:
+            met |= self.empty
+            seen = {w: owners for _, (w, owners) in self.automaton.iter(text)} if len(self.automaton) else {}
+            met.update(*seen.values())
+        count: dict[int, int] = dict.fromkeys(self.always, 0)
+        for i, kind in met:
+            if kind < 2:
+                count[i] = count.get(i, 0) + 1
+        topics = [self.topics[i] for i in sorted(count) if count[i] == self.missing[i]]
+        return topics, [self.actors[i] for i in sorted(i for i, kind in met if kind == 2)]
+
+
+def keyword_tags(text: Column, taxonomy: Taxonomy) -> Column:
+    """E1 + E2 as struct<topics, actors>, each text read once for all words.
+    The automaton is built once per task from the taxonomy, whose size
+    Taxonomy.from_frame checks."""
+    @F.pandas_udf("struct<topics:array<string>,actors:array<string>>")
+    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        m = _Matcher(taxonomy)
+        for texts in batches:
+            yield pd.DataFrame([m.tags(t) for t in texts], columns=["topics", "actors"])
+    return tag(text)
+
+
 def keyword_editorial(text: Column) -> Column:
     """TRUE on an editorial marker, else NULL (never FALSE)."""
     return F.when(_any(text, EDITORIAL_WORDS), F.lit(True)).cast("boolean")
@@ -89,10 +151,15 @@ def keyword_enrich(items: DataFrame, taxonomy: Taxonomy, enriched_at: Column | N
     text = tag_text(F.col("title"), F.col("summary"))
     at = enriched_at if enriched_at is not None else F.current_timestamp()
     df = items.select(*[F.col(c) for c in keep], text.alias("_text"))
+    if n_words(taxonomy) < AUTOMATON_FROM:
+        topics, actors = keyword_topics(F.col("_text"), taxonomy), keyword_actors(F.col("_text"), taxonomy)
+    else:
+        df = df.withColumn("_tags", keyword_tags(F.col("_text"), taxonomy))
+        topics, actors = F.col("_tags.topics"), F.col("_tags.actors")
     df = df.select(
         *[F.col(c) for c in keep],
-        keyword_topics(F.col("_text"), taxonomy).alias("topics"),
-        keyword_actors(F.col("_text"), taxonomy).alias("actors"),
+        topics.alias("topics"),
+        actors.alias("actors"),
         empty_array().alias("locations"),
         keyword_language(F.col("_text")).alias("language"),
         keyword_editorial(F.col("_text")).alias("is_editorial"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import TEST_REPORT as P
 from ..functions.time import coverage_day
 from ..operators import analytics as A
+from ..operators.clusters import duplicate_clusters
 from ..operators import filters as PF
 from ..operators import store as ST
 from ..sources.binding import media_items, observations
@@ -373,6 +374,23 @@ def q_cross_platform_dup(spark, sf):
     return A.cross_platform_dup(_items(spark, sf))
 
 
+@register("duplicate_clusters", "WITH RECURSIVE " + W("""
+, e AS (SELECT DISTINCT 'u:' || url AS u, 'h:' || content_hash AS h FROM items
+        WHERE coalesce(url, '') <> '' AND coalesce(content_hash, '') <> ''),
+  e2 AS (SELECT u AS a, h AS b FROM e UNION SELECT h, u FROM e),
+  reach(node, r) AS (SELECT a, a FROM e2 UNION SELECT e2.b, reach.r FROM reach JOIN e2 ON e2.a = reach.node),
+  comp AS (SELECT node, min(r) AS root FROM reach GROUP BY node),
+  placed AS (SELECT i.id, i.platform, i.ingested_at, coalesce(c.root, i.node) AS root
+             FROM (SELECT *, coalesce('u:' || nullif(url, ''), 'h:' || nullif(content_hash, ''), 'i:' || id) AS node FROM items) i
+             LEFT JOIN comp c USING (node)),
+  g AS (SELECT root, arg_min(id, (ingested_at, id)) AS keep_id, count(*) AS n_items, count(DISTINCT platform) AS n_platforms
+        FROM placed GROUP BY root)
+SELECT id, keep_id, id = keep_id AS kept, n_items, n_platforms FROM placed JOIN g USING (root)""").lstrip().removeprefix("WITH "))
+def q_duplicate_clusters(spark, sf):
+    """A14 over both keys: one group id per item."""
+    return duplicate_clusters(_items(spark, sf))
+
+
 @register("key_metrics", W(f"""
 , m AS (SELECT count(*) FILTER (WHERE is_current) AS n_mentions,
                count(*) FILTER (WHERE NOT is_current) AS n_prev_mentions FROM win),

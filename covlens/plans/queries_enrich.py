@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import (EDITORIAL_WORDS, LANGUAGE_ID_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS, PUBLISHER_DOMAINS,
-                      TEST_REPORT as P, TEST_TAXONOMY, WORDS_TAXONOMY)
+                      TEST_REPORT as P, TEST_TAXONOMY, WORDS_TAXONOMY, Taxonomy)
 from ..functions.ids import sha256_hex
 from ..functions.jsonf import compact_json, parse_json_list
 from ..functions.publisher import publisher_from_domain, video_id
@@ -188,6 +188,22 @@ def q_keyword_enrich_default(spark, sf):
     return _kw(spark, sf, WORDS_TAXONOMY)
 
 
+@register("keyword_enrich_table", W("""
+, k AS (SELECT id, lower(coalesce(title, '') || ' ' || coalesce(summary, '')) AS ttext FROM items),
+  words AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS w FROM benchmark),
+  hits AS (SELECT id, item_id FROM k JOIN words ON contains(ttext, w) GROUP BY ALL),
+  tagged AS (SELECT id, string_agg('item ' || item_id, ',' ORDER BY item_id) AS topics, count(*) AS n_topics FROM hits GROUP BY id)
+SELECT id, coalesce(topics, '') AS topics, CAST(coalesce(n_topics, 0) AS INTEGER) AS n_topics FROM k LEFT JOIN tagged USING (id)"""))
+def q_keyword_enrich_table(spark, sf):
+    """E1 + E2 with a taxonomy read from a table: each benchmark item is a
+    topic, its words of 6 letters and more are the keywords."""
+    words = table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("place"), F.concat(F.lit("item "), F.col("item_id")).alias("topic"), F.lit("keyword").alias("kind"),
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0)).alias("word"))
+    e = keyword_enrich(media_items(spark, sf), Taxonomy.from_frame(words), F.lit(INGESTED_AT))
+    return e.select("id", F.array_join("topics", ",").alias("topics"), F.size("topics").alias("n_topics"))
+
+
 # ---------------------------------------------------------------------------
 # Content, enrichment application, pending list, state
 # ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import derived as D
 from ..streaming import ingest as S
 from . import oracle as O
-from .queries import register
+from .queries import ORACLES, register
 from .queries_sources import RAW, RUN_TS, _ne
 
 
@@ -49,14 +49,14 @@ class _Run:
     """Two arrivals through the stream: the even blocks, then all blocks (the
     even ones for the second time); one availableNow run each."""
 
-    def __init__(self, spark, sf, compact_every: int = 2):
+    def __init__(self, spark, sf, compact_every: int = 2, buckets: int | None = None):
         base = _scratch(spark)
         self.log, self.snap, self.side = f"{base}/log", f"{base}/snapshot", f"{base}/side"
         stats, registry = D.video_stats(spark, sf), D.feed_registry(spark, sf)
         for delivery, even_only in ((0, True), (1, False)):
             _land(spark, sf, f"{base}/landing", delivery, even_only)
             S.run_ingest_stream(spark, f"{base}/landing", self.log, self.snap, f"{base}/_ck", F.lit(RUN_TS), stats,
-                                compact_every=compact_every, side=self.side, registry=registry,
+                                compact_every=compact_every, side=self.side, registry=registry, buckets=buckets,
                                 enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))
 
 
@@ -132,6 +132,16 @@ def q_stream_upsert_state(spark, sf):
                     "content_hash")
 
 
+@register("stream_upsert_keyed", ORACLES["stream_upsert_state"])
+def q_stream_upsert_keyed(spark, sf):
+    """R2 + T1 with a snapshot bucketed by id: written after the first cycle,
+    met bucket by bucket by the log of the second."""
+    r = _Run(spark, sf, compact_every=1, buckets=8)
+    s = S.read_items(spark, r.log, r.snap)
+    return s.select("id", "platform", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"),
+                    "content_hash")
+
+
 @register("stream_coverage", _SEEN + f"""
 , x AS (SELECT platform, strftime(coalesce(ts, TIMESTAMP '{RUN_TS}'), '%Y-%m-%d') AS day FROM placed WHERE f = 1)
 SELECT day, platform, count(*) AS n FROM x GROUP BY 1, 2""")
@@ -193,6 +203,4 @@ def q_snapshot_by_day(spark, sf):
     return A.by_day(spark.read.parquet(f"{base}/snapshot"), TEST_REPORT)
 
 
-from .queries import ORACLES  # noqa: E402
-
 ORACLES["snapshot_by_day"] = ORACLES["by_day"]

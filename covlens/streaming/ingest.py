@@ -13,6 +13,8 @@ drops repeated ids inside a bounded horizon."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,38 +68,47 @@ def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None,
     return gd, ms, rs, yt, errors
 
 
-def snapshot_path(snapshot_root: str, version: int) -> str:
-    return f"{snapshot_root.rstrip('/')}/v={version:08d}"
+def snapshot_path(snapshot_root: str, version: int, buckets: int | None = None) -> str:
+    """The folder of a version; one bucketed by id carries its bucket count."""
+    return f"{snapshot_root.rstrip('/')}/v={version:08d}" + (f".b{buckets}" if buckets else "")
 
 
-def latest_snapshot(spark: SparkSession, snapshot_root: str):
-    """The newest complete snapshot version (a version is complete once its
-    _SUCCESS marker exists), or None."""
+def _newest(spark: SparkSession, snapshot_root: str) -> tuple[int, int] | None:
+    """(version, buckets or 0) of the newest complete snapshot (a version is
+    complete once its _SUCCESS marker exists), or None."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(snapshot_root)
     fs = root.getFileSystem(conf)
     if not fs.exists(root):
         return None
-    best = None
+    found = []
     for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            best = v if best is None or v > best else best
-    return best
+        m = re.fullmatch(r"v=(\d+)(?:\.b(\d+))?", st.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            found.append((int(m[1]), int(m[2] or 0)))
+    return max(found, default=None)
+
+
+def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
+    """The newest complete snapshot version, or None."""
+    newest = _newest(spark, snapshot_root)
+    return None if newest is None else newest[0]
 
 
 def _snapshot_of(spark: SparkSession, log_dir: str, snapshot_root: str, upto: int):
     """Latest snapshot folded with every log batch after it, up to `upto`."""
     from ..schema import ITEM_COLUMNS
-    prev = latest_snapshot(spark, snapshot_root)
+    newest = _newest(spark, snapshot_root)
     lg = spark.read.parquet(log_dir)
-    if prev is None:
+    if newest is None:
         first = ST.upsert_fold(lg.filter(F.col("batch_id") <= upto)).select(*ITEM_COLUMNS)
         return first.withColumn("published_date", F.to_date("published_at"))
+    prev, buckets = newest
+    path = snapshot_path(snapshot_root, prev, buckets)
+    held = ST.read_keyed_snapshot(spark, path, buckets) if buckets else spark.read.parquet(path)
     delta = lg.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= upto))
-    snap, _ = ST.upsert_batch(spark.read.parquet(snapshot_path(snapshot_root, prev)), delta)
+    snap, _ = ST.upsert_batch(held, delta)
     return snap
 
 
@@ -114,13 +125,15 @@ def _side(df: DataFrame, side: str, name: str, batch_id: int) -> None:
 
 def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: str, snapshot_root: str,
                  run_at, stats: DataFrame | None = None, compact_every: int = 1, side: str | None = None,
-                 registry: DataFrame | None = None, enrich=None) -> None:
+                 registry: DataFrame | None = None, enrich=None, buckets: int | None = None) -> None:
     """R1 + R2 for one micro-batch: normalise and append to the log (cost
     proportional to the batch).  Every `compact_every` batches the log
     since the last snapshot is folded into a new snapshot version, written
     to a new folder; readers combine the latest snapshot with the newer log
     batches (read_items), so compaction can run as rarely as the history
-    size requires.
+    size requires.  With `buckets` a version is bucketed by id, so that neither
+    readers nor the next compaction shuffle it; without, it is partitioned
+    by date.  Versions of both layouts can follow each other.
 
     With a `side` folder the cycle also writes, one partition per batch:
     `errors` (API error payloads), `enrichment` (what `enrich` gives for the
@@ -149,7 +162,11 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
         return  # replay of a batch whose snapshot is already written
     if (batch_id + 1) % max(1, compact_every) != 0:
         return
-    ST.write_snapshot(_snapshot_of(spark, log_dir, snapshot_root, batch_id), snapshot_path(snapshot_root, batch_id))
+    new, path = _snapshot_of(spark, log_dir, snapshot_root, batch_id), snapshot_path(snapshot_root, batch_id, buckets)
+    if buckets:
+        ST.write_keyed_snapshot(new, path, buckets)
+    else:
+        ST.write_snapshot(new, path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -169,7 +186,7 @@ def enrichment_log(spark: SparkSession, side: str, before: int | None = None) ->
 def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snapshot_root: str,
                       checkpoint: str, run_at, stats: DataFrame | None = None,
                       trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1,
-                      side: str | None = None, registry: DataFrame | None = None, enrich=None):
+                      side: str | None = None, registry: DataFrame | None = None, enrich=None, buckets: int | None = None):
     """Start (and for availableNow, finish) the ingest stream.  With a `side`
     folder a failing batch does not stop the loop: its documents and the
     error are kept under `failed`, from where `retry_failed` ingests them."""
@@ -177,7 +194,7 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snaps
 
     def each(df: DataFrame, batch_id: int) -> None:
         try:
-            ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich)
+            ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich, buckets)
         except Exception as e:  # noqa: BLE001  the cycle's own boundary
             if not side:
                 raise
