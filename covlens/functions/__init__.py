@@ -1,4 +1,4 @@
-"""Scalar Column expressions (no UDF except the HTML-unescape fallback)."""
+"""Scalar Column expressions (no UDF)."""
 
 from .text import (clean_text, html_unescape, url_domain, truncate_content, strip_think,
                    distinct_preserve, strip_ws, WS_CLASS, clean_again)

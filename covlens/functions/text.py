@@ -3,13 +3,12 @@ removal (F20), order-preserving distinct (F22)."""
 
 from __future__ import annotations
 
-import html
+import functools
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 # Characters Python's `\s` matches in str patterns.  Java's and RE2's `\s`
 # are narrower (ASCII, or miss U+001C..U+001F), so the class is spelled out
@@ -27,17 +26,64 @@ NATIVE_ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
 )
-# Any other reference html.unescape could decode (numeric, hex, other
-# names, legacy forms without ';') sends the row to the Python path.
+# Any other reference (numeric, hex, other names, legacy forms without ';')
+# sends the row to the tokenising path.
 _NATIVE_NAMES = "|".join(e[1:-1] for e, _ in NATIVE_ENTITIES)
 EXOTIC_ENTITY_RE = (r"&(?!(?:" + _NATIVE_NAMES + r");)(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)")
-
-
-@pandas_udf(StringType())
-def _unescape_batch(s: pd.Series) -> pd.Series:
-    # Only rows holding a character reference arrive non-null (see
-    # html_unescape); the rest cross the Arrow boundary as nulls.
-    return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
+# Names that HTML also reads without ';', longest first.
+LEGACY_NAME_RE = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+NAME_RE = r"^[^\t\n\f <&#;]{1,32};?"
+
+
+@functools.cache
+def _names_json() -> str:
+    """The HTML5 names (standard library) by first letter, so a lookup passes
+    one letter's names only."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, char in html5.items():
+        by_letter.setdefault(name[0], {})[name] = char
+    return json.dumps(by_letter)
+
+
+def _named(name: Column) -> Column:
+    names = F.from_json(F.lit(_names_json()), "map<string,map<string,string>>")
+    return F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
+
+
+def _code_point(number: Column) -> Column:
+    """The text of a numeric reference: C1 numbers read as Windows-1252, NUL,
+    surrogates and numbers beyond Unicode the replacement character, other
+    control characters and non-characters nothing."""
+    c1 = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    c1_text = F.substring(F.lit("".join(c1.values())), (number - 0x7F).cast("int"), 1)
+    # a lone U+FEFF would be taken for a byte order mark
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    dropped = (number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+               | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE).cast("long")) == 0xFFFE))
+    return (F.when(number.isNull() | (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), F.lit("\ufffd"))
+            .when(number.between(0x80, 0x9F), c1_text).when(dropped, F.lit(""))
+            .when(number == 0xFEFF, F.lit("\ufeff")).otherwise(utf32))
+
+
+def _digits(part: Column, pattern: str, most: int, base: int) -> Column:
+    """The number of a reference; NULL where it has more digits than Unicode."""
+    digits = F.regexp_extract(part, pattern, 1)
+    return F.when(F.length(digits) <= most, F.conv(F.when(digits == "", "0").otherwise(digits), base, 10).cast("long"))
+
+
+def _decode_part(part: Column) -> Column:
+    """What stands after an '&', with the reference at its start decoded."""
+    def rest(token: Column) -> Column:
+        return F.substring(part, F.length(token) + 1, F.length(part))
+
+    decimal, hexa = F.regexp_extract(part, "^#[0-9]+;?", 0), F.regexp_extract(part, "^#[xX][0-9a-fA-F]+;?", 0)
+    name, legacy = F.regexp_extract(part, NAME_RE, 0), F.regexp_extract(part, LEGACY_NAME_RE, 0)
+    exact = _named(name)
+    return (F.when(decimal != "", F.concat(_code_point(_digits(part, "^#0*([0-9]*)", 7, 10)), rest(decimal)))
+            .when(hexa != "", F.concat(_code_point(_digits(part, "^#[xX]0*([0-9a-fA-F]*)", 6, 16)), rest(hexa)))
+            .when(exact.isNotNull(), F.concat(exact, rest(name)))
+            .when(legacy != "", F.concat(_named(legacy), rest(legacy)))
+            .otherwise(F.concat(F.lit("&"), part)))
 
 
 def _native_unescape(c: Column) -> Column:
@@ -47,15 +93,14 @@ def _native_unescape(c: Column) -> Column:
 
 
 def html_unescape(c: Column) -> Column:
-    """HTML5 unescape (named incl. no-semicolon forms, numeric, hex).
-
-    The common references are decoded natively.  Spark has no built-in for
-    the full 2000+ entry HTML5 table, so a row holding any other reference
-    goes whole to an Arrow batch UDF over the standard library's
-    unescape; every other row crosses the Arrow boundary as a NULL."""
-    exotic = c.rlike(EXOTIC_ENTITY_RE)
-    native = F.when(c.contains("&"), _native_unescape(c)).otherwise(c)
-    return F.coalesce(_unescape_batch(F.when(exotic, c)), native)
+    """HTML5 unescape (named incl. no-semicolon forms, numeric, hex), all
+    in the JVM.  The common references are plain replacements; a row holding
+    any other one is split at '&' (no reference holds a second one), and the
+    start of each part is decoded."""
+    parts = F.split(c, "&", -1)
+    decoded = F.concat(F.get(parts, F.lit(0)),
+                       F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _decode_part), ""))
+    return (F.when(c.rlike(EXOTIC_ENTITY_RE), decoded).when(c.contains("&"), _native_unescape(c)).otherwise(c))
 
 
 def strip_ws(c: Column) -> Column:
