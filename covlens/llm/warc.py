@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from covlens.llm.batches import slices
 
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:covlens:warc")
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(script|style|noscript|template|svg|head)\b[^>]*>.*?</\1\s*>"
-                     r"|<(?:script|style)\b.*\Z")
+_HIDDEN = re.compile(r"(?i)<!--|<!\[CDATA\[|<(script|style|noscript|template|svg|head)\b")
+_CLOSE = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template", "svg", "head", "title")}
 _BREAK = re.compile(r"(?i)</?(?:p|div|br|hr|h[1-6]|li|ul|ol|tr|table|section|article|header|footer|nav|aside|main"
                     r"|blockquote|pre|form|dl|dt|dd|figure|figcaption|title|body|html)\b[^>]*>")
 _TAG = re.compile(r"<!?/?[a-zA-Z][^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LANG = re.compile(r"""(?is)<html\b[^>]*\blang\s*=\s*["']?([A-Za-z-]+)""")
+_TITLE = re.compile(r"(?i)<title\b[^>]*>")
+_HTML = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"""(?i)\b(?=lang\s*=\s*["']?([A-Za-z-]+))""")
 
 SCHEMA = ("page_id bigint, record_type string, record_id string, refers_to string, target_uri string, "
           "headers array<struct<name:string,value:string>>, block binary, record binary")
@@ -49,10 +50,73 @@ def record_id(kind: str, source: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{kind}|{source}')}>"
 
 
+def _visible(html: str) -> str:
+    """Without comments, CDATA and elements that are not shown, each replaced by a line end; one that is never closed
+    stays, but an unclosed script or style hides the rest.  One forward pass: a closing mark that was not found once is
+    not looked for again, and the next `>` is looked for once, so unclosed marks cost no second scan."""
+    out, done, at, gt, unclosed = [], 0, 0, -1, set()
+
+    def closing(name: str, start: int) -> int:
+        """End of the first closing mark from `start` on, or -1."""
+        if name in unclosed:
+            return -1
+        if name in _CLOSE:
+            m = _CLOSE[name].search(html, start)
+            end = m.end() if m else -1
+        else:
+            k = html.find(name, start)
+            end = k + len(name) if k >= 0 else -1
+        if end < 0:
+            unclosed.add(name)
+        return end
+
+    while m := _HIDDEN.search(html, at):
+        at = m.end()
+        if m[1]:
+            name = m[1].lower()
+            if gt < at and gt != len(html):
+                gt = html.find(">", at)
+                gt = len(html) if gt < 0 else gt
+            end = closing(name, gt + 1) if gt < len(html) else -1
+            if end < 0 and name in ("script", "style"):
+                end = len(html)
+        else:
+            end = closing("-->" if m[0] == "<!--" else "]]>", at)
+        if end >= 0:
+            out += [html[done:m.start()], "\n"]
+            done = at = end
+    return "".join([*out, html[done:]])
+
+
+def _sub_tags(pattern: re.Pattern, by: str, html: str) -> str:
+    """pattern.sub, not tried beyond the last `>`, where no tag can end."""
+    cut = html.rfind(">") + 1
+    return pattern.sub(by, html[:cut]) + html[cut:]
+
+
+def _title(html: str) -> str | None:
+    """The first title's content.  Later openings cannot be closed where the first is not."""
+    opening = _TITLE.search(html, 0, html.rfind(">") + 1)
+    closed = _CLOSE["title"].search(html, opening.end()) if opening else None
+    return html[opening.end():closed.start()] if closed else None
+
+
+def _language(html: str) -> str | None:
+    """The last lang attribute of the first html tag that has one."""
+    at = 0
+    while tag := _HTML.search(html, at):
+        at = html.find(">", tag.end())
+        at = len(html) if at < 0 else at
+        found = [m[1] for m in _LANG.finditer(html, tag.end(), at)]
+        if found:
+            return found[-1].lower()
+    return None
+
+
 def plain_text(html: str) -> str:
     """The text a reader sees: no comments, scripts, styles or head; block elements end lines; references decoded;
-    white space within a line collapsed; no empty lines."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("\n", html)))
+    white space within a line collapsed; no empty lines.  Linear in the page, whatever is left unclosed in it."""
+    text = _sub_tags(_TAG, "", _sub_tags(_BREAK, "\n", _visible(html)))
     lines = (" ".join(x.split()) for x in entities.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
@@ -85,10 +149,10 @@ def derive(page_id: int | None, url: str | None, html: str | None, date: str,
     refers = [("WARC-Refers-To", ids["response"]), *([("WARC-Refers-To-Target-URI", uri)] if uri else []),
               ("WARC-Refers-To-Date", date)]
     text = plain_text(html or "")
-    title, lang = _TITLE.search(html or ""), _LANG.search(html or "")
+    title, lang = _title(html or ""), _language(html or "")
     fields = [("source-" + k.lower(), v) for k, v in source] + [(f"source-{k.lower()}", _line(v)) for k, v in extra]
-    fields += [("title", _line(entities.unescape(_TAG.sub("", title[1]))))] if title else []
-    fields += [("language", lang[1].lower())] if lang else []
+    fields += [("title", _line(entities.unescape(_sub_tags(_TAG, "", title))))] if title is not None else []
+    fields += [("language", lang)] if lang else []
     fields += [("conversion", ids["conversion"]), ("conversion-payload-digest", digest(text.encode()))]
     meta = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
     conv = text.encode()
