@@ -12,6 +12,7 @@ call is never replayed by lineage recomputation."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -86,34 +87,75 @@ def validate_enrichment(text: Column, strict: bool = False) -> Column:
         error.alias("error"))
 
 
-def pandas_model(fn: Callable[[str, int], str], out_col: str = "text") -> Callable[[DataFrame], DataFrame]:
+def pandas_model(fn: Callable[[str, int], str], out_col: str = "text", concurrency: int = 1) -> Callable[[DataFrame], DataFrame]:
     """Wrap a per-prompt model call fn(prompt, attempt) -> text into a
     `respond` function for enrich_with_retry.  Batches cross the Arrow
-    boundary; an exception from fn becomes a NULL text (an error)."""
+    boundary; an exception from fn becomes a NULL text (an error).  A task
+    keeps up to `concurrency` calls of a batch under way, so a run has at most
+    task slots x concurrency of them."""
     def _call(batches):
-        for b in batches:
-            def one(p, a):
-                try:
-                    return fn(p, int(a))
-                except Exception:  # a failed call is an unusable response
-                    return None
-            yield pd.DataFrame({"id": b["id"], out_col: [one(p, a) for p, a in zip(b["prompt"], b["attempt"])]})
+        def one(call):
+            try:
+                return fn(call[0], int(call[1]))
+            except Exception:  # a failed call is an unusable response
+                return None
+        with ThreadPoolExecutor(concurrency) as pool:
+            for b in batches:
+                yield pd.DataFrame({"id": b["id"], out_col: list(pool.map(one, zip(b["prompt"], b["attempt"])))})
 
     def respond(df: DataFrame) -> DataFrame:
         return df.select("id", "prompt", "attempt").mapInPandas(_call, f"id string, {out_col} string")
     return respond
 
 
+CALLS = "key string, model string, attempt int, text string"
+
+
+def answers(todo: DataFrame, respond: Callable[[DataFrame], DataFrame], model: str, attempt: int, calls: str,
+            waves: int = 1) -> DataFrame:
+    """(id, text) of one attempt through a durable call log: equal prompts are
+    one call, and a prompt whose answer stands in the log (by the hash of the
+    prompt, model and attempt) is not sent again, whatever run or failure lies
+    between.  The calls go out in `waves`, each a share of the keys by their
+    hash, and a wave's answers are logged when it ends, so a lost executor or
+    a stopped run repeats at most the calls of the wave under way.  A call
+    without an answer (NULL text, or no row) is not logged; a NULL prompt is no
+    call."""
+    spark = todo.sparkSession
+    log = spark.read.schema(CALLS)
+    need = todo.filter("prompt IS NOT NULL").select("id", "prompt", F.sha2("prompt", 256).alias("key")).checkpoint(eager=True)
+    spark.createDataFrame([], CALLS).write.mode("append").parquet(calls)  # the folder of a first run
+
+    def known() -> DataFrame:
+        rows = log.parquet(calls).filter((F.col("model") == model) & (F.col("attempt") == attempt))
+        return rows.groupBy("key").agg(F.max("text").alias("text"))
+
+    open_calls = (need.groupBy("key").agg(F.min_by(F.struct("id", "prompt"), "id").alias("_c"))
+                  .join(known(), "key", "left_anti")
+                  .select("key", "_c.id", "_c.prompt", F.lit(attempt).alias("attempt")).checkpoint(eager=True))
+    for wave in range(waves):
+        part = open_calls.filter(F.pmod(F.crc32("key"), F.lit(waves)) == wave)
+        if part.isEmpty():
+            continue
+        got = respond(part.select("id", "prompt", "attempt")).filter("text IS NOT NULL")
+        (part.select("key", "id").join(got, "id")
+         .select("key", F.lit(model).alias("model"), F.lit(attempt).cast("int").alias("attempt"), "text")
+         .write.mode("append").parquet(calls))
+    return need.select("id", "key").join(known(), "key").select("id", "text")
+
+
 def enrich_with_retry(pending: DataFrame, respond: Callable[[DataFrame], DataFrame], model: str,
                       max_retries: int = 2, enriched_at: Column | None = None,
-                      checkpoint: bool = True) -> DataFrame:
+                      checkpoint: bool = True, calls: str | None = None, waves: int = 1) -> DataFrame:
     """(id, prompt) -> enrichment log rows.  Attempt k calls the model
     only for items whose attempts so far failed validation; after the last
     attempt the rest get status 'error', empty lists, NULLs, '{}' tags and
     an enriched_at, so they are not retried by later cycles.  Each attempt
-    is checkpointed into the shared checkpoint folder."""
+    is checkpointed into the shared checkpoint folder.  With `calls` (a
+    folder) every attempt goes through the durable call log (`answers`)."""
     at = (enriched_at if enriched_at is not None else F.current_timestamp()).cast("timestamp")
     todo = pending.select("id", "prompt")
+    checkpoint = checkpoint or calls is not None
     if checkpoint:  # prompts are built once, not once per attempt
         ensure_checkpoint_dir(todo.sparkSession)
         todo = todo.checkpoint(eager=True)
@@ -121,7 +163,9 @@ def enrich_with_retry(pending: DataFrame, respond: Callable[[DataFrame], DataFra
     last = None
     for attempt in range(max_retries + 1):
         # One answer per id; an item the model says nothing about is an unusable answer, not a lost item.
-        resp = respond(todo.withColumn("attempt", F.lit(attempt))).groupBy("id").agg(F.max("text").alias("text"))
+        asked = (answers(todo, respond, model, attempt, calls, waves) if calls
+                 else respond(todo.withColumn("attempt", F.lit(attempt))))
+        resp = asked.groupBy("id").agg(F.max("text").alias("text"))
         r = todo.join(resp, "id", "left").select("id", "prompt", validate_enrichment(F.col("text")).alias("e"))
         if checkpoint:
             ensure_checkpoint_dir(r.sparkSession)

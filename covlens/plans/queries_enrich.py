@@ -3,6 +3,8 @@ and briefings (F2-F28, E1-E11, J3-J5, P6, T4, T6)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..config import (EDITORIAL_WORDS, LANGUAGE_ID_WORDS, NEGATIVE_WORDS, POSITIVE_WORDS, PUBLISHER_DOMAINS,
@@ -18,6 +20,7 @@ from ..operators import content as C
 from ..operators import enrich as EN
 from ..operators import store as ST
 from ..operators.tagging import keyword_enrich
+from ..session import ensure_checkpoint_dir
 from ..sources.binding import INGESTED_AT, article_pages, media_items, table
 from . import oracle as O
 from .queries import register
@@ -348,14 +351,14 @@ def stand_in_model(prompt: str, attempt: int) -> str | None:
     return "Sure! " + tags if n % 4 == 0 and attempt == 0 else tags
 
 
-def _model_log(m):
+def _model_log(m, model=None, **kw):
     """(pending, enrichment log) of the items through the Arrow model path;
     the model gives no row at all for every 32nd item from 7 on."""
     pend = m.select("id", F.concat_ws("|", F.col("first_seq").cast("string"), "tags_json").alias("prompt"))
-    model = EN.pandas_model(stand_in_model)
+    model = model or EN.pandas_model(stand_in_model)
     silent = F.substring_index("prompt", "|", 1).cast("long") % 32 == 7
     log = EN.enrich_with_retry(pend, lambda df: model(df.filter(~silent)), model="stand-in", max_retries=2,
-                               enriched_at=F.lit(INGESTED_AT))
+                               enriched_at=F.lit(INGESTED_AT), **kw)
     return pend, log
 
 
@@ -375,6 +378,22 @@ def q_enrich_with_retry(spark, sf):
                       F.array_join("topics", ",").alias("topics"))
 
 
+def silent_model(prompt: str, attempt: int) -> str | None:
+    """A model that is away: any answer must come from the call log."""
+    raise ConnectionError("no model")
+
+
+@register("enrich_resume", None)
+def q_enrich_resume(spark, sf):
+    """E8 through the call log: a first cycle fills it, a second one with the
+    model away gives the same rows from the logged answers."""
+    calls = f"{ensure_checkpoint_dir(spark).rstrip('/')}/covlens-calls-{uuid.uuid4().hex[:12]}"
+    m = keyword_enrich(media_items(spark, sf), TEST_TAXONOMY, F.lit(INGESTED_AT), keep=("id", "first_seq"))
+    _model_log(m, EN.pandas_model(stand_in_model, concurrency=4), calls=calls, waves=2)
+    log = _model_log(m, EN.pandas_model(silent_model), calls=calls)[1]
+    return log.select("id", "enrich_status", "enrich_error", "attempts", F.array_join("topics", ",").alias("topics"))
+
+
 @register("enrich_prompt", None)
 def q_enrich_prompt(spark, sf):
     """the tagging prompt of every item (content from its page)."""
@@ -529,7 +548,7 @@ FROM s GROUP BY topic""")
 from .queries import ORACLES  # noqa: E402
 
 ORACLES["validate_enrichment"] = ORACLE_VALIDATE
-ORACLES["enrich_with_retry"] = ORACLE_RETRY
+ORACLES["enrich_with_retry"] = ORACLES["enrich_resume"] = ORACLE_RETRY
 ORACLES["enrich_counts_model"] = ORACLE_COUNTS
 ORACLES["enrich_prompt"] = ORACLE_PROMPT
 ORACLES["briefing_prompt"] = _briefing_sql()
