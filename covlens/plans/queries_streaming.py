@@ -12,9 +12,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..config import TEST_TAXONOMY
+from ..functions.text import clean_text
 from ..operators.tagging import keyword_enrich
 from ..session import ensure_checkpoint_dir
 from ..sources import derived as D
+from ..sources import landing as L
 from ..streaming import ingest as S
 from . import oracle as O
 from .queries import ORACLES, register
@@ -142,6 +144,32 @@ def q_stream_upsert_keyed(spark, sf):
                     "content_hash")
 
 
+@register("scan_feed_charsets", RAW + f"""
+SELECT source || '_nasional' AS feed_name, NULLIF(url, '') AS link, {_ne('t_raw')} AS title FROM raw
+WHERE platform = 'rss' AND block % 2 = 1""")
+def q_scan_feed_charsets(spark, sf):
+    """S4 by bytes: the feed documents landed in UTF-16 with a mark (block 1
+    of every 8), UTF-16 without one (block 3), ISO-8859-1 named by the prolog
+    where its letters suffice (block 5), and UTF-8; read back in their own
+    character sets they give the entries of their UTF-8 twins."""
+    x = D.rss_xml_payloads(spark, sf)
+    block = F.regexp_extract("path", r"-([0-9]+)\.xml$", 1).cast("long")
+    plain, named = F.regexp_replace("text", "^\uFEFF", ""), 'encoding="{}"'
+    data = (F.when(block % 8 == 1, F.encode(plain, "UTF-16"))
+            .when(block % 8 == 3, F.encode(F.replace(plain, F.lit(named.format("UTF-8")), F.lit(named.format("UTF-16"))), "UTF-16LE"))
+            .when((block % 8 == 5) & ~plain.rlike(r"[^\x00-\x7F\xA0-\xFF]"),
+                  F.encode(F.replace(plain, F.lit(named.format("UTF-8")), F.lit(named.format("iso-8859-1"))), "ISO-8859-1"))
+            .otherwise(F.encode("text", "UTF-8")))
+    landing = f"{_scratch(spark)}/landing"
+    # the text writer passes a string's bytes as they are
+    (x.select(F.concat_ws("__", "feed_name", block).alias("doc"), data.cast("string").alias("value"))
+     .repartition("doc").write.partitionBy("doc").text(landing))
+    docs = L.read_documents(spark, landing)
+    e = L.parse_feed_xml(docs, F.regexp_extract("path", r"doc=(.+)__[0-9]+/", 1), F.lit(None).cast("string"))
+    title = clean_text(F.col("entry")["title"])
+    return e.select("feed_name", F.col("entry")["link"].alias("link"), F.nullif(title, F.lit("")).alias("title"))
+
+
 @register("stream_coverage", _SEEN + f"""
 , x AS (SELECT platform, strftime(coalesce(ts, TIMESTAMP '{RUN_TS}'), '%Y-%m-%d') AS day FROM placed WHERE f = 1)
 SELECT day, platform, count(*) AS n FROM x GROUP BY 1, 2""")

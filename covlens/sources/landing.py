@@ -44,10 +44,41 @@ FEED_XML_SCHEMA = (f"channel struct<title string, item array<struct<{_ITEM}>>>,
                    "`media:group` struct<`media:description` string>>>")
 
 
+DOCUMENT_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# Names that web documents give to Windows-1252, a superset of their letters.
+LATIN_NAMES = ("ISO-8859-1", "ISO8859-1", "ISO_8859-1", "LATIN1", "LATIN-1", "L1", "WINDOWS-1252", "CP1252", "CP-1252")
+C1 = "".join(map(chr, range(0x80, 0xA0)))
+C1_AS_CP1252 = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0))
+
+
+def decode_document(content: Column) -> Column:
+    """The text of a landed document's bytes, in its own character set: UTF-16
+    by its mark or by the zero bytes of its first characters, else what the
+    XML prolog names if it is one of LATIN_NAMES, else UTF-8 if the bytes are
+    valid UTF-8, else Windows-1252.  A prolog that names any other set is read
+    by the same last two rules.  An odd last byte of UTF-16 is dropped; NULL
+    stays NULL."""
+    head = F.decode(F.substring(content, 1, 256), "ISO-8859-1")
+    named = F.upper(F.regexp_extract(head, r"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._-]+)""", 1))
+    pairs = F.substring(content, F.lit(1), (F.length(content) - F.length(content) % 2).cast("int"))
+    latin = F.translate(F.decode(content, "ISO-8859-1"), C1, C1_AS_CP1252)
+    raw = content.cast("string")
+    return (F.when(head.startswith("\xff\xfe") | head.startswith("\xfe\xff"), F.decode(pairs, "UTF-16"))
+            .when(head.rlike(r"^[\x01-\x7F]\x00[\x01-\x7F]\x00"), F.decode(pairs, "UTF-16LE"))
+            .when(head.rlike(r"^\x00[\x01-\x7F]\x00[\x01-\x7F]"), F.decode(pairs, "UTF-16BE"))
+            .when(named.isin(*LATIN_NAMES), latin)
+            .when(F.is_valid_utf8(raw), raw)
+            .otherwise(latin))
+
+
+def documents_of(files: DataFrame) -> DataFrame:
+    """(path, text) per file of a binary file scan or stream."""
+    return files.select(F.col("_metadata.file_path").alias("path"), decode_document(F.col("content")).alias("text"))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file text scan: (path, text) per landed document."""
-    return (spark.read.option("wholetext", "true").text(path)
-            .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
+    """Whole-file scan by bytes: (path, text) per landed document."""
+    return documents_of(spark.read.format("binaryFile").load(path))
 
 
 # --- S1 / S2 ---------------------------------------------------------------

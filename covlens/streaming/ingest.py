@@ -28,13 +28,11 @@ PLATFORM_DIRS = ("gdelt", "mediastack", "rss", "youtube")
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files: int | None = None) -> DataFrame:
-    """One row per landed document: (path, text)."""
-    r = (spark.readStream.format("text").option("wholetext", "true")
-         .option("recursiveFileLookup", "true"))
+    """One row per landed document: (path, text), each in its own character set."""
+    r = spark.readStream.format("binaryFile").schema(L.DOCUMENT_SCHEMA).option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    df = r.load(landing_dir)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return L.documents_of(r.load(landing_dir))
 
 
 def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None, registry: DataFrame | None = None):
