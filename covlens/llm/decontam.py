@@ -4,7 +4,8 @@ A seed is a fixed mask over consecutive words: its hash reads the words at the m
 others, so a passage of a benchmark item still meets a seed of the item where some of its words were replaced.  Every
 window of every training text is hashed under every mask and joined with the benchmark's hashes; around each hit the
 text and the item are compared word by word on the hit's diagonal, and the best stretch (matches +1, mismatches -1) is
-an overlap if it holds enough matching words.
+an overlap if it holds enough matching words.  A text that holds an item several times has an overlap for each place;
+of stretches of one item that share words of the text, the one with most matching words counts.
 
 The masks together meet every passage of 15 words with up to 2 replaced words and 98.7 % of those with 3.  Words are
 runs of letters and digits, A-Z lower-cased, so punctuation does not hide a passage.
@@ -20,6 +21,7 @@ count as one, under the smallest item_id; an empty benchmark or an empty table g
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,9 +96,9 @@ class Seeds:
 
     def overlaps(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(row, item id, first and end word in the row, first word in the item, matching words) of each verified
-        overlap: per row and item the one with most matching words."""
+        overlap: per row and item the ones with most matching words that share no word of the row."""
         words = Words(Buffer(texts), plain=True)
-        best: dict[tuple[int, int], tuple] = {}
+        found: dict[tuple[int, int], list[tuple]] = {}
         for row, k, begin in self.diagonals(words):
             item, low, high = self.items[k], words.row_first[row], words.row_first[row + 1]
             a, b = max(0, -begin), min(len(item), high - low - begin)
@@ -108,10 +110,21 @@ class Seeds:
             matching = int(same[start:end].sum())
             need = min(ENOUGH, int(np.ceil(SHARE * len(item))))
             if matching >= need and matching >= IDENTITY * (end - start):
-                at = (matching, -int(begin), int(begin + a + start), int(begin + a + end), int(a + start))
-                best[row, k] = max(best.get((row, k), at), at)
-        for (row, k), (matching, _, start, end, inside) in sorted(best.items()):
-            yield int(row), self.ids[k], start, end, inside, matching
+                found.setdefault((int(row), int(k)), []).append(
+                    (matching, -int(begin), int(begin + a + start), int(begin + a + end), int(a + start)))
+        for (row, k), stretches in sorted(found.items()):
+            for matching, start, end, inside in _apart(stretches):
+                yield row, self.ids[k], start, end, inside, matching
+
+
+def _apart(stretches: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(matching, start, end, first word in the item) of the best stretches that do not share words, by start."""
+    taken: list[tuple[int, int, int, int]] = []
+    for matching, _, start, end, inside in sorted(stretches, reverse=True):
+        i = bisect.bisect(taken, start, key=lambda t: t[1])
+        if (i == 0 or taken[i - 1][2] <= start) and (i == len(taken) or end <= taken[i][1]):
+            taken.insert(i, (matching, start, end, inside))
+    return taken
 
 
 def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text",
@@ -138,7 +151,7 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text",
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item_key: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per training row and benchmark item that overlap: key, item_id, doc_start and doc_end (word numbers, end
+    """One row per place at which a training row and a benchmark item overlap: key, item_id, doc_start and doc_end (word numbers, end
     exclusive), item_start, matched (words that agree)."""
     bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()

@@ -6,9 +6,11 @@ level has no false positive left.  Because the universe is complete, walking the
 for every key of the corpus, with a few bits per listed key and without joining the pages to the list.
 
 Everything is DataFrame work: positions are `xxhash64` with double hashing, a level is a table of 64-bit words built
-by `bit_or`, and a level reaches the tasks as a scalar subquery (an array of words).  Each level's size is known
-before it is built and checked against `max_level_bytes`; beyond that the keys are split by hash into segments, each
-with a cascade of its own that fits, and the pages are judged segment by segment.  The survivors of a level are
+by `bit_or`, and a level reaches the tasks as a scalar subquery (an array of words).  The keys are split by hash into
+as many segments as the larger of the first two levels needs to stay within `max_level_bytes`: the listed keys, and the
+share of the unlisted ones that a filter lets through (all later levels are shares of these two).  Each level is counted
+before it is built; if one is too large after all, the keys are split into twice as many segments.  Each segment has a
+cascade of its own, and the pages are judged segment by segment.  The survivors of a level are
 written to the shared checkpoint folder, so a lost executor costs one level.
 
 Defined results: a null url, or one without `://`, has an empty host and path, no rule, and the key `""`; a null key
@@ -18,13 +20,14 @@ is never listed; an empty universe or an empty list gives verdict "not listed" f
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covlens.session import ensure_checkpoint_dir
 
+LEAST_BITS = 1024  # of a level
 #: (host, path, verdict); a rule holds for its host and all subdomains, for urls whose path starts with its path.
 RULES = (
     ("org", "/", "allow"),
@@ -111,9 +114,18 @@ def build(universe: DataFrame, false_rate: float = 0.02, max_level_bytes: int =
     ensure_checkpoint_dir(universe.sparkSession)
     hashes = max(1, round(-math.log2(false_rate)))
     keys = universe.where(F.col("key").isNotNull()).select("key", "listed").checkpoint()
-    listed = keys.where("listed").count()
-    bits = lambda n: max(1024, math.ceil(n * hashes / math.log(2)))
-    segments = max(1, math.ceil(bits(listed) / 8 / max_level_bytes))
+    listed, unlisted = keys.agg(F.count_if("listed"), F.count_if(~F.col("listed"))).first()
+    bits = lambda n: max(LEAST_BITS, math.ceil(n * hashes / math.log(2)))
+    largest = bits(max(listed, math.ceil(false_rate * unlisted)))
+    segments = max(1, math.ceil(largest / 8 / max_level_bytes))
+    while (out := _cascades(keys, segments, bits, hashes, max(max_level_bytes, LEAST_BITS // 8), max_levels)) is None:
+        segments *= 2
+    return out
+
+
+def _cascades(keys: DataFrame, segments: int, bits: Callable[[int], int], hashes: int, max_level_bytes: int,
+              max_levels: int) -> list[Cascade] | None:
+    """The cascades of `segments` hash shares of the keys, or None if one of their levels is too large."""
     out = []
     for s in range(segments):
         part = keys if segments == 1 else keys.where(F.pmod(F.xxhash64("key"), F.lit(segments)) == s)
@@ -122,6 +134,8 @@ def build(universe: DataFrame, false_rate: float = 0.02, max_level_bytes: int =
             n = inside.count()
             if n == 0:
                 break
+            if bits(n) > 8 * max_level_bytes:
+                return None
             n_words = math.ceil(bits(n) / 64)
             words = _words(inside, cascade.seed + level, n_words, hashes).checkpoint()
             cascade.add(words, n_words, hashes)

@@ -111,6 +111,16 @@ def test_cascade_is_exact(spark, level_bytes):
         assert tuple(got[i])[1:] == want, u
 
 
+def test_every_level_stays_within_its_bytes(spark):
+    """Few listed keys among many: the second level, not the first, sets the number of segments."""
+    universe = spark.range(30000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 1500 == 0).alias("listed"))
+    cascades = url_cascade.build(universe, false_rate=0.1, max_level_bytes=400)
+    assert len(cascades) >= 3
+    assert all(8 * n_words <= 408 for c in cascades for _, n_words, _ in c.levels)
+    wrong = universe.where(url_cascade.listed_by(cascades, F.col("key")) != F.col("listed")).count()
+    assert wrong == 0
+
+
 def test_cascade_of_empty_and_unlisted(spark):
     df = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x")], "page_id bigint, url string")
     assert url_cascade.filter_urls(df.limit(0), F.lit(True)).count() == 0

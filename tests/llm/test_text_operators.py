@@ -308,6 +308,26 @@ def test_spaced_seeds_find_edited_passages_and_nothing_else(spark):
     assert all(r["doc_start"] == 30 for r in got if r["matched"] == len(items[r["item_id"]].split()))
 
 
+def test_every_place_of_an_item_is_listed(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("nopqrstuvwxyz") for _ in range(6))
+    item = [word() for _ in range(24)]
+    again = ["tick"] * 12
+    between = lambda n: [word() for _ in range(n)]
+    texts = [between(5) + item + between(7) + item[:14] + between(3) + item[8:],   # whole, head and tail
+             item + item, item[:12] + between(9) + item[12:], ["tick"] * 60]
+    frame = docs(spark, [" ".join(t) for t in texts])
+    got = collections.defaultdict(list)
+    for r in decontam.find_overlaps(frame, bench(spark, [" ".join(item), " ".join(again)])).collect():
+        got[r["doc_id"], r["item_id"]].append((r["doc_start"], r["doc_end"], r["item_start"], r["matched"]))
+    assert sorted(got[0, 0]) == [(5, 29, 0, 24), (36, 50, 0, 14), (53, 69, 8, 16)]
+    assert sorted(got[1, 0]) == [(0, 24, 0, 24), (24, 48, 0, 24)]
+    assert sorted(got[2, 0]) == [(0, 12, 0, 12), (21, 33, 12, 12)]
+    spans = sorted(got[3, 1])
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1)} and spans[0][0] == 0 and len(spans) >= 4
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and all(s[3] >= 10 for s in spans)
+
+
 def test_decontamination_of_empty_tables(spark, hostile):
     assert decontam.find_overlaps(hostile, bench(spark, ["plain text here and there"]).limit(0)).count() == 0
     assert decontam.clean(hostile, bench(spark, [None])).count() == hostile.count()
