@@ -15,6 +15,7 @@ from ..functions.publisher import publisher_from_domain, video_id
 from ..functions.text import WS_CLASS, clean_text, html_unescape, truncate_content, url_domain
 from ..functions.time import parse_compact_ts, parse_timestamp
 from ..operators import analytics as A
+from ..operators import blocks as K
 from ..operators import briefing as B
 from ..operators import content as C
 from ..operators import enrich as EN
@@ -227,6 +228,70 @@ def q_extract_main_text(spark, sf):
     return C.with_main_text(table(spark, sf, "pages").select("page_id", "html")).select("page_id", "text")
 
 
+# The same blocks out of rows: tags are counted per element name over a page's tokens, so an element's end is the first
+# end tag of its name at which fewer are open than at its start.  Holds for pages whose elements are closed in order.
+_IN = lambda names: "(" + ", ".join(map(O.q, names)) + ")"
+_PLAIN = "coalesce(html, '')"
+for _pat in (r"<!--.*?-->", *(rf"<{n}\b[^>]*>.*?</{n}\s*>" for n in K.RAW_TAGS)):
+    _PLAIN = f"regexp_replace({_PLAIN}, {O.q(_pat)}, '', 'gis')"
+_SPACES = lambda x: f"trim(regexp_replace({x}, {O.q('[' + WS_CLASS + ']+')}, ' ', 'g'))"
+_COUNT = lambda x: f"CASE WHEN {x} = '' THEN 0 ELSE length({x}) - length(replace({x}, ' ', '')) + 1 END"
+_BLOCK_TEXT_SQL = f"""
+WITH toks AS (SELECT page_id, regexp_extract_all({_PLAIN}, '<[^>]*>|[^<]+') AS toks FROM pages),
+tok AS (SELECT page_id, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM toks),
+tag AS (
+  SELECT page_id, pos, tok, starts_with(tok, '<') AS is_tag, starts_with(tok, '</') AS ends,
+         lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9:-]*)', 1)) AS name FROM tok),
+named AS (
+  SELECT *, is_tag AND NOT ends AND (name IN {_IN(K.OUTSIDE_TAGS)} OR list_has_any({_IN(K.OUTSIDE_WORDS).replace("(", "[").replace(")", "]")},
+           string_split(lower(array_to_string(regexp_extract_all(tok, '\\b(?:class|id|role)="([^"]*)"', 1), ' ')), ' '))) AS outside
+  FROM tag),
+deep AS (
+  SELECT *, sum(CASE WHEN NOT is_tag THEN 0 WHEN ends THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos) AS depth
+  FROM named),
+hidden AS (
+  SELECT o.page_id, o.pos AS a, min(c.pos) AS b FROM deep o JOIN deep c
+    ON c.page_id = o.page_id AND c.name = o.name AND c.ends AND c.pos > o.pos AND c.depth < o.depth
+  WHERE o.outside GROUP BY 1, 2),
+lined AS (
+  SELECT *, sum(CASE WHEN name IN {_IN(K.BLOCK_TAGS)} OR outside THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY pos) AS blk,
+         coalesce(last_value(CASE WHEN name = 'a' THEN NOT ends END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos), false) AS linked
+  FROM deep),
+shown AS (
+  SELECT page_id, blk, pos, CASE WHEN is_tag THEN ' ' ELSE tok END AS tok, linked AND NOT is_tag AS linked FROM lined l
+  WHERE (NOT is_tag OR name = 'br') AND NOT EXISTS (SELECT 1 FROM hidden h WHERE h.page_id = l.page_id AND l.pos >= h.a AND l.pos < h.b)),
+spaced AS (SELECT *, {_SPACES('tok')} AS t FROM shown),
+summed AS (
+  SELECT page_id, blk, {_SPACES(O.unescape_sql("string_agg(tok, '' ORDER BY pos)"))} AS text,
+         sum(CASE WHEN linked THEN {_COUNT('t')} ELSE 0 END) AS links
+  FROM spaced GROUP BY 1, 2),
+counted AS (
+  SELECT page_id, blk, text, links, greatest({_COUNT('text')}, length(regexp_replace(text, {O.q('[^' + K.UNSPACED[1:])}, '', 'g')) // 2) AS words
+  FROM summed WHERE text <> ''),
+dense AS (SELECT *, least(links, words) / words AS d FROM counted),
+near AS (
+  SELECT *, coalesce(lag(words) OVER w, 0) AS words0, coalesce(lag(d) OVER w, 0) AS d0, coalesce(lead(words) OVER w, 0) AS words2
+  FROM dense WINDOW w AS (PARTITION BY page_id ORDER BY blk)),
+judged AS (
+  SELECT *, CASE WHEN d > {K.LINKED!r}::DOUBLE THEN false
+                 WHEN d0 > {K.LINKED_BEFORE!r}::DOUBLE THEN words > {K.LONG_AFTER_LINKS} OR words2 > {K.LONG_NEXT_AFTER_LINKS}
+                 ELSE words > {K.LONG} OR words2 > {K.LONG_NEXT} OR words0 > {K.NOT_TINY} END AS content
+  FROM near),
+done AS (
+  SELECT page_id, string_agg(text, chr(10) ORDER BY blk) FILTER (content) AS main,
+         string_agg(text, chr(10) ORDER BY blk) FILTER (d <= {K.LINKED!r}::DOUBLE) AS unlinked,
+         count(*) AS n_blocks, count(*) FILTER (content) AS n_content FROM judged GROUP BY 1)
+SELECT p.page_id, coalesce(main, unlinked) AS text, coalesce(n_blocks, 0)::INTEGER AS n_blocks, coalesce(n_content, 0)::INTEGER AS n_content
+FROM pages p LEFT JOIN done d ON d.page_id = p.page_id"""
+
+
+@register("main_text_blocks", _BLOCK_TEXT_SQL)
+def q_main_text_blocks(spark, sf):
+    """E11 by blocks: main text of every landed page from text and link density."""
+    x = K.with_block_text(table(spark, sf, "pages").select("page_id", "html"))
+    return x.select("page_id", "text", F.size("blocks").alias("n_blocks"), F.size(F.filter("blocks", lambda b: b["content"])).alias("n_content"))
+
+
 def _content_log(spark, sf):
     m = media_items(spark, sf)
     return C.content_lookup(m, article_pages(spark, sf), "url", "url", F.lit(INGESTED_AT))
