@@ -241,6 +241,16 @@ def q_union_sources(spark, sf):
     return u.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
+@register("union_source_rows", RAW + """
+, u AS (
+  SELECT platform, CASE WHEN platform = 'youtube' THEN 'https://www.youtube.com/watch?v=v' || CAST(doc_id AS VARCHAR)
+                        ELSE url END AS url FROM raw)
+SELECT platform, url, sha256(platform || '|' || url) AS id FROM u""")
+def q_union_source_rows(spark, sf):
+    """The rows of all sources, repeats included."""
+    return all_sources(spark, sf).select("platform", "url", "id")
+
+
 @register("ingest_cycle", RAW + """
 , u AS (
   SELECT platform, CASE WHEN platform = 'youtube' THEN 'https://www.youtube.com/watch?v=v' || CAST(doc_id AS VARCHAR)

@@ -88,6 +88,13 @@ def q_stream_ingest(spark, sf):
     return lg.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
+@register("stream_ingest_rows", _SEEN + """
+SELECT CAST(batch AS BIGINT) AS batch_id, platform, id, url FROM seen""")
+def q_stream_ingest_rows(spark, sf):
+    """The rows that the stream wrote to the log, batch by batch."""
+    return spark.read.parquet(_Run(spark, sf).log).select(F.col("batch_id").cast("long").alias("batch_id"), "platform", "id", "url")
+
+
 @register("ingest_errors", RAW + """
 SELECT batch, 'rate_limit_reached' AS code, 'limit after ' || CAST(n AS VARCHAR) || ' articles' AS message
 FROM (SELECT block, count(*) AS n FROM raw WHERE platform = 'mediastack' AND block % 3 = 1 GROUP BY block) e
@@ -194,6 +201,17 @@ def q_stream_coverage(spark, sf):
 SELECT platform, count(DISTINCT sha256(platform || '|' || url)) AS n FROM u GROUP BY platform""")
 def q_stream_dedup(spark, sf):
     """Repeated ids dropped within the watermark horizon."""
+    return _deduplicated(spark, sf).groupBy("platform").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_dedup_rows", _U + """
+SELECT DISTINCT platform, sha256(platform || '|' || url) AS id FROM u""")
+def q_stream_dedup_rows(spark, sf):
+    """The ids that are left, each once."""
+    return _deduplicated(spark, sf).select("platform", "id")
+
+
+def _deduplicated(spark, sf):
     log = _Run(spark, sf).log
     base = _scratch(spark)
     out = f"{base}/dedup"
@@ -201,7 +219,7 @@ def q_stream_dedup(spark, sf):
     q = (stream.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{base}/_ck_dd").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).groupBy("platform").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(out)
 
 
 @register("write_items", """
@@ -217,6 +235,21 @@ def q_write_items(spark, sf):
     return spark.read.parquet(f"{base}/log").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("written_rows", O.with_binding("""
+SELECT batch_id, seq, id, platform, url, title, summary, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published,
+       language, sentiment, content_hash
+FROM obs"""))
+def q_written_rows(spark, sf):
+    """The observation log's rows after writing and reading back."""
+    from ..operators.store import write_log
+    from ..sources.binding import observations
+    base = _scratch(spark)
+    write_log(observations(spark, sf), f"{base}/log")
+    return spark.read.parquet(f"{base}/log").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "seq", "id", "platform", "url", "title", "summary",
+        F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), "language", "sentiment", "content_hash")
+
+
 @register("snapshot_by_day", None)
 def q_snapshot_by_day(spark, sf):
     """S7 + A8: the snapshot written partitioned by published date, read
