@@ -28,8 +28,8 @@ def _scratch(spark) -> str:
 
 
 def _land(spark, sf, landing: str, delivery: int, even_only: bool) -> None:
-    """Write every payload document as its own file, in a folder per
-    delivery and document."""
+    """Land the payload documents as one packed delivery, each under a path of
+    its own with a folder per delivery and document."""
     docs = [
         D.discovery_payloads(spark, sf), D.aggregator_payloads(spark, sf), D.aggregator_errors(spark, sf),
         D.keyed_feed_payloads(spark, sf), D.rss_xml_payloads(spark, sf).select("path", "text"),
@@ -41,10 +41,9 @@ def _land(spark, sf, landing: str, delivery: int, even_only: bool) -> None:
     block = F.regexp_extract("path", r"([0-9]+)\.(json|xml)$", 1).cast("long")
     if even_only:
         allp = allp.filter(block % 2 == 0)
-    # one file per document: the document key is the partition folder
-    (allp.select(F.lit(delivery).alias("delivery"),
-                 F.regexp_replace(F.regexp_replace("path", "^landing/", ""), "/", "__").alias("doc"), "text")
-     .repartition("doc").write.mode("append").partitionBy("delivery", "doc").text(landing))
+    doc = F.regexp_replace(F.regexp_replace("path", "^landing/", ""), "/", "__")
+    L.pack_documents(allp.select(F.concat(F.lit(f"delivery={delivery}/doc="), doc, F.lit("/")).alias("path"),
+                                 F.encode("text", "UTF-8").alias("content")), landing)
 
 
 class _Run:
@@ -58,7 +57,7 @@ class _Run:
         for delivery, even_only in ((0, True), (1, False)):
             _land(spark, sf, f"{base}/landing", delivery, even_only)
             S.run_ingest_stream(spark, f"{base}/landing", self.log, self.snap, f"{base}/_ck", F.lit(RUN_TS), stats,
-                                compact_every=compact_every, side=self.side, registry=registry, buckets=buckets,
+                                compact_every=compact_every, side=self.side, registry=registry, buckets=buckets, packed=True,
                                 enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))
 
 

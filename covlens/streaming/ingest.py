@@ -27,12 +27,15 @@ from ..sources import landing as L
 PLATFORM_DIRS = ("gdelt", "mediastack", "rss", "youtube")
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, max_files: int | None = None) -> DataFrame:
-    """One row per landed document: (path, text), each in its own character set."""
-    r = spark.readStream.format("binaryFile").schema(L.DOCUMENT_SCHEMA).option("recursiveFileLookup", "true")
+def landing_stream(spark: SparkSession, landing_dir: str, max_files: int | None = None, packed: bool = False) -> DataFrame:
+    """One row per landed document: (path, text), each in its own character set.
+    With `packed` the folder holds deliveries of `L.pack_documents`, many
+    documents a file, else every file is a document."""
+    r = (spark.readStream.format("parquet" if packed else "binaryFile")
+         .schema(L.PACKED_SCHEMA if packed else L.DOCUMENT_SCHEMA).option("recursiveFileLookup", "true"))
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return L.documents_of(r.load(landing_dir))
+    return (L.packed_documents_of if packed else L.documents_of)(r.load(landing_dir))
 
 
 def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None, registry: DataFrame | None = None):
@@ -137,10 +140,10 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
     `errors` (API error payloads), `enrichment` (what `enrich` gives for the
     batch's items that have none yet) and `state` (last run and newest
     document per source)."""
+    if docs.select("path").isEmpty():
+        return
     docs = docs.persist()  # the landed files are read once for all branches
     try:
-        if docs.isEmpty():
-            return
         gd, ms, rs, yt, errors = normalise_documents(docs, run_at, stats, registry)
         ST.write_log(N.union_sources(batch_id, gdelt=gd, mediastack=ms, rss=rs, youtube=yt), log_dir)
         if side:
@@ -184,11 +187,13 @@ def enrichment_log(spark: SparkSession, side: str, before: int | None = None) ->
 def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snapshot_root: str,
                       checkpoint: str, run_at, stats: DataFrame | None = None,
                       trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1,
-                      side: str | None = None, registry: DataFrame | None = None, enrich=None, buckets: int | None = None):
-    """Start (and for availableNow, finish) the ingest stream.  With a `side`
+                      side: str | None = None, registry: DataFrame | None = None, enrich=None, buckets: int | None = None,
+                      packed: bool = False):
+    """Start (and for availableNow, finish) the ingest stream over a folder of
+    single documents, or of packed ones (`landing_stream`).  With a `side`
     folder a failing batch does not stop the loop: its documents and the
     error are kept under `failed`, from where `retry_failed` ingests them."""
-    docs = landing_stream(spark, landing_dir, max_files)
+    docs = landing_stream(spark, landing_dir, max_files, packed)
 
     def each(df: DataFrame, batch_id: int) -> None:
         try:
