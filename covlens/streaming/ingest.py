@@ -13,7 +13,9 @@ drops repeated ids inside a bounded horizon."""
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,50 +220,67 @@ def retry_failed(spark: SparkSession, side: str, batch_id: int, log_dir: str, sn
 _SEQ = ("batch", "src", "file", "pos")
 _FACTS = ("day", "platform", "sentiment")
 _INCREMENT = "id string, day string, platform string, sentiment string, n bigint"
-_FIRST = "batch bigint, src int, file string, pos bigint, day string, platform string, sentiment string"
+_HELD = "held binary"
 
 
-def _first_sighting(horizon_ms: int):
-    """The state of an id is its earliest sighting (by `seq`) with what it
-    counts as.  A sighting that comes later but lies earlier takes its place:
-    the old one is retracted (-1) and the new one counted (+1)."""
+def _first_sightings(horizon_ms: int):
+    """The state of a group of ids is, per id, its earliest sighting (by
+    `seq`) with what it counts as, and until when it is held.  A sighting that
+    comes later but lies earlier takes its place: the old one is retracted
+    (-1) and the new one counted (+1)."""
     import pandas as pd
 
     def update(key, batches, state):
-        if state.hasTimedOut:
+        held = {e[0]: (e[1], tuple(e[2:])) for e in json.loads(zlib.decompress(bytes(state.get[0])))} if state.exists else {}
+        seen: dict = {}
+        if not state.hasTimedOut:
+            for pdf in batches:
+                at = pdf["ingested_at"].map(lambda t: int(t.timestamp() * 1000))
+                for i, until, *row in zip(pdf["id"], at + horizon_ms, *(pdf[c] for c in (*_SEQ, *_FACTS))):
+                    row = (int(row[0]), int(row[1]), row[2], int(row[3]), *row[4:])
+                    if i in seen:
+                        until, row = max(until, seen[i][0]), min(row, seen[i][1], key=lambda r: r[:len(_SEQ)])
+                    seen[i] = (int(until), row)
+        now = state.getCurrentWatermarkMs()
+        kept = {i: h for i, h in held.items() if i in seen or h[0] > now}
+        changes = []
+        for i, (until, row) in seen.items():
+            old_until, old = kept.get(i, (until, None))
+            best = row if old is None or row[:len(_SEQ)] < old[:len(_SEQ)] else old
+            kept[i] = (max(until, old_until, now + 1), best)
+            if best != old:
+                changes += [(i, *old[len(_SEQ):], -1)] if old is not None else []
+                changes.append((i, *best[len(_SEQ):], 1))
+        if kept:
+            state.update((zlib.compress(json.dumps([(i, until, *row) for i, (until, row) in kept.items()]).encode(), 1),))
+            state.setTimeoutTimestamp(min(until for until, _ in kept.values()))
+        elif state.exists:
             state.remove()
-            return
-        old = tuple(state.get) if state.exists else None
-        best, newest = old, 0
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                row = (int(r.batch), int(r.src), r.file, int(r.pos), *(getattr(r, c) for c in _FACTS))
-                best = row if best is None or row[:len(_SEQ)] < best[:len(_SEQ)] else best
-            newest = max(newest, int(pdf["ingested_at"].max().timestamp() * 1000))
-        state.setTimeoutTimestamp(max(newest + horizon_ms, state.getCurrentWatermarkMs() + 1))
-        if best == old:
-            return
-        state.update(best)
-        changes = [(*key, *best[len(_SEQ):], 1)]
-        if old is not None:
-            changes.insert(0, (*key, *old[len(_SEQ):], -1))
-        yield pd.DataFrame(changes, columns=["id", *_FACTS, "n"])
+        if changes:
+            yield pd.DataFrame(changes, columns=["id", *_FACTS, "n"])
     return update
 
 
-def coverage_increments(log: DataFrame, horizon_days: int = 31) -> DataFrame:
+def coverage_increments(log: DataFrame, horizon_days: int = 31, groups: int = 4096) -> DataFrame:
     """Changes of the coverage (id, day, platform, sentiment, n = +1 or
     -1), whose sum counts each item once, at its first sighting in the log's
     total order, however the files of the log are dealt to micro-batches and
     tasks.  An id's state is dropped when it was not seen for the horizon of
     ingestion time; the watermark follows our own clock, so an item dated in
-    the future moves nothing."""
+    the future moves nothing.
+
+    The state is kept for `groups` groups of ids by their hash: a call to
+    Python costs milliseconds, so one per id would be the whole cost.  A group
+    is read and written whole when one of its ids is seen; choose `groups` so
+    that it holds some thousands of ids at most.  It is fixed for the life of
+    a checkpoint."""
     text = tag_text(F.col("title"), F.col("summary"))
     rows = log.select("id", *[F.col(f"seq.{c}").alias(c) for c in _SEQ], "ingested_at",
                       coverage_day(F.col("published_at"), F.col("ingested_at")).alias("day"), "platform",
-                      keyword_sentiment(text).alias("sentiment"))
-    return (rows.withWatermark("ingested_at", f"{horizon_days} days").groupBy("id")
-            .applyInPandasWithState(_first_sighting(horizon_days * 86_400_000), _INCREMENT, _FIRST, "update", "EventTimeTimeout"))
+                      keyword_sentiment(text).alias("sentiment"),
+                      F.pmod(F.xxhash64("id"), F.lit(groups)).alias("_group"))
+    return (rows.withWatermark("ingested_at", f"{horizon_days} days").groupBy("_group")
+            .applyInPandasWithState(_first_sightings(horizon_days * 86_400_000), _INCREMENT, _HELD, "update", "EventTimeTimeout"))
 
 
 def dedup_stream(log: DataFrame, horizon: str = "1 day") -> DataFrame:

@@ -32,3 +32,29 @@ def test_packed_documents_give_the_rows_of_single_files(spark, tmp_path):
     single, packed = ingested(spark, tmp_path / "single", False), ingested(spark, tmp_path / "packed", True)
     assert single == packed and len(packed[0]) == 24 and len(packed[1]) == 1
     assert len(list((tmp_path / "packed" / "landing").glob("part-*"))) < len(DOCS)
+
+
+def test_a_group_of_ids_keeps_each_id_for_itself(spark, tmp_path):
+    """Ids that share a group: first sightings, a correction, and a horizon of their own."""
+    log_type = ("id string, title string, summary string, platform string, published_at timestamp, ingested_at timestamp, "
+                "seq struct<batch: bigint, src: int, file: string, pos: bigint>, batch_id bigint")
+
+    def row(i, day, batch, ingested):
+        return (f"i{i}", "t", None, "rss", dt.datetime(2024, 1, day), ingested, (batch, 0, "a", i), batch)
+    feb, mar, may = dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 20), dt.datetime(2024, 5, 20)
+    first = [row(i, 5, 5, feb) for i in range(6)] + [row(0, 6, 6, feb)]
+    deliveries = [first, [row(1, 3, 1, mar), row(9, 9, 7, mar)], [row(9, 2, 8, may)],
+                  [row(2, 8, 9, may), row(9, 1, 0, may)]]
+    got = []
+    for k, rows in enumerate(deliveries):
+        spark.createDataFrame(rows, log_type).repartition(2).write.mode("append").parquet(f"{tmp_path}/log")
+        stream = S.coverage_increments(spark.readStream.schema(log_type).parquet(f"{tmp_path}/log"), groups=2)
+
+        def keep(df, batch_id):
+            got.extend((k, r.id, r.day[-2:], r.n) for r in df.collect())
+        (stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/ck")
+         .trigger(availableNow=True).start().awaitTermination())
+    assert sorted(got) == sorted([(0, f"i{i}", "05", 1) for i in range(6)]
+                                 + [(1, "i1", "05", -1), (1, "i1", "03", 1), (1, "i9", "09", 1)]
+                                 # i2 was not seen for the horizon and counts anew; i9 was
+                                 + [(3, "i2", "08", 1), (3, "i9", "09", -1), (3, "i9", "01", 1)])
