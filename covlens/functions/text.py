@@ -20,7 +20,9 @@ WS_CLASS = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{20
 
 TAG_RE = r"<[^>]+>"
 URL_RE = r"https?://[^" + WS_CLASS + r"]+"
-WS_RUN_RE = r"[" + WS_CLASS + r"]+"
+# For Spark: letters and digits fail the first test of the class, and the single
+# plain spaces between words, which stay as they are, are no matches.
+WS_RUN_RE = r"[[^!-~]&&[" + WS_CLASS + r"]]{2,}|[[^ -~]&&[" + WS_CLASS + r"]]"
 # The character references decoded natively (the common
 # ones in feed and page text), `&amp;` last so one pass is emulated.
 NATIVE_ENTITIES = (

@@ -454,6 +454,7 @@ def q_enrich_resume(spark, sf):
     model away gives the same rows from the logged answers."""
     calls = f"{ensure_checkpoint_dir(spark).rstrip('/')}/covlens-calls-{uuid.uuid4().hex[:12]}"
     m = keyword_enrich(media_items(spark, sf), TEST_TAXONOMY, F.lit(INGESTED_AT), keep=("id", "first_seq"))
+    m = m.select("id", "first_seq", "tags_json").checkpoint()  # the items are folded and tagged once for both cycles
     _model_log(m, EN.pandas_model(stand_in_model, concurrency=4), calls=calls, waves=2)
     log = _model_log(m, EN.pandas_model(silent_model), calls=calls)[1]
     return log.select("id", "enrich_status", "enrich_error", "attempts", F.array_join("topics", ",").alias("topics"))

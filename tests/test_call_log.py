@@ -92,3 +92,11 @@ def test_resumed_rows_equal_the_oracle(spark):
     names = [d[0] for d in rel.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted(map(repr, rel.fetchall())) == sorted(repr(tuple(r[c] for c in names)) for r in df.collect())
+
+
+def test_both_cycles_read_items_folded_once(spark, monkeypatch):
+    from covlens.plans import queries_enrich as Q
+    plans, real = [], Q._model_log
+    monkeypatch.setattr(Q, "_model_log", lambda m, *a, **k: plans.append(m._jdf.queryExecution().executedPlan().toString()) or real(m, *a, **k))
+    E.queries()["enrich_resume"](spark, SMALL)
+    assert len(plans) == 2 and not any("Aggregate" in p or "parquet" in p for p in plans)

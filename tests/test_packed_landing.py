@@ -3,6 +3,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from covlens.functions.text import WS_RUN_RE, clean_text
 from covlens.sources import landing as L
 from covlens.streaming import ingest as S
 
@@ -58,3 +59,12 @@ def test_a_group_of_ids_keeps_each_id_for_itself(spark, tmp_path):
                                  + [(1, "i1", "05", -1), (1, "i1", "03", 1), (1, "i9", "09", 1)]
                                  # i2 was not seen for the horizon and counts anew; i9 was
                                  + [(3, "i2", "08", 1), (3, "i9", "09", -1), (3, "i9", "01", 1)])
+
+
+def test_whitespace_runs_of_every_kind_become_one_space(spark):
+    odd = [chr(n) for n in range(0x3100) if chr(n).isspace()]
+    texts = ["a" + c + "b" for c in odd] + ["a " + c + "b" for c in odd] + ["a" + c + " b" for c in odd] + ["a  b", "a b", "​z", "é é", "~\t!"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", clean_text(F.col("t")).alias("t")).collect()
+    assert {r.k: r.t for r in rows} == {k: " ".join(t.split()) for k, t in enumerate(texts)}
+    # single spaces are left where they are, not matched and replaced one by one
+    assert spark.range(1).select(F.lit("one word and another").rlike(WS_RUN_RE)).first()[0] is False
