@@ -20,9 +20,13 @@ WS_CLASS = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{20
 
 TAG_RE = r"<[^>]+>"
 URL_RE = r"https?://[^" + WS_CLASS + r"]+"
-# For Spark: letters and digits fail the first test of the class, and the single
-# plain spaces between words, which stay as they are, are no matches.
-WS_RUN_RE = r"[[^!-~]&&[" + WS_CLASS + r"]]{2,}|[[^ -~]&&[" + WS_CLASS + r"]]"
+# For Spark.  What may begin a match is kept cheap, as it is tested at every
+# character: a plain space by itself (single ones between words stay as they are
+# and are no matches), single codes below U+0100 by one lookup, the others by
+# their range first.
+_WS_NARROW = r"\t\n\x{0B}\x{0C}\r\x{1C}\x{1D}\x{1E}\x{1F}\x{85}\x{A0}"
+_WS_WIDE = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]"
+WS_RUN_RE = r" [" + WS_CLASS + r"]+|[" + _WS_NARROW + _WS_WIDE + r"][" + WS_CLASS + r"]*"
 # The character references decoded natively (the common
 # ones in feed and page text), `&amp;` last so one pass is emulated.
 NATIVE_ENTITIES = (

@@ -31,8 +31,8 @@ def _raw(df: DataFrame, built: Column) -> Column:
 
 
 def _or_none(text: Column) -> Column:
-    t = clean_text(text)
-    return F.when(t != "", t)
+    # NULLIF binds the cleaned text; compared and returned by a WHEN it would be cleaned twice.
+    return F.nullif(clean_text(text), F.lit(""))
 
 
 def base_item(df: DataFrame, ingested_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:

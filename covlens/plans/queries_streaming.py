@@ -27,22 +27,34 @@ def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/covlens-{uuid.uuid4().hex[:12]}"
 
 
-def _land(spark, sf, landing: str, delivery: int, even_only: bool) -> None:
-    """Land the payload documents as one packed delivery, each under a path of
-    its own with a folder per delivery and document."""
+def _stored(df, path: str):
+    """`df` written once and read back, for what several steps read."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _documents(spark, sf, base: str):
+    """The payload documents (path, text, block), from one pass over the tables."""
+    rows = _stored(D.raw_rows(spark, sf), f"{base}/rows")
     docs = [
-        D.discovery_payloads(spark, sf), D.aggregator_payloads(spark, sf), D.aggregator_errors(spark, sf),
-        D.keyed_feed_payloads(spark, sf), D.rss_xml_payloads(spark, sf).select("path", "text"),
-        D.channel_xml_payloads(spark, sf).select("path", "text"), D.keyed_channel_payloads(spark, sf),
+        D.discovery_payloads(spark, sf, rows), D.aggregator_payloads(spark, sf, rows), D.aggregator_errors(spark, sf, rows),
+        D.keyed_feed_payloads(spark, sf, rows), D.rss_xml_payloads(spark, sf, rows).select("path", "text"),
+        D.channel_xml_payloads(spark, sf, rows).select("path", "text"), D.keyed_channel_payloads(spark, sf, rows),
     ]
     allp = docs[0]
     for d in docs[1:]:
         allp = allp.unionByName(d)
     block = F.regexp_extract("path", r"([0-9]+)\.(json|xml)$", 1).cast("long")
+    return _stored(allp.select("path", "text", block.alias("block")), f"{base}/documents")
+
+
+def _land(docs, landing: str, delivery: int, even_only: bool) -> None:
+    """Land the payload documents as one packed delivery, each under a path of
+    its own with a folder per delivery and document."""
     if even_only:
-        allp = allp.filter(block % 2 == 0)
+        docs = docs.filter(F.col("block") % 2 == 0)
     doc = F.regexp_replace(F.regexp_replace("path", "^landing/", ""), "/", "__")
-    L.pack_documents(allp.select(F.concat(F.lit(f"delivery={delivery}/doc="), doc, F.lit("/")).alias("path"),
+    L.pack_documents(docs.select(F.concat(F.lit(f"delivery={delivery}/doc="), doc, F.lit("/")).alias("path"),
                                  F.encode("text", "UTF-8").alias("content")), landing)
 
 
@@ -53,9 +65,11 @@ class _Run:
     def __init__(self, spark, sf, compact_every: int = 2, buckets: int | None = None):
         base = _scratch(spark)
         self.log, self.snap, self.side = f"{base}/log", f"{base}/snapshot", f"{base}/side"
-        stats, registry = D.video_stats(spark, sf), D.feed_registry(spark, sf)
+        docs = _documents(spark, sf, base)
+        stats = _stored(D.video_stats(spark, sf), f"{base}/stats")
+        registry = _stored(D.feed_registry(spark, sf), f"{base}/registry")
         for delivery, even_only in ((0, True), (1, False)):
-            _land(spark, sf, f"{base}/landing", delivery, even_only)
+            _land(docs, f"{base}/landing", delivery, even_only)
             S.run_ingest_stream(spark, f"{base}/landing", self.log, self.snap, f"{base}/_ck", F.lit(RUN_TS), stats,
                                 compact_every=compact_every, side=self.side, registry=registry, buckets=buckets, packed=True,
                                 enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))

@@ -38,6 +38,11 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("doc_id") / 100).cast("long").alias("block"))
 
 
+def _rows(spark: SparkSession, sf_dir: str, rows: DataFrame | None) -> DataFrame:
+    """`rows` (raw_rows that the caller keeps for several payloads), else read from the tables."""
+    return raw_rows(spark, sf_dir) if rows is None else rows
+
+
 def _path(platform: str, ext: str = "json") -> Column:
     return F.concat(F.lit(f"landing/{platform}/"), F.col("block").cast("string"), F.lit(f".{ext}"))
 
@@ -58,9 +63,9 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
 
 
-def discovery_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def discovery_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """JSON array documents of discovery-API articles (path, text)."""
-    r = raw_rows(spark, sf_dir).filter(F.col("platform") == "gdelt")
+    r = _rows(spark, sf_dir, rows).filter(F.col("platform") == "gdelt")
     art = F.struct(
         F.col("url"), F.lit("").alias("url_mobile"), F.col("t_raw").alias("title"),
         F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'").alias("seendate"), F.lit("").alias("socialimage"),
@@ -70,10 +75,10 @@ def discovery_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("path", F.to_json("arts").alias("text"))
 
 
-def aggregator_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def aggregator_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Aggregator responses: {"data": [...]} for even blocks, a bare array
     for odd ones."""
-    r = raw_rows(spark, sf_dir).filter(F.col("platform") == "mediastack")
+    r = _rows(spark, sf_dir, rows).filter(F.col("platform") == "mediastack")
     m5 = F.col("doc_id") % 5
     art = F.struct(
         F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("au"), (F.col("doc_id") % 7).cast("string")))
@@ -105,9 +110,9 @@ def feed_name_of() -> Column:
     return F.concat(F.col("source"), F.lit("_nasional"))
 
 
-def keyed_feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_feed_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """{feed_name: [entry, ...]} JSON documents for the even feed blocks."""
-    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "rss") & (F.col("block") % 2 == 0))
+    r = _rows(spark, sf_dir, rows).filter((F.col("platform") == "rss") & (F.col("block") % 2 == 0))
     per_feed = r.groupBy("block", feed_name_of().alias("feed")).agg(
         _ordered(_feed_entry(feed_name_of())).alias("entries"))
     g = per_feed.groupBy("block").agg(F.map_from_entries(F.array_sort(F.collect_list(
@@ -126,10 +131,10 @@ def _tag(name: str, c: Column) -> Column:
         .otherwise(F.lit(""))
 
 
-def rss_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rss_xml_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """RSS 2.0 documents (one per feed and odd block): path, feed_name,
     feed_url, text."""
-    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "rss") & (F.col("block") % 2 == 1))
+    r = _rows(spark, sf_dir, rows).filter((F.col("platform") == "rss") & (F.col("block") % 2 == 1))
     rfc = F.date_format(F.col("ts") + F.expr("INTERVAL 7 HOURS"), "EEE, dd MMM yyyy HH:mm:ss '+0700'")
     item = F.concat(F.lit("<item>"), _tag("title", F.col("t_raw")), _tag("link", F.col("url")),
                     _tag("pubDate", F.when(F.col("doc_id") % 8 != 4, rfc)),
@@ -152,10 +157,10 @@ def rss_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     text.alias("text"))
 
 
-def channel_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def channel_xml_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Atom channel documents (one per channel and odd block): path, channel,
     channel_ref (the configured channel id), text."""
-    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 1))
+    r = _rows(spark, sf_dir, rows).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 1))
     vid = F.concat(F.lit("v"), F.col("doc_id").cast("string"))
     link = F.concat(F.lit('<link rel="alternate" href="https://www.youtube.com/watch?v='), vid, F.lit('"/>'))
     own = F.lit('<link rel="self" href="https://www.youtube.com/feeds/self"/>')
@@ -173,9 +178,9 @@ def channel_xml_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("UC"), F.col("source")).alias("channel_ref"), text.alias("text"))
 
 
-def keyed_channel_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyed_channel_payloads(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """{channel: [entry, ...]} JSON documents for the even channel blocks."""
-    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 0))
+    r = _rows(spark, sf_dir, rows).filter((F.col("platform") == "youtube") & (F.col("block") % 2 == 0))
     vid = F.concat(F.lit("v"), F.col("doc_id").cast("string"))
     entry = F.struct(
         F.col("t_raw").alias("title"), F.concat(F.lit("https://www.youtube.com/watch?v="), vid).alias("link"),
@@ -188,9 +193,9 @@ def keyed_channel_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(_path("youtube").alias("path"), F.to_json("m").alias("text"))
 
 
-def aggregator_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def aggregator_errors(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """API error answers beside the aggregator blocks of every third number."""
-    r = raw_rows(spark, sf_dir).filter((F.col("platform") == "mediastack") & (F.col("block") % 3 == 1))
+    r = _rows(spark, sf_dir, rows).filter((F.col("platform") == "mediastack") & (F.col("block") % 3 == 1))
     g = r.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     error = F.struct(F.lit("rate_limit_reached").alias("code"),
                      F.concat(F.lit("limit after "), F.col("n").cast("string"), F.lit(" articles")).alias("message"))
