@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -50,6 +50,8 @@ PASSAGE_DOCS = 2
 UNSPACED = 16
 MAX_BROADCAST_BYTES = 32 << 20
 _STAR = np.uint64(0x2545F4914F6CDD1D)
+_VARIABLE = np.zeros(256, bool)
+_VARIABLE[list(b"0123456789@:")] = True  # a colon only before `//`
 
 
 def _passage(tokens: np.ndarray, characters: np.ndarray) -> np.ndarray:
@@ -59,9 +61,11 @@ def _passage(tokens: np.ndarray, characters: np.ndarray) -> np.ndarray:
 
 class Lines:
     """The non-blank lines of a buffer: row, line number in the row, token count, and template hashes (one column for
-    the exact template and one per open stretch; 0 where there is none; odd ones are those of passages)."""
+    the exact template and one per open stretch; 0 where there is none; odd ones are those of passages).  Without
+    `passages` all of them are even: the template alone decides whether it is a passage's, so known ones are found
+    without that."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, passages: bool = True):
         buffer = Buffer(texts)
         b, words = buffer.bytes, Words(buffer)
         ends = np.flatnonzero(b == 10)  # the separators are line ends too
@@ -72,33 +76,43 @@ class Lines:
         line_of_row = np.searchsorted(ends, buffer.row_start[:-1])
         self.number = line[first] - line_of_row[self.row]
         self.lines_of_row = np.diff(np.append(line_of_row, len(ends)))
-        odd = (b >= 48) & (b <= 57) | (b == 64)
-        odd[:-2] |= (b[:-2] == 58) & (b[1:-1] == 47) & (b[2:] == 47)
-        seen = np.concatenate([[0], np.cumsum(odd, dtype=np.int32)])
-        masked = (seen[words.end] > seen[words.start]) & np.repeat(self.tokens >= SHORTEST, self.tokens)
+        # Only the few bytes that make a word variable are placed in their words.
+        odd = np.flatnonzero(_VARIABLE[b])
+        odd = odd[(b[odd] != 58) | (b[np.minimum(odd + 1, len(b) - 1)] == 47) & (b[np.minimum(odd + 2, len(b) - 1)] == 47)]
+        masked = np.zeros(len(line), bool)
+        masked[np.searchsorted(words.start, odd, side="right") - 1] = True
+        masked &= np.repeat(self.tokens >= SHORTEST, self.tokens)
         h = np.where(masked, _STAR, words.hash)
         self.keys = np.zeros((len(first), 1 + SEGMENTS), np.uint64)
         if not len(first):
             return
-        place = np.arange(len(line)) - np.repeat(first, self.tokens)
-        h = mix(h + powers(int(self.tokens.max()))[place])
-        rest = np.maximum(np.repeat(self.tokens, self.tokens) - LEAD, 1)
-        segment = np.where(place < LEAD, -1, (place - LEAD) * SEGMENTS // rest)
-        count = self.tokens.astype(np.uint64)
-        total = np.add.reduceat(h, first)
+        h = mix(h + powers(int(self.tokens.max()))[np.arange(len(line)) - np.repeat(first, self.tokens)])
+        count, long = self.tokens.astype(np.uint64), self.tokens >= LONG
+        # Where the stretches of each line begin and end; lines that are not long have none.
+        rest = np.maximum(self.tokens - LEAD, 0)[:, None]
+        edge = np.minimum(first[:, None] + LEAD - (-np.arange(SEGMENTS + 1) * rest // SEGMENTS), len(line))
+
+        def sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Over each line, over each of its stretches."""
+            upto = np.zeros(len(x) + 1, x.dtype)
+            np.cumsum(x, out=upto[1:])
+            return upto[first + self.tokens] - upto[first], np.diff(upto[edge], axis=1)
+
+        total, part = sums(h)
         self.keys[:, 0] = mix(total + count * _STAR)
-        long = self.tokens >= LONG
-        begun = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80, dtype=np.int32)])
-        characters = np.where(masked, 0, begun[words.end] - begun[words.start])
-        passage = np.zeros(self.keys.shape, np.uint64)
-        passage[:, 0] = _passage(np.add.reduceat(~masked, first, dtype=np.int64), np.add.reduceat(characters, first))
         for s in range(SEGMENTS):
-            part = np.add.reduceat(np.where(segment == s, h, np.uint64(0)), first)
-            shut = segment != s
-            passage[:, 1 + s] = _passage(np.add.reduceat(shut & ~masked, first, dtype=np.int64),
-                                         np.add.reduceat(np.where(shut, characters, 0), first))
-            self.keys[:, 1 + s] = np.where(long, mix(total - part + (count * np.uint64(8) + np.uint64(s + 1)) * _STAR), 0)
-        self.keys = np.where(self.keys, self.keys & ~np.uint64(1) | passage, 0)
+            self.keys[:, 1 + s] = np.where(long, mix(total - part[:, s] + (count * np.uint64(8) + np.uint64(s + 1)) * _STAR), 0)
+        self.keys &= ~np.uint64(1)
+        if not passages:
+            return
+        # Characters are the bytes that continue none.
+        continued = np.bincount(np.searchsorted(words.start, np.flatnonzero((b & 0xC0) == 0x80), side="right") - 1, minlength=len(line))
+        literal, of_part = sums((~masked).astype(np.int64))
+        characters, in_part = sums(np.where(masked, 0, words.end - words.start - continued))
+        passage = np.zeros(self.keys.shape, np.uint64)
+        passage[:, 0] = _passage(literal, characters)
+        passage[:, 1:] = _passage(literal[:, None] - of_part, characters[:, None] - in_part)
+        self.keys = np.where(self.keys, self.keys | passage, 0)
 
 
 def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,10 +120,13 @@ def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for part in slices(batch, "_text"):
             lines = Lines(part.column("_text"))
-            pairs = np.stack([np.repeat(lines.row.astype(np.uint64), 1 + SEGMENTS), lines.keys.ravel()], 1)
-            pairs = np.unique(pairs[pairs[:, 1] != 0], axis=0)
-            text = part.column("_fp").to_numpy(zero_copy_only=False)[pairs[:, 0].astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].view(np.int64)), pa.array(text)], ["key", "fp"])
+            some = np.flatnonzero(lines.keys)
+            key, row = lines.keys.ravel()[some], lines.row[some // (1 + SEGMENTS)]
+            order = np.argsort(key, kind="stable")  # a text's lines of one template stand in sequence then
+            again = (np.diff(key[order], prepend=0) == 0) & (np.diff(row[order], prepend=-1) == 0)
+            once = np.sort(order[~again])
+            text = part.column("_fp").to_numpy(zero_copy_only=False)[row[once]]
+            yield pa.RecordBatch.from_arrays([pa.array(key[once].view(np.int64)), pa.array(text)], ["key", "fp"])
 
 
 NEW = ("n_lines", "n_recurring", "dropped")
@@ -129,12 +146,15 @@ def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN
     texts = _texts(docs, text)
     needed = F.when(F.col("key").bitwiseAND(1) == 1, min(min_docs, PASSAGE_DOCS)).otherwise(min_docs)
 
-    def enough(rows: DataFrame, of: str) -> DataFrame:
-        return rows.groupBy("key").agg(F.count_distinct(of).alias("n")).where(F.col("n") >= needed).select("key")
+    def enough(rows: DataFrame, n: Column) -> DataFrame:
+        return rows.groupBy("key").agg(n.alias("n")).where(F.col("n") >= needed).select("key")
 
     rows = written(texts.mapInArrow(_template_rows, "key bigint, fp bigint"), "templates")
-    wanted = written(enough(rows, "fp"), "candidates")
-    held = written(rows.join(_few(wanted, 8, max_broadcast_bytes), "key", "left_semi").distinct(), "held")
+    # A template has no more texts than rows, so only those with enough rows are counted by texts.
+    often = written(enough(rows, F.count("*")), "often")
+    some = written(rows.join(_few(often, 8, max_broadcast_bytes), "key", "left_semi").distinct(), "often-held")
+    wanted = written(enough(some, F.count("*")), "candidates")
+    held = written(some.join(_few(wanted, 8, max_broadcast_bytes), "key", "left_semi"), "held")
     some = written(held.select(F.col("fp").alias("_fp")).distinct(), "holders")
     if some.count() * 8 <= max_broadcast_bytes:
         copied = texts.join(F.broadcast(some), "_fp", "left_semi")
@@ -144,7 +164,7 @@ def recurring_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN
     groups = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("fp"), F.col("component_id").alias("group"))
                      .distinct(), "groups")
     grouped = held.join(_few(groups, 16, max_broadcast_bytes), "fp", "left").select("key", F.coalesce("group", "fp").alias("group"))
-    keys = written(enough(grouped, "group"), "recurring")
+    keys = written(enough(grouped, F.count_distinct("group")), "recurring")
     marked = held.join(_few(keys, 8, max_broadcast_bytes), "key", "left_semi").select(F.col("fp").alias("_fp")).distinct()
     return keys, written(marked, "marked")
 
@@ -217,13 +237,13 @@ def drop_recurring(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS
             [*part.schema.names[:width], *NEW])
 
     if few_keys:
-        known = np.sort(keys.toArrow().column("key").to_numpy().view(np.uint64))
+        known = np.sort(keys.toArrow().column("key").to_numpy().view(np.uint64) & ~np.uint64(1))
         shipped = docs.sparkSession.sparkContext.broadcast(known)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, batch.schema.names[where]):
-                    lines = Lines(part.column(where))
+                    lines = Lines(part.column(where), passages=False)
                     yield rebuild(part, lines, _among(lines.keys, shipped.value).any(axis=1))
 
         changed = hit_rows.select(*plain.columns).mapInArrow(run, schema)

@@ -22,6 +22,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _NO_WORD = np.ones(256, bool)
 _NO_WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = False
+# A byte's code within words; bytes between words count nothing.
+_WORD_CODE, _PLAIN_CODE = np.where(_SPACE, np.uint64(0), BYTE_CODE), np.where(_NO_WORD, np.uint64(0), BYTE_CODE)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -72,7 +74,8 @@ class Words:
 
     def __init__(self, buffer: Buffer, plain: bool = False):
         b = buffer.bytes
-        space = (_NO_WORD if plain else _SPACE)[b]
+        space, code = (_NO_WORD, _PLAIN_CODE) if plain else (_SPACE, _WORD_CODE)
+        space = space[b]
         edge = np.diff(space.view(np.int8))
         self.start = np.flatnonzero(edge == -1) + 1
         self.end = np.flatnonzero(edge == 1) + 1
@@ -87,8 +90,7 @@ class Words:
             part = slice(first, self.end[to - 1])
             size = np.diff(start, append=part.stop - first)
             place = np.arange(part.stop - first, dtype=np.int32) - np.repeat(start.astype(np.int32), size)
-            value = BYTE_CODE[b[part]]
-            value[space[part]] = 0
+            value = code[b[part]]
             value *= powers(int(size.max()))[place]
             self.hash[at:to] = mix(np.add.reduceat(value, start) + own.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             at = to
