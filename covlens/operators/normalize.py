@@ -84,13 +84,15 @@ def normalize_aggregator(arts: DataFrame, ingested_at: Column, keep=("path", "po
 def normalize_feed(entries: DataFrame, ingested_at: Column, keep=("path", "pos")) -> DataFrame:
     """Publisher RSS entries (feed_name, entry map) -> items."""
     e = F.col("entry")
+    # bound here, as cleaning names its text several times
+    entries = entries.select("*", F.coalesce(_nonempty(e["summary"]), e["description"]).alias("_summary"))
     x = entries.select(
         *[c for c in keep if c in entries.columns],
         F.lit("rss").alias("platform"), F.lit("news").alias("source_type"),
         feed_publisher(F.col("feed_name")).alias("publisher_or_author"),
         F.coalesce(e["link"], F.lit("")).alias("url"),
         _or_none(e["title"]).alias("title"),
-        _or_none(F.coalesce(_nonempty(e["summary"]), e["description"])).alias("summary"),
+        _or_none(F.col("_summary")).alias("summary"),
         parse_timestamp(F.coalesce(_nonempty(e["published"]), e["updated"])).alias("published_at"),
         compact_json(F.struct(F.coalesce(_nonempty(e["_feed_name"]), F.col("feed_name")).alias("feed_name"),
                               e["_feed_url"].alias("feed_url"))).alias("signals_json"),

@@ -27,15 +27,16 @@ def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/covlens-{uuid.uuid4().hex[:12]}"
 
 
-def _stored(df, path: str):
-    """`df` written once and read back, for what several steps read."""
-    df.write.parquet(path)
+def _stored(df, path: str, *by: str):
+    """`df` written once and read back, for what several steps read; in
+    folders `by` the columns that they choose their rows by."""
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _documents(spark, sf, base: str):
     """The payload documents (path, text, block), from one pass over the tables."""
-    rows = _stored(D.raw_rows(spark, sf), f"{base}/rows")
+    rows = _stored(D.raw_rows(spark, sf), f"{base}/rows", "platform")
     docs = [
         D.discovery_payloads(spark, sf, rows), D.aggregator_payloads(spark, sf, rows), D.aggregator_errors(spark, sf, rows),
         D.keyed_feed_payloads(spark, sf, rows), D.rss_xml_payloads(spark, sf, rows).select("path", "text"),

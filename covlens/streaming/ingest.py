@@ -54,7 +54,7 @@ def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None,
         return docs.filter(F.col("_platform") == p).select("path", "text")
 
     def feeds(p: str) -> tuple[DataFrame, DataFrame]:
-        is_xml = F.regexp_replace("text", "^[\\uFEFF\\s]+", "").startswith("<")
+        is_xml = L.without_head(F.col("text")).startswith("<")
         return part(p).filter(~is_xml), L.name_feeds(part(p).filter(is_xml), p, registry)
 
     gd = N.normalize_discovery(L.parse_api_list(part("gdelt")), run_at)
@@ -156,7 +156,9 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
                 "seq", F.lit(batch_id).cast("long")), side, "state", batch_id)
             if enrich is not None:
                 done = enrichment_log(spark, side, batch_id)
-                pending = ST.list_unenriched(ST.upsert_fold(seen), done)
+                if done is not None:  # before the fold, so that known items are not shuffled for it
+                    seen = seen.join(done.select("id"), "id", "left_anti")
+                pending = ST.list_unenriched(ST.upsert_fold(seen))
                 _side(enrich(pending), side, "enrichment", batch_id)
     finally:
         docs.unpersist()
