@@ -20,34 +20,42 @@ from pyspark.sql import functions as F
 from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, ITEM_SCHEMA, PROTECTED, UNPROTECTED
 
 
-def upsert_fold(obs: DataFrame, seq: str = "seq") -> DataFrame:
+def upsert_fold(obs: DataFrame, seq: str = "seq", whole: bool = False) -> DataFrame:
     """T1 over an observation log (any number of batches): one row per id.
 
     One min_by / max_by per column (seq is unique, so all come from the
     same observation).  Separate aggregates, rather than one struct, let
     Catalyst drop the ones a query never reads, and with them the
-    upstream work that feeds them (cleaning, tagging)."""
+    upstream work that feeds them (cleaning, tagging).  They carry the seq
+    once per column, though; with `whole`, for a caller that writes all
+    columns, the two observations go as one struct each."""
     later = [c for c in UNPROTECTED if c != "id"]
     o = F.col(seq)
+    columns = [c for c in ITEM_COLUMNS[1:] if c in obs.columns]
+    totals = (F.count(F.lit(1)).alias("n_observations"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
+    if whole:
+        parts = {"_last": [c for c in columns if c in later], "_first": [c for c in columns if c not in later]}
+        g = obs.groupBy("id").agg(*[pick(F.struct(*parts[p]), o).alias(p) for p, pick in (("_last", F.max_by), ("_first", F.min_by))
+                                    if parts[p]], *totals)
+        return g.select("id", *[F.col(f"{p}.{c}").alias(c) for c in columns for p in parts if c in parts[p]],
+                        "n_observations", "first_seq", "last_seq")
     aggs = []
-    for c in ITEM_COLUMNS[1:]:
-        if c in obs.columns:
-            pick = F.max_by(F.col(c), o) if c in later else F.min_by(F.col(c), o)
-            aggs.append(pick.alias(c))
-    g = obs.groupBy("id").agg(*aggs, F.count(F.lit(1)).alias("n_observations"),
-                              F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
-    return g.select("id", *[c for c in ITEM_COLUMNS[1:] if c in obs.columns],
-                    "n_observations", "first_seq", "last_seq")
+    for c in columns:
+        pick = F.max_by(F.col(c), o) if c in later else F.min_by(F.col(c), o)
+        aggs.append(pick.alias(c))
+    g = obs.groupBy("id").agg(*aggs, *totals)
+    return g.select("id", *columns, "n_observations", "first_seq", "last_seq")
 
 
-def upsert_batch(snapshot: DataFrame, batch: DataFrame, seq: str = "seq"):
+def upsert_batch(snapshot: DataFrame, batch: DataFrame, seq: str = "seq", whole: bool = False):
     """T1 of one new batch into an existing snapshot.
 
     Returns (new_snapshot, stats) where stats has one row: inserted = ids
     new to the snapshot, updated = batch rows - inserted (every repeat of an
     id counts, as in the reference).  The result is a new snapshot; write it
-    to a new directory, never over the one being read."""
-    b = upsert_fold(batch, seq)
+    to a new directory, never over the one being read.  `whole` as in
+    upsert_fold."""
+    b = upsert_fold(batch, seq, whole)
     dated = "published_date" in snapshot.columns
     columns = [*ITEM_COLUMNS, *(["published_date"] if dated else [])]
     # Untouched rows pass as they stand, so a predicate on the published

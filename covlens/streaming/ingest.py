@@ -99,19 +99,20 @@ def latest_snapshot(spark: SparkSession, snapshot_root: str) -> int | None:
     return None if newest is None else newest[0]
 
 
-def _snapshot_of(spark: SparkSession, log_dir: str, snapshot_root: str, upto: int):
-    """Latest snapshot folded with every log batch after it, up to `upto`."""
+def _snapshot_of(spark: SparkSession, log_dir: str, snapshot_root: str, upto: int, whole: bool = False):
+    """Latest snapshot folded with every log batch after it, up to `upto`;
+    `whole` when all columns are to be written."""
     from ..schema import ITEM_COLUMNS
     newest = _newest(spark, snapshot_root)
     lg = spark.read.parquet(log_dir)
     if newest is None:
-        first = ST.upsert_fold(lg.filter(F.col("batch_id") <= upto)).select(*ITEM_COLUMNS)
+        first = ST.upsert_fold(lg.filter(F.col("batch_id") <= upto), whole=whole).select(*ITEM_COLUMNS)
         return first.withColumn("published_date", F.to_date("published_at"))
     prev, buckets = newest
     path = snapshot_path(snapshot_root, prev, buckets)
     held = ST.read_keyed_snapshot(spark, path, buckets) if buckets else spark.read.parquet(path)
     delta = lg.filter((F.col("batch_id") > prev) & (F.col("batch_id") <= upto))
-    snap, _ = ST.upsert_batch(held, delta)
+    snap, _ = ST.upsert_batch(held, delta, whole=whole)
     return snap
 
 
@@ -167,7 +168,7 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
         return  # replay of a batch whose snapshot is already written
     if (batch_id + 1) % max(1, compact_every) != 0:
         return
-    new, path = _snapshot_of(spark, log_dir, snapshot_root, batch_id), snapshot_path(snapshot_root, batch_id, buckets)
+    new, path = _snapshot_of(spark, log_dir, snapshot_root, batch_id, whole=True), snapshot_path(snapshot_root, batch_id, buckets)
     if buckets:
         ST.write_keyed_snapshot(new, path, buckets)
     else:
