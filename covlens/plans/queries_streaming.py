@@ -61,7 +61,8 @@ def _land(docs, landing: str, delivery: int, even_only: bool) -> None:
 
 class _Run:
     """Two arrivals through the stream: the even blocks, then all blocks (the
-    even ones for the second time); one availableNow run each."""
+    even ones for the second time); one availableNow run each.  A batch that
+    fails is raised, as the queries return what both have written."""
 
     def __init__(self, spark, sf, compact_every: int = 2, buckets: int | None = None):
         base = _scratch(spark)
@@ -73,7 +74,7 @@ class _Run:
             _land(docs, f"{base}/landing", delivery, even_only)
             S.run_ingest_stream(spark, f"{base}/landing", self.log, self.snap, f"{base}/_ck", F.lit(RUN_TS), stats,
                                 compact_every=compact_every, side=self.side, registry=registry, buckets=buckets, packed=True,
-                                enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))
+                                keep_failed=False, enrich=lambda p: keyword_enrich(p, TEST_TAXONOMY, F.lit(RUN_TS)))
 
 
 _U = RAW + """, u AS (

@@ -14,6 +14,7 @@ drops repeated ids inside a bounded horizon."""
 from __future__ import annotations
 
 import json
+import logging
 import re
 import zlib
 
@@ -193,19 +194,24 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snaps
                       checkpoint: str, run_at, stats: DataFrame | None = None,
                       trigger: dict | None = None, max_files: int | None = None, compact_every: int = 1,
                       side: str | None = None, registry: DataFrame | None = None, enrich=None, buckets: int | None = None,
-                      packed: bool = False):
+                      packed: bool = False, keep_failed: bool = True):
     """Start (and for availableNow, finish) the ingest stream over a folder of
     single documents, or of packed ones (`landing_stream`).  With a `side`
     folder a failing batch does not stop the loop: its documents and the
-    error are kept under `failed`, from where `retry_failed` ingests them."""
+    error are kept under `failed`, from where `retry_failed` ingests them, and
+    the error is logged.  What the stream wrote then lacks that batch, so a
+    caller that takes it for the result sets `keep_failed` to False: the
+    failure ends the stream and is raised (by availableNow here, else by
+    awaitTermination), and a restart does the batch again."""
     docs = landing_stream(spark, landing_dir, max_files, packed)
 
     def each(df: DataFrame, batch_id: int) -> None:
         try:
             ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich, buckets)
         except Exception as e:  # noqa: BLE001  the cycle's own boundary
-            if not side:
+            if not (side and keep_failed):
                 raise
+            logging.getLogger(__name__).error("batch %d failed and is kept under %s/failed: %s", batch_id, side, e)
             _side(df.withColumn("error", F.lit(f"{type(e).__name__}: {e}"[:2000])), side, "failed", batch_id)
     q = (docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
