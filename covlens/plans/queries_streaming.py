@@ -29,8 +29,9 @@ def _scratch(spark) -> str:
 
 def _stored(df, path: str, *by: str):
     """`df` written once and read back, for what several steps read; in
-    folders `by` the columns that they choose their rows by."""
-    df.write.partitionBy(*by).parquet(path)
+    folders `by` the columns that they choose their rows by.  Row groups are
+    those of a packed delivery, as the rows can be whole documents."""
+    df.write.partitionBy(*by).option("parquet.block.size", str(L.PACKED_GROUP_BYTES)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
