@@ -52,7 +52,8 @@ def normalise_documents(docs: DataFrame, run_at, stats: DataFrame | None = None,
     docs = docs.select("path", "text", plat.alias("_platform"))
 
     def part(p: str) -> DataFrame:
-        return docs.filter(F.col("_platform") == p).select("path", "text")
+        # generated, so that predicates on the text stay above and do not decode it again
+        return docs.filter(F.col("_platform") == p).select("path", F.explode(F.array("text")).alias("text"))
 
     def feeds(p: str) -> tuple[DataFrame, DataFrame]:
         is_xml = L.without_head(F.col("text")).startswith("<")
@@ -130,7 +131,7 @@ def _side(df: DataFrame, side: str, name: str, batch_id: int) -> None:
 
 def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: str, snapshot_root: str,
                  run_at, stats: DataFrame | None = None, compact_every: int = 1, side: str | None = None,
-                 registry: DataFrame | None = None, enrich=None, buckets: int | None = None) -> None:
+                 registry: DataFrame | None = None, enrich=None, buckets: int | None = None, packed: bool = False) -> None:
     """R1 + R2 for one micro-batch: normalise and append to the log (cost
     proportional to the batch).  Every `compact_every` batches the log
     since the last snapshot is folded into a new snapshot version, written
@@ -143,10 +144,15 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
     With a `side` folder the cycle also writes, one partition per batch:
     `errors` (API error payloads), `enrichment` (what `enrich` gives for the
     batch's items that have none yet) and `state` (last run and newest
-    document per source)."""
+    document per source).
+
+    Landed single files are opened once and kept for all branches.  `packed`
+    documents are scanned again by each branch instead, which costs less than
+    keeping them: a delivery of any size then takes no memory."""
     if docs.select("path").isEmpty():
         return
-    docs = docs.persist()  # the landed files are read once for all branches
+    if not packed:
+        docs = docs.persist()
     try:
         gd, ms, rs, yt, errors = normalise_documents(docs, run_at, stats, registry)
         ST.write_log(N.union_sources(batch_id, gdelt=gd, mediastack=ms, rss=rs, youtube=yt), log_dir)
@@ -163,7 +169,8 @@ def ingest_batch(spark: SparkSession, docs: DataFrame, batch_id: int, log_dir: s
                 pending = ST.list_unenriched(ST.upsert_fold(seen))
                 _side(enrich(pending), side, "enrichment", batch_id)
     finally:
-        docs.unpersist()
+        if not packed:
+            docs.unpersist()
     prev = latest_snapshot(spark, snapshot_root)
     if prev is not None and prev >= batch_id:
         return  # replay of a batch whose snapshot is already written
@@ -207,7 +214,7 @@ def run_ingest_stream(spark: SparkSession, landing_dir: str, log_dir: str, snaps
 
     def each(df: DataFrame, batch_id: int) -> None:
         try:
-            ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich, buckets)
+            ingest_batch(spark, df, batch_id, log_dir, snapshot_root, run_at, stats, compact_every, side, registry, enrich, buckets, packed)
         except Exception as e:  # noqa: BLE001  the cycle's own boundary
             if not (side and keep_failed):
                 raise
