@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 
 from ..schema import CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ITEM_COLUMNS, ITEM_SCHEMA, PROTECTED, UNPROTECTED
 
+# A writing task holds a row group until it is full and a reading task holds it
+# whole; items carry their texts, so an eighth of the usual size is some
+# thousands of them.
+ITEM_GROUP_BYTES = 16 << 20
+
 
 def upsert_fold(obs: DataFrame, seq: str = "seq", whole: bool = False) -> DataFrame:
     """T1 over an observation log (any number of batches): one row per id.
@@ -175,7 +180,7 @@ def write_log(df: DataFrame, path: str, partition_by: str = "batch_id") -> None:
     session's advisory partition size), so a small batch is one file and a
     first load of any size stays as wide as it is."""
     (df.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(path))
+     .option("parquet.block.size", str(ITEM_GROUP_BYTES)).partitionBy(partition_by).parquet(path))
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -184,7 +189,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     share a task and give a file each (a few where they share it with a split
     one), a date beyond the advisory size is split between tasks."""
     (df.withColumn("published_date", F.to_date("published_at")).hint("rebalance", F.col("published_date"))
-     .write.mode("overwrite").partitionBy("published_date").parquet(path))
+     .write.mode("overwrite").option("parquet.block.size", str(ITEM_GROUP_BYTES)).partitionBy("published_date").parquet(path))
 
 
 def _keyed_table(path: str) -> str:
@@ -199,7 +204,7 @@ def write_keyed_snapshot(df: DataFrame, path: str, buckets: int) -> None:
     must be new; the catalog entry is only how Spark is told of the buckets,
     the files are plain Parquet."""
     (df.select(*ITEM_COLUMNS).repartition(buckets, "id").write.mode("overwrite").format("parquet")
-     .bucketBy(buckets, "id").sortBy("id").option("path", path).saveAsTable(_keyed_table(path)))
+     .option("parquet.block.size", str(ITEM_GROUP_BYTES)).bucketBy(buckets, "id").sortBy("id").option("path", path).saveAsTable(_keyed_table(path)))
 
 
 def read_keyed_snapshot(spark: SparkSession, path: str, buckets: int) -> DataFrame:
